@@ -70,12 +70,15 @@ def describe_reference(reference: DataFrame, bins: int = S.DRIFT_BINS) -> Refere
     """Median and distinct quantile edges of each feature, after median fill."""
     cols = reference.columns
     rows = reference.count()
-    middles = exact_quantiles(reference, cols, [(1, 2)])
-    medians = {c: (v[0] if n else 0.0) for c, (n, v) in middles.items()}
-    filled = fill(reference, medians)
     grid = [(i, bins) for i in range(bins + 1)]
-    edges = {c: sorted(set(v)) for c, (n, v) in exact_quantiles(filled, cols, grid).items()} if rows else {}
-    return Reference(rows, medians, edges)
+    raw = exact_quantiles(reference, cols, [*grid, (1, 2)])
+    medians = {c: (v[-1] if n else 0.0) for c, (n, v) in raw.items()}
+    edges = {c: sorted(set(v[:-1])) for c, (n, v) in raw.items() if n == rows > 0}
+    holed = [c for c in cols if c not in edges] if rows else []
+    if holed:
+        filled = exact_quantiles(fill(reference.select(holed), medians), holed, grid)
+        edges |= {c: sorted(set(v)) for c, (_, v) in filled.items()}
+    return Reference(rows, medians, {c: edges[c] for c in cols if c in edges})
 
 
 def edge_table(reference: DataFrame, bins: int = S.DRIFT_BINS) -> DataFrame:
@@ -165,6 +168,43 @@ def drift_scores(reference: DataFrame, current: DataFrame, bins: int = S.DRIFT_B
     return out
 
 
+def windowed_drift(
+    reference: DataFrame, current: DataFrame, time: str, width: str, described: Reference | None = None,
+) -> DataFrame:
+    """Population stability of every time window against one reference.
+
+    The reference bins are literals, so a window costs its (feature, bin)
+    counts only: this is the form for long streams and hot groups.
+    """
+    described = described or describe_reference(reference)
+    cols = [c for c in reference.columns if c in current.columns and len(described.edges.get(c, [])) >= 3]
+    spark = reference.sparkSession
+
+    def bins_of(df: DataFrame, *keep) -> DataFrame:
+        values = [F.coalesce(F.col(c), F.lit(described.medians[c])) for c in cols]
+        return df.select(*keep, F.explode(F.array(*[
+            F.struct(F.lit(c).alias("feature"), count_at_or_below(v, described.edges[c][1:-1]).alias("bin"))
+            for c, v in zip(cols, values)])).alias("s")).select(*[k if isinstance(k, str) else "w" for k in keep], "s.*")
+
+    expected = bins_of(reference).groupBy("feature", "bin").agg((F.count(F.lit(1)) / described.rows).alias("p"))
+    window = F.window(time, width)["start"].alias("w")
+    seen = bins_of(current, window).groupBy("w", "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    # bins x windows stays small: one row per feature, bin and window
+    shape = spark.createDataFrame(
+        [(c, b) for c in cols for b in range(len(described.edges[c]) - 1)], "feature string, bin int")
+    per_bin = (
+        seen.select("w", "feature").distinct()
+        .join(shape, "feature").join(seen, ["w", "feature", "bin"], "left")
+        .join(expected, ["feature", "bin"], "left").fillna(0, ["n"]).fillna(0.0, ["p"]))
+    rows = seen.groupBy("w", "feature").agg(F.sum("n").alias("rows"))
+    q = F.greatest(F.col("n") / F.col("rows"), F.lit(1e-6))
+    p = F.greatest(F.col("p"), F.lit(1e-6))
+    return (
+        per_bin.join(rows, ["w", "feature"])
+        .groupBy(F.col("w").alias("window_start"), "feature")
+        .agg(X.clip_unit(F.sum((q - p) * F.ln(q / p))).alias("score"), F.max("rows").alias("rows")))
+
+
 def with_alerts(scores: DataFrame, threshold: float = S.DRIFT_ALERT) -> DataFrame:
     return scores.withColumn("alert", (F.round("score", 6) >= threshold).cast("int"))
 
