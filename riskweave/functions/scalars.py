@@ -136,6 +136,11 @@ def hashed_slot(key: Column | str, percent: float) -> Column:
     return traffic_slot(F.xxhash64(_col(key)), percent)
 
 
+def exact_sum(c: Column | str) -> Column:
+    """Sum that does not depend on the order of the rows; six decimal places."""
+    return F.sum(_col(c).try_cast("decimal(28,6)")).cast("double")
+
+
 def violations(rules: Iterable[tuple[str, Column]]) -> Column:
     """Names of the rules whose condition is true, in rule order."""
     return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules]))

@@ -81,13 +81,13 @@ def absent_targets(seen: DataFrame, rule: Rule = TARGET_DOWN, step: str = "1 min
 
 
 def error_ratio(counts: DataFrame, rule: Rule = ERROR_RATIO, step: str = "1 minute", seconds: float = 300.0,
-                limit: float = ERROR_LIMIT) -> DataFrame:
+                limit: float = ERROR_LIMIT, floor: float = RATE_FLOOR) -> DataFrame:
     """``counts`` per step with ``status`` and ``n``."""
     flagged = counts.select("step", "n", F.when(X.label_matches("status", "5.."), F.col("n")).otherwise(0).alias("bad"))
     ranges = over_range(flagged, [], ["n", "bad"], rule.width, step)
-    ratio = (F.col("bad") / seconds) / X.clamp_min(F.col("n") / seconds, RATE_FLOOR)
-    grid = evaluation_grid(ranges, "at", step)
-    return firing(on_grid(grid, ranges, ratio > limit), "at", [], rule)
+    ratio = (F.col("bad") / seconds) / X.clamp_min(F.col("n") / seconds, floor)
+    grid = evaluation_grid(ranges, "at_time", step)
+    return firing(on_grid(grid, ranges, ratio > limit), "at_time", [], rule)
 
 
 def threshold_alert(measured: DataFrame, at: str, condition: Column, rule: Rule, step: str = "1 minute") -> DataFrame:
@@ -102,9 +102,9 @@ def slot_rates(counts: DataFrame, width: str, step: str, seconds: float) -> Data
     for slot in ("candidate", "stable"):
         samples, frauds = F.col("samples") / seconds, F.col("frauds") / seconds
         sides.append(ranges.filter(F.col("slot") == slot).select(
-            "at", samples.alias(f"{slot}_traffic"),
+            "at_time", samples.alias(f"{slot}_traffic"),
             (frauds / X.clamp_min(samples, RATE_FLOOR)).alias(f"{slot}_fraud_rate")))
-    return sides[0].join(sides[1], "at")
+    return sides[0].join(sides[1], "at_time")
 
 
 def candidate_regression(counts: DataFrame, rule: Rule = CANDIDATE_REGRESSION, step: str = "1 minute",
@@ -112,4 +112,4 @@ def candidate_regression(counts: DataFrame, rule: Rule = CANDIDATE_REGRESSION, s
     rates = slot_rates(counts, rule.width, step, seconds)
     worse = (F.col("candidate_traffic") > traffic) & (
         F.col("candidate_fraud_rate") < F.col("stable_fraud_rate") * CANDIDATE_FLOOR)
-    return threshold_alert(rates, "at", worse, rule, step)
+    return threshold_alert(rates, "at_time", worse, rule, step)

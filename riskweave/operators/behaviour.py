@@ -47,7 +47,7 @@ def history(points: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
         F.when(is_point, F.col("n_amount")).otherwise(nothing).alias("n_amount"),
         F.when(is_point, F.coalesce("amount_sum", F.lit(0))).otherwise(F.lit(0)).cast("decimal(38,6)").alias("total"),
         F.when(is_point, F.col("when")).alias("seen"))
-    events = events.withColumn("tile", count_at_or_below(F.col("when"), cuts))
+    events = events.withColumn("tile", count_at_or_below("when", cuts))
 
     inside = Window.partitionBy("customer_id", "tile").orderBy("when", is_point).rowsBetween(
         Window.unboundedPreceding, -1)

@@ -69,9 +69,10 @@ class Reference:
 def describe_reference(reference: DataFrame, bins: int = S.DRIFT_BINS) -> Reference:
     """Median and distinct quantile edges of each feature, after median fill."""
     cols = reference.columns
-    rows = reference.count()
     grid = [(i, bins) for i in range(bins + 1)]
-    raw = exact_quantiles(reference, cols, [*grid, (1, 2)])
+    # the constant column counts the rows in the same passes
+    raw = exact_quantiles(reference.withColumn("_rows", F.lit(1)), [*cols, "_rows"], [*grid, (1, 2)])
+    rows, _ = raw.pop("_rows")
     medians = {c: (v[-1] if n else 0.0) for c, (n, v) in raw.items()}
     edges = {c: sorted(set(v[:-1])) for c, (n, v) in raw.items() if n == rows > 0}
     holed = [c for c in cols if c not in edges] if rows else []
@@ -91,24 +92,26 @@ def fill(df: DataFrame, medians: dict[str, float]) -> DataFrame:
     return df.select([F.coalesce(F.col(c), F.lit(medians.get(c, 0.0))).alias(c) for c in df.columns])
 
 
-def category_features(both: DataFrame, limit: int = S.CATEGORY_LIMIT) -> list[str]:
-    """Features with whole numbers only and at most ``limit`` distinct values.
+def category_features(both: DataFrame, limit: int = S.CATEGORY_LIMIT) -> tuple[list[str], int]:
+    """Features with whole numbers only and at most ``limit`` distinct values,
+    and the number of current rows (``side`` 1).
 
-    A sketch settles most of them: its estimate for so few values cannot
+    A sketch settles most features: for so few values its estimate cannot
     exceed ``2 * limit``. Only features below that are counted exactly.
     """
-    cols = both.columns
+    cols = [c for c in both.columns if c != "side"]
     row = both.agg(
+        F.count_if(F.col("side") == 1).alias("n_cur"),
         *[F.bool_and(near_whole(F.col(c))).alias(f"w_{i}") for i, c in enumerate(cols)],
         *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)]).first()
     maybe = [c for i, c in enumerate(cols) if row[f"w_{i}"] and row[f"d_{i}"] <= 2 * limit]
-    if not maybe:
-        return []
-    exact = (
-        both.select(maybe).unpivot([], maybe, "feature", "value").distinct()
-        .groupBy("feature").count().filter(F.col("count") <= limit))
-    found = {r["feature"] for r in exact.collect()}
-    return [c for c in cols if c in found]
+    found: set[str] = set()
+    if maybe:
+        exact = (
+            both.select(maybe).unpivot([], maybe, "feature", "value").distinct()
+            .groupBy("feature").count().filter(F.col("count") <= limit))
+        found = {r["feature"] for r in exact.collect()}
+    return [c for c in cols if c in found], row["n_cur"]
 
 
 def drift_scores(reference: DataFrame, current: DataFrame, bins: int = S.DRIFT_BINS,
@@ -122,12 +125,13 @@ def drift_scores(reference: DataFrame, current: DataFrame, bins: int = S.DRIFT_B
     spark = reference.sparkSession
     cols = [c for c in reference.columns if c in current.columns]
     described = described or describe_reference(reference.select(cols), bins)
-    n_cur = current.count()
-    if not cols or described.rows < 2 or n_cur < 2:
+    if not cols or described.rows < 2:
         return spark.createDataFrame([], SCORES)
     ref, cur = (fill(df.select(cols), described.medians) for df in (reference, current))
     both = ref.withColumn("side", F.lit(0)).unionByName(cur.withColumn("side", F.lit(1)))
-    categories = category_features(both.select(cols))
+    categories, n_cur = category_features(both)
+    if n_cur < 2:
+        return spark.createDataFrame([], SCORES)
     numbers = [c for c in cols if c not in categories]
     binned = [c for c in numbers if len(described.edges[c]) >= 3]
     shifted = [c for c in numbers if len(described.edges[c]) < 3]
@@ -135,7 +139,7 @@ def drift_scores(reference: DataFrame, current: DataFrame, bins: int = S.DRIFT_B
     # bin of a number or the category itself: few distinct (feature, slot) pairs
     slots = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("slot")) for c in categories] + [
         F.struct(F.lit(c).alias("feature"),
-                 count_at_or_below(F.col(c), described.edges[c][1:-1]).cast("double").alias("slot"))
+                 count_at_or_below(c, described.edges[c][1:-1]).cast("double").alias("slot"))
         for c in binned]
     parts = []
     if slots:
@@ -180,11 +184,12 @@ def windowed_drift(
     cols = [c for c in reference.columns if c in current.columns and len(described.edges.get(c, [])) >= 3]
     spark = reference.sparkSession
 
-    def bins_of(df: DataFrame, *keep) -> DataFrame:
-        values = [F.coalesce(F.col(c), F.lit(described.medians[c])) for c in cols]
-        return df.select(*keep, F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), count_at_or_below(v, described.edges[c][1:-1]).alias("bin"))
-            for c, v in zip(cols, values)])).alias("s")).select(*[k if isinstance(k, str) else "w" for k in keep], "s.*")
+    def bins_of(df: DataFrame, *keep: Column) -> DataFrame:
+        filled = df.withColumns({c: F.coalesce(F.col(c), F.lit(described.medians[c])) for c in cols})
+        slots = F.array(*[
+            F.struct(F.lit(c).alias("feature"), count_at_or_below(c, described.edges[c][1:-1]).alias("bin"))
+            for c in cols])
+        return filled.select(*keep, F.explode(slots).alias("s")).select("*", "s.*").drop("s")
 
     expected = bins_of(reference).groupBy("feature", "bin").agg((F.count(F.lit(1)) / described.rows).alias("p"))
     window = F.window(time, width)["start"].alias("w")

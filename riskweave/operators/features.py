@@ -23,7 +23,8 @@ TIER = "customer_tier"
 def customer_stats(df: DataFrame) -> DataFrame:
     """Count and mean of the non-null amounts per customer."""
     return df.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        F.count("amount").alias("customer_tx_count"), F.avg("amount").alias("customer_avg_amount"))
+        F.count("amount").alias("customer_tx_count"),
+        F.try_divide(X.exact_sum("amount"), F.count("amount")).alias("customer_avg_amount"))
 
 
 def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -111,7 +112,7 @@ class FeatureState:
         df = df.drop("customer_tx_count", "customer_avg_amount")
         if "customer_id" in df.columns:
             df = df.withColumn("customer_id", F.col("customer_id").cast("string"))
-            df = salted_left_join(df, self.stats, ["customer_id"], {} if df.isStreaming else self.hot)
+            df = salted_left_join(df, self.stats, ["customer_id"], self.hot)
         else:
             df = df.withColumns({"customer_tx_count": F.lit(0), "customer_avg_amount": F.lit(None).cast("double")})
         return df.withColumns({

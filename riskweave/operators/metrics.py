@@ -23,8 +23,8 @@ def per_step(df: DataFrame, time: str, labels: Sequence[str], aggs: Sequence[Col
 
 
 def over_range(steps: DataFrame, labels: Sequence[str], sums: Sequence[str], width: str, step: str = STEP) -> DataFrame:
-    """Sums over the last ``width`` at every step: ``at`` is the range's end."""
-    return steps.groupBy(F.window("step", width, step)["end"].alias("at"), *labels).agg(
+    """Sums over the last ``width`` at every step: ``at_time`` is the range's end."""
+    return steps.groupBy(F.window("step", width, step)["end"].alias("at_time"), *labels).agg(
         *[F.sum(c).alias(c) for c in sums])
 
 

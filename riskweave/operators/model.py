@@ -26,6 +26,12 @@ BOOSTING = {
 PERMUTATION_BLOCK = 10_000
 
 
+def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Feature vector; the trees take no missing values, so these count as 0."""
+    filled = df.fillna(0.0, list(features))
+    return VectorAssembler(inputCols=list(features), outputCol="_features").transform(filled)
+
+
 @dataclass
 class RiskModel:
     """A fitted classifier and the feature order it was fitted on."""
@@ -33,15 +39,11 @@ class RiskModel:
     model: GBTClassificationModel
     features: list[str]
 
-    @property
-    def _assembler(self) -> VectorAssembler:
-        return VectorAssembler(inputCols=self.features, outputCol="_features", handleInvalid="keep")
-
     def score(self, df: DataFrame, keep: Sequence[str] = (), column: str = "score") -> DataFrame:
         """``keep`` columns and the positive-class probability; works on streams."""
         kept = df.select(*[F.col(c).alias(f"_keep_{c}") for c in keep], *df.columns)
         aligned = align_features(kept, self.features, [f"_keep_{c}" for c in keep])
-        out = self.model.transform(self._assembler.transform(aligned))
+        out = self.model.transform(assemble(aligned, self.features))
         return out.select(*[F.col(f"_keep_{c}").alias(c) for c in keep],
                           vector_to_array("probability")[1].alias(column))
 
@@ -67,9 +69,9 @@ def train_model(
     chosen = {**BOOSTING, **settings}
     cut = find_cut(train, 1 - validation, time, row_id)
     weighted = with_class_weight(train.withColumn("_late", cut.later(time, row_id)), label)
-    narrow = project_features(weighted, list(features), [label, "weight", "_late"])
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
-    ready = settle(assembler.transform(narrow).select("_features", label, "weight", "_late"), "training")
+    project_features(weighted, list(features))  # names the features that are missing
+    narrow = align_features(weighted, features, [label, "weight", "_late"])
+    ready = settle(assemble(narrow, features).select("_features", label, "weight", "_late"), "training")
     booster = GBTClassifier(
         featuresCol="_features", labelCol=label, weightCol="weight", validationIndicatorCol="_late", **chosen)
     return RiskModel(booster.fit(ready), list(features))

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
-from operator import add, or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,26 +25,35 @@ CUT_SAMPLE = 20_000
 _CHUNK = 64
 
 
-def count_at_or_below(value: Column, edges: Sequence[Any]) -> Column:
-    """How many of the sorted ``edges`` are <= ``value``."""
+def literal(value: Any) -> str:
+    """SQL text of a plain value: long lists of literals are parsed at once."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else f"{value}L"
+
+
+def count_at_or_below(column: str, edges: Sequence[Any]) -> Column:
+    """How many of the sorted ``edges`` are <= the value of ``column``."""
     if not edges:
         return F.lit(0)
+    v, texts = f"`{column}`", [literal(e) for e in edges]
     if len(edges) <= 32:
-        return reduce(add, [(value >= F.lit(e)).cast("int") for e in edges])
-    chunks = [list(edges[i:i + _CHUNK]) for i in range(0, len(edges), _CHUNK)]
-    full = F.size(F.filter(F.lit([c[0] for c in chunks]), lambda e: value >= e))
-    lists = F.array(*[F.lit(c) for c in chunks])
-    inner = F.size(F.filter(F.get(lists, full - 1), lambda e: value >= e))
-    return F.when(full == 0, 0).otherwise((full - 1) * _CHUNK + inner)
+        return F.expr(" + ".join(f"CAST({v} >= {e} AS INT)" for e in texts))
+    chunks = [texts[i:i + _CHUNK] for i in range(0, len(texts), _CHUNK)]
+    firsts = ", ".join(c[0] for c in chunks)
+    lists = ", ".join(f"array({', '.join(c)})" for c in chunks)
+    full = f"size(filter(array({firsts}), e -> {v} >= e))"
+    inner = f"size(filter(get(array({lists}), {full} - 1), e -> {v} >= e))"
+    return F.expr(f"CASE WHEN {full} = 0 THEN 0 ELSE ({full} - 1) * {_CHUNK} + {inner} END")
 
 
 def cut_points(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list:
     """At most ``MAX_BUCKETS`` - 1 values that cut ``column`` into even ranges."""
     if isinstance(df.schema[column].dataType, T.StringType):
         return _text_cuts(df, column, rows_per_bucket)
-    grid = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+    grid = ", ".join(f"{i / MAX_BUCKETS}D" for i in range(1, MAX_BUCKETS))
     n, points = df.agg(
-        F.count(column), F.percentile_approx(column, grid, 4 * MAX_BUCKETS)
+        F.count(column), F.expr(f"percentile_approx(`{column}`, array({grid}), {4 * MAX_BUCKETS})")
     ).first()
     buckets = min(MAX_BUCKETS, -(-n // rows_per_bucket))
     if buckets < 2:
@@ -89,7 +97,7 @@ def prefix_sums(
     direction = F.col(order).desc() if descending else F.col(order).asc()
     inside = Window.partitionBy(*by, "_range").orderBy(direction).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ranged = df.withColumn("_range", count_at_or_below(F.col(order), cuts))
+    ranged = df.withColumn("_range", count_at_or_below(order, cuts))
     local = ranged.select("*", *[F.sum(s).over(inside).alias(f"cum_{s}") for s in sums])
     if not cuts:
         return local.drop("_range")
@@ -131,9 +139,11 @@ def order_statistics(
     while todo:
         reach = slack / accuracy
         probs = [p for f in fractions for p in (max(0.0, f - reach), min(1.0, f + reach))]
+        array = ", ".join(f"{p!r}D" for p in probs)
         sketch = df.agg(
             *[F.count(c).alias(f"n_{i}") for i, c in enumerate(todo)],
-            *[F.percentile_approx(c, probs, accuracy).alias(f"q_{i}") for i, c in enumerate(todo)],
+            *[F.expr(f"percentile_approx(`{c}`, array({array}), {accuracy})").alias(f"q_{i}")
+              for i, c in enumerate(todo)],
         ).first()
         brackets: dict[str, list[tuple]] = {}
         for i, c in enumerate(todo):
@@ -169,16 +179,16 @@ def _inside_brackets(df, brackets, wanted):
     """Values at the wanted ranks of each column, where a bracket holds them."""
     cells = []
     for c, pairs in brackets.items():
-        v, floating = F.col(c), isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+        real = isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
         # odd cells are brackets, even cells lie between them
-        cell = reduce(add, [
-            (v >= F.lit(lo)).cast("int") + (v > F.lit(hi)).cast("int") for lo, hi in pairs])
-        kept = F.when(cell % 2 == 1, v)
-        cells.append(F.when(v.isNotNull(), F.struct(
-            F.lit(c).alias("col"), cell.alias("cell"),
-            (kept.cast("double") if floating else F.lit(None).cast("double")).alias("real"),
-            (F.lit(None).cast("long") if floating else kept.cast("long")).alias("whole"))))
-    long = df.select(F.explode(F.array_compact(F.array(*cells))).alias("s")).select("s.*")
+        cell = " + ".join(
+            f"CAST(`{c}` >= {literal(lo)} AS INT) + CAST(`{c}` > {literal(hi)} AS INT)" for lo, hi in pairs)
+        kept = f"CASE WHEN ({cell}) % 2 = 1 THEN `{c}` END"
+        cells.append(
+            f"CASE WHEN `{c}` IS NOT NULL THEN named_struct('col', {literal(c)}, 'cell', {cell}, "
+            f"'real', CAST({kept if real else 'NULL'} AS DOUBLE), "
+            f"'whole', CAST({'NULL' if real else kept} AS BIGINT)) END")
+    long = df.select(F.expr(f"explode(array_compact(array({', '.join(cells)}))) AS s")).select("s.*")
     counts = settle(
         long.groupBy("col", "cell", "real", "whole").agg(F.count(F.lit(1)).alias("n")), "brackets")
 
@@ -196,9 +206,8 @@ def _inside_brackets(df, brackets, wanted):
     upto = F.sum("n").over(
         Window.partitionBy("col", "cell").orderBy("real", "whole")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = reduce(or_, [
-        (F.col("col") == c) & (F.col("cell") == cell)
-        & (F.col("upto") > k) & (F.col("upto") - F.col("n") <= k) for c, cell, k in targets])
+    hit = F.expr(" OR ".join(
+        f"(col = {literal(c)} AND cell = {cell} AND upto > {k} AND upto - n <= {k})" for c, cell, k in targets))
     inside = counts.filter(F.col("cell") % 2 == 1).withColumn("upto", upto)
     for r in inside.filter(hit).collect():
         c, end = r["col"], start_of[r["col"], r["cell"]] + r["upto"]
@@ -248,7 +257,7 @@ def kth_text(df: DataFrame, column: str, k: int) -> str:
             raise IndexError("rank beyond the number of rows")
         sample = _hash_sample(rest, column, distinct)
         edges = sorted({sample[i * len(sample) // 1024] for i in range(1, 1024)}) if sample else []
-        ranges = rest.groupBy(count_at_or_below(F.col(column), edges).alias("range")).count()
+        ranges = rest.groupBy(count_at_or_below(column, edges).alias("range")).count()
         for r, n in sorted(tuple(x) for x in ranges.collect()):
             if k < n:
                 break

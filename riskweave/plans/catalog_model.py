@@ -1 +1,55 @@
-"""Queries."""
+"""Queries that train a model; their results have no SQL form."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from riskweave.operators import model as M
+from riskweave.operators import split as SP
+from riskweave.operators.features import FeatureState
+from riskweave.plans import prepare as P
+from riskweave.plans import training as TR
+from riskweave.plans.registry import query
+from riskweave.session import scratch_path
+from riskweave.sources import adapters as A
+
+# a short boosting run: the full number of rounds is the operator's default
+SHORT = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.3}
+FEATURES = ["amount", "amount_log", "merchant_category", "device_type", "os", "segment_encoded",
+            "customer_tx_count", "customer_avg_amount", "transaction_hour", "distance_from_home_km"]
+
+
+def _fitted(spark: SparkSession, sf: str) -> tuple[P.Prepared, M.RiskModel]:
+    done = P.prepare(A.transactions(spark, sf))
+    return done, M.train_model(done.train, FEATURES, **SHORT)
+
+
+@query("gbt_evaluation", "M1 M5 M6 M7 S6")
+def gbt_evaluation(spark: SparkSession, sf: str) -> DataFrame:
+    done = P.prepare(A.transactions(spark, sf))
+    return TR.train_and_evaluate(done, scratch_path(spark, "model"), **SHORT).segments
+
+
+@query("gbt_importance", "M10 O2")
+def gbt_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return M.feature_importance(_fitted(spark, sf)[1])
+
+
+@query("gbt_scores", "M9 M1")
+def gbt_scores(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = SP.chrono_split(A.transactions(spark, sf))
+    state = FeatureState.fit(train)
+    fitted = M.train_model(state.transform(train), FEATURES, **SHORT)
+    return M.predict(fitted, state, test, 0.5)
+
+
+@query("permutation_importance", "M11")
+def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
+    done, fitted = _fitted(spark, sf)
+    return M.permutation_importance(fitted, done.test)
+
+
+@query("explain_top_row", "M11 O3")
+def explain_top_row(spark: SparkSession, sf: str) -> DataFrame:
+    done, fitted = _fitted(spark, sf)
+    return M.explain_top_row(fitted, done.test, done.train)

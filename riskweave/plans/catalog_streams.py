@@ -1 +1,135 @@
-"""Queries."""
+"""Structured Streaming queries, each run over all available files."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskweave import schema as S
+from riskweave.operators import metrics as M
+from riskweave.operators import split as SP
+from riskweave.operators.features import FeatureState
+from riskweave.operators.quality import split_valid
+from riskweave.plans import catalog_drift as CD
+from riskweave.plans import sql_views as V
+from riskweave.plans.catalog_features import _PREPARED
+from riskweave.plans.registry import query
+from riskweave.session import scratch_path
+from riskweave.sources import adapters as A
+from riskweave.streaming import drift as SD
+from riskweave.streaming import metrics as SM
+from riskweave.streaming import requests as SR
+from riskweave.streaming import scoring as SS
+
+THRESHOLD = 0.4
+
+
+@query("stream_scores", "T8 S7 S8 M9", f"""WITH {_PREPARED}, {V.SCORED}
+SELECT a.transaction_id, round(s.score, 6) AS fraud_score, CASE WHEN s.score >= {THRESHOLD} THEN 1 ELSE 0 END AS is_fraud_pred,
+  {V.risk_band("s.score")} AS risk_level, coalesce(st.customer_tx_count, 0) AS customer_tx_count,
+  CASE a.customer_tier WHEN 'INSPIRE' THEN 0 WHEN 'MASS' THEN 1 WHEN 'PRIORITY' THEN 2 ELSE 3 END AS segment_encoded
+FROM tx a JOIN scored s USING (transaction_id) LEFT JOIN stats st ON st.customer_id = a.customer_id""")
+def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
+    state = FeatureState.fit(SP.chrono_split(A.transactions(spark, sf))[0])
+    requests = A.transactions_of(SR.table_stream(spark, sf, "events"))
+
+    def score(df: DataFrame) -> DataFrame:
+        return df.withColumn("score", A.formula_score(
+            F.col("transaction_id").cast("long"), F.col("customer_id").cast("long"), F.col("is_fraud")))
+
+    scored = SS.score_stream(requests, state, score, THRESHOLD).select(
+        "transaction_id", "fraud_score", "is_fraud_pred", "risk_level", "customer_tx_count", "segment_encoded")
+    return SS.write_scores(scored)
+
+
+_FAULT_COUNT = """(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END + CASE WHEN ts_ok IS NULL THEN 1 ELSE 0 END
+  + CASE WHEN amount <= 0 THEN 1 ELSE 0 END + CASE WHEN tier_upper = 'GOLD' THEN 1 ELSE 0 END
+  + CASE WHEN account_age_days < 0 THEN 1 ELSE 0 END + CASE WHEN is_new_device NOT IN (0, 1) THEN 1 ELSE 0 END
+  + CASE WHEN hour_of_day > 23 THEN 1 ELSE 0 END)"""
+
+
+@query("stream_quarantine", "T8 P8 S8", f"""WITH {V.DIRTY}
+SELECT transaction_id, amount, CAST({_FAULT_COUNT} AS INT) AS n_errors FROM dirty WHERE {_FAULT_COUNT} > 0""")
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    requests = A.dirty_transactions_of(SR.table_stream(spark, sf, "events"))
+    return SS.write_scores(SS.quarantine_stream(requests).select("transaction_id", "amount", "n_errors"), "quarantine")
+
+
+@query("stream_messages", "S7 D7 D8 P9", f"""WITH {V.TX}
+SELECT transaction_id, amount, upper(customer_tier) AS customer_tier, "timestamp", true AS message_ok FROM tx""")
+def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON messages of one record or a list of up to seven, as a stream."""
+    folder = scratch_path(spark, "messages")
+    e = F.col("transaction_id").cast("long")
+    group = F.floor(e / 7)
+    record = F.struct(
+        "transaction_id", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        "customer_id", "amount", F.lower("customer_tier").alias("customer_tier"))
+    tx = A.transactions(spark, sf).withColumn("g", group).withColumn("own", F.when(F.col("g") % 5 == 0, e))
+    tx.groupBy("g", "own").agg(F.collect_list(record).alias("r")).select(
+        F.when(F.col("own").isNotNull(), F.to_json(F.col("r")[0])).otherwise(F.to_json("r")).alias("value")
+    ).write.text(folder)
+    parsed = SR.parse_messages(spark.readStream.text(folder))
+    valid, _ = split_valid(parsed)
+    return SS.write_scores(valid.select(
+        "transaction_id", "amount", "customer_tier", F.to_timestamp(F.replace("timestamp", F.lit("T"), F.lit(" "))).alias("timestamp"),
+        "message_ok"), "messages-out")
+
+
+@query("stream_request_counts", "T1 T2 S8", f"""WITH {V.LOG}
+SELECT date_trunc('hour', ts) AS step, path, status, count(*) AS n,
+  count(*) FILTER (WHERE latency_s <= 0.1) AS le_0, count(*) FILTER (WHERE latency_s <= 1.0) AS le_1,
+  count(latency_s) AS observed, sum(latency_s) AS total FROM log GROUP BY ALL""")
+def stream_request_counts(spark: SparkSession, sf: str) -> DataFrame:
+    log = A.request_log(SR.table_stream(spark, sf, "events"))
+    aggs = [F.count(F.lit(1)).alias("n"), *M.histogram_aggs("latency_s", [0.1, 1.0])]
+    return SM.stream_steps(log, ["path", "status"], aggs, "1 hour")
+
+
+_DRIFT_FEATURES = ("amount", "score")
+
+
+def _slot_long(reference: str) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT side, slot || ':{f}' AS feature, CAST({f} AS DOUBLE) AS v FROM sides" for f in _DRIFT_FEATURES)
+    return f"""newest AS (SELECT *, row_number() OVER (PARTITION BY slot ORDER BY ts DESC, request_id DESC) AS rn FROM log),
+oldest AS (SELECT *, row_number() OVER (PARTITION BY slot ORDER BY ts, request_id) AS rn FROM log),
+slot_names AS (SELECT DISTINCT slot FROM log),
+sides AS ({reference} UNION ALL SELECT 1, slot, amount, score FROM newest WHERE rn <= {S.DRIFT_WINDOW}),
+long AS ({rows}), {CD.SCORES}"""
+
+
+_SHOTS = """SELECT s.slot, count(*) AS features_total,
+  CAST(count(*) FILTER (WHERE round(score, 6) >= 0.2) AS BIGINT) AS features_alerting,
+  avg(round(score, 6)) AS overall_score, max(r.n) AS reference_samples, max(c.n) AS current_samples
+FROM (SELECT split_part(feature, ':', 1) AS slot, score FROM scores) s
+JOIN (SELECT slot, count(*) AS n FROM sides WHERE side = 0 GROUP BY slot) r ON r.slot = s.slot
+JOIN (SELECT slot, count(*) AS n FROM sides WHERE side = 1 GROUP BY slot) c ON c.slot = s.slot GROUP BY s.slot"""
+_SHOWN = ("slot", "features_total", "features_alerting", "overall_score", "reference_samples", "current_samples")
+
+
+def _run_drift(spark: SparkSession, sf: str, reference: DataFrame | None, label: str) -> DataFrame:
+    rolling = SD.RollingDrift(spark, scratch_path(spark, label), _DRIFT_FEATURES, reference=reference)
+    log = A.request_log(SR.table_stream(spark, sf, "events"))
+    SR.run_available(log.writeStream.foreachBatch(rolling.on_batch), label)
+    shots = rolling.snapshots()
+    newest = shots.agg(F.max("batch_id")).first()[0]
+    return shots.filter(F.col("batch_id") == newest).select(*_SHOWN)
+
+
+_EARLY = f"""SELECT 0 AS side, slot_names.slot, amount, score FROM log, slot_names WHERE ts < TIMESTAMP '{CD._LOG_CUT}'"""
+
+
+@query("stream_drift", "T6 R7 W3 D12", f"WITH {V.LOG}, {_slot_long(_EARLY)} {_SHOTS}")
+def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
+    early = A.requests(spark, sf).filter(F.col("ts") < F.lit(CD._LOG_CUT).cast("timestamp"))
+    return _run_drift(spark, sf, early.select(*_DRIFT_FEATURES), "drift")
+
+
+_FIRST = f"SELECT 0 AS side, slot, amount, score FROM oldest WHERE rn <= {S.DRIFT_REFERENCE_ROWS}"
+
+
+@query("stream_warmup_drift", "T7 R9 S10", f"WITH {V.LOG}, {_slot_long(_FIRST)} {_SHOTS}")
+def stream_warmup_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Without a reference the first rows of each slot become it."""
+    return _run_drift(spark, sf, None, "warmup")

@@ -22,10 +22,14 @@ def _yes_no(number: Column) -> Column:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One transaction per event."""
+    return transactions_of(table(spark, sf_dir, "events"))
+
+
+def transactions_of(events: DataFrame) -> DataFrame:
+    """One transaction per event; ``events`` may be a stream."""
     e, u = F.col("event_id"), F.col("user_id")
     k = F.get_json_object("props", "$.k").try_cast("double")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         e.cast("string").alias("transaction_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         u.cast("string").alias("customer_id"),
@@ -47,9 +51,13 @@ def _error_label() -> Column:
 
 
 def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dirty_transactions_of(table(spark, sf_dir, "events"))
+
+
+def dirty_transactions_of(events: DataFrame) -> DataFrame:
     """The same events as untyped requests with defects of every kind."""
     e = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         (e - (e % 101 == 0).cast("int")).cast("string").alias("transaction_id"),
         F.when(e % 89 == 0, "not-a-time")
         .otherwise(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
@@ -68,7 +76,6 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled scores by formula, with many ties, for evaluation without a model."""
     label = _error_label()
-    mixed = (F.col("event_id") * 7919 + F.col("user_id") * 104729) % 1000
     return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.col("event_id").alias("row_id"),
@@ -76,10 +83,15 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(F.col("user_id") % 4, S.CUSTOMER_TIERS).alias("segment"),
         F.col("value").alias("amount"),
         label.alias("label"),
-        ((mixed + 500 * label) / F.lit(1500.0)).alias("score"),
+        formula_score(F.col("event_id"), F.col("user_id"), label).alias("score"),
     )
 
 
+def formula_score(event: Column, user: Column, label: Column) -> Column:
+    """A score that leans towards the label, for jobs without a model."""
+    return ((event * 7919 + user * 104729) % 1000 + 500 * label) / F.lit(1500.0)
+
+
 def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per order: heavy time ties and unseen customers."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
@@ -108,8 +120,6 @@ def requests(spark: SparkSession, sf_dir: str, candidate_percent: float = 30.0)
 
 def request_log(events: DataFrame, candidate_percent: float = 30.0) -> DataFrame:
     e, kind = F.col("event_id"), F.col("event_type")
-    label = _error_label()
-    mixed = (e * 7919 + F.col("user_id") * 104729) % 1000
     return events.select(
         e.alias("request_id"),
         F.col("ts").cast("timestamp").alias("ts"),
@@ -118,7 +128,7 @@ def request_log(events: DataFrame, candidate_percent: float = 30.0) -> DataFrame
         F.when((kind == "error") & (e % 4 == 0), 500).when(kind == "error", 422)
         .otherwise(200).cast("string").alias("status"),
         (F.col("value") / 100.0).alias("latency_s"),
-        ((mixed + 500 * label) / F.lit(1500.0)).alias("score"),
+        formula_score(e, F.col("user_id"), _error_label()).alias("score"),
         F.col("value").alias("amount"),
         X.traffic_slot(X.spread_key(e), candidate_percent).alias("slot"),
     )
