@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.operators.rank import ROWS_PER_BUCKET, count_at_or_below, cut_points
+from riskweave.operators.rank import ROWS_PER_BUCKET, cut_points, with_range
 from riskweave.operators.skew import HOT_ROWS, hot_hashes, salted_left_join
 from riskweave.session import settle
 
@@ -47,7 +47,7 @@ def history(points: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
         F.when(is_point, F.col("n_amount")).otherwise(nothing).alias("n_amount"),
         F.when(is_point, F.coalesce("amount_sum", F.lit(0))).otherwise(F.lit(0)).cast("decimal(38,6)").alias("total"),
         F.when(is_point, F.col("when")).alias("seen"))
-    events = events.withColumn("tile", count_at_or_below("when", cuts))
+    events = with_range(events, "when", cuts).withColumnRenamed("_range", "tile")
 
     inside = Window.partitionBy("customer_id", "tile").orderBy("when", is_point).rowsBetween(
         Window.unboundedPreceding, -1)

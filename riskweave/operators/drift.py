@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from riskweave import schema as S
 from riskweave.functions import scalars as X
 from riskweave.operators.features import numeric_columns
-from riskweave.operators.rank import count_at_or_below, exact_quantiles, top_per_group
+from riskweave.operators.rank import counted_quantiles, exact_quantiles, top_per_group, with_buckets
 
 SCORES = "feature string, kind string, score double"
 
@@ -24,14 +24,18 @@ SCORES = "feature string, kind string, score double"
 def feature_frame(df: DataFrame, features: Sequence[str] = (), label: str = "is_fraud") -> DataFrame:
     """The listed features that exist, else all numeric ones but the label.
 
-    Values become doubles, unreadable and infinite ones null; columns without
-    any value are dropped.
+    Values become doubles, unreadable and infinite ones null. Columns without
+    any value stay here: the scores leave them out, and ``drop_empty`` does
+    for a caller who wants the frame alone.
     """
     chosen = [c for c in features if c in df.columns]
     chosen = chosen or [c for c in numeric_columns(df) if c != label]
-    numbers = df.select([X.finite_or_null(F.col(c).try_cast("double")).alias(c) for c in chosen])
-    present = numbers.agg(*[F.count(c).alias(c) for c in chosen]).first()
-    return numbers.select([c for c in chosen if present[c] > 0])
+    return df.select([X.finite_or_null(F.col(c).try_cast("double")).alias(c) for c in chosen])
+
+
+def drop_empty(df: DataFrame) -> DataFrame:
+    present = df.agg(*[F.count(c).alias(c) for c in df.columns]).first()
+    return df.select([c for c in df.columns if present[c] > 0])
 
 
 def sample_rows(df: DataFrame, key: Column, row_id: str, n: int = S.DRIFT_REFERENCE_ROWS) -> DataFrame:
@@ -67,15 +71,16 @@ class Reference:
 
 
 def describe_reference(reference: DataFrame, bins: int = S.DRIFT_BINS) -> Reference:
-    """Median and distinct quantile edges of each feature, after median fill."""
+    """Median and distinct quantile edges of each feature, after median fill.
+
+    Features without any value are left out.
+    """
     cols = reference.columns
     grid = [(i, bins) for i in range(bins + 1)]
-    # the constant column counts the rows in the same passes
-    raw = exact_quantiles(reference.withColumn("_rows", F.lit(1)), [*cols, "_rows"], [*grid, (1, 2)])
-    rows, _ = raw.pop("_rows")
-    medians = {c: (v[-1] if n else 0.0) for c, (n, v) in raw.items()}
+    rows, raw = counted_quantiles(reference, cols, [*grid, (1, 2)])
+    medians = {c: v[-1] for c, (n, v) in raw.items() if n}
     edges = {c: sorted(set(v[:-1])) for c, (n, v) in raw.items() if n == rows > 0}
-    holed = [c for c in cols if c not in edges] if rows else []
+    holed = [c for c in medians if c not in edges]
     if holed:
         filled = exact_quantiles(fill(reference.select(holed), medians), holed, grid)
         edges |= {c: sorted(set(v)) for c, (_, v) in filled.items()}
@@ -88,30 +93,9 @@ def edge_table(reference: DataFrame, bins: int = S.DRIFT_BINS) -> DataFrame:
     return reference.sparkSession.createDataFrame(rows, "feature string, edge_no int, edge double")
 
 
-def fill(df: DataFrame, medians: dict[str, float]) -> DataFrame:
-    return df.select([F.coalesce(F.col(c), F.lit(medians.get(c, 0.0))).alias(c) for c in df.columns])
-
-
-def category_features(both: DataFrame, limit: int = S.CATEGORY_LIMIT) -> tuple[list[str], int]:
-    """Features with whole numbers only and at most ``limit`` distinct values,
-    and the number of current rows (``side`` 1).
-
-    A sketch settles most features: for so few values its estimate cannot
-    exceed ``2 * limit``. Only features below that are counted exactly.
-    """
-    cols = [c for c in both.columns if c != "side"]
-    row = both.agg(
-        F.count_if(F.col("side") == 1).alias("n_cur"),
-        *[F.bool_and(near_whole(F.col(c))).alias(f"w_{i}") for i, c in enumerate(cols)],
-        *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)]).first()
-    maybe = [c for i, c in enumerate(cols) if row[f"w_{i}"] and row[f"d_{i}"] <= 2 * limit]
-    found: set[str] = set()
-    if maybe:
-        exact = (
-            both.select(maybe).unpivot([], maybe, "feature", "value").distinct()
-            .groupBy("feature").count().filter(F.col("count") <= limit))
-        found = {r["feature"] for r in exact.collect()}
-    return [c for c in cols if c in found], row["n_cur"]
+def fill(df: DataFrame, medians: dict[str, float], *keep: str) -> DataFrame:
+    return df.select(*keep, *[
+        F.coalesce(F.col(c), F.lit(medians.get(c, 0.0))).alias(c) for c in df.columns if c not in keep])
 
 
 def drift_scores(reference: DataFrame, current: DataFrame, bins: int = S.DRIFT_BINS,
@@ -122,54 +106,105 @@ def drift_scores(reference: DataFrame, current: DataFrame, bins: int = S.DRIFT_B
     stability over the reference's quantile bins, or the shift of the mean in
     standard deviations where the reference has fewer than three edges.
     """
+    return _scored(reference, current, bins, described)[0]
+
+
+def _scored(reference, current, bins, described) -> tuple[DataFrame, int]:
+    """The scores and the number of current rows."""
     spark = reference.sparkSession
     cols = [c for c in reference.columns if c in current.columns]
     described = described or describe_reference(reference.select(cols), bins)
-    if not cols or described.rows < 2:
-        return spark.createDataFrame([], SCORES)
-    ref, cur = (fill(df.select(cols), described.medians) for df in (reference, current))
-    both = ref.withColumn("side", F.lit(0)).unionByName(cur.withColumn("side", F.lit(1)))
-    categories, n_cur = category_features(both)
-    if n_cur < 2:
-        return spark.createDataFrame([], SCORES)
-    numbers = [c for c in cols if c not in categories]
-    binned = [c for c in numbers if len(described.edges[c]) >= 3]
-    shifted = [c for c in numbers if len(described.edges[c]) < 3]
-
-    # bin of a number or the category itself: few distinct (feature, slot) pairs
-    slots = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("slot")) for c in categories] + [
-        F.struct(F.lit(c).alias("feature"),
-                 count_at_or_below(c, described.edges[c][1:-1]).cast("double").alias("slot"))
-        for c in binned]
+    cols = [c for c in cols if c in described.edges]
+    raw = reference.select(*cols, F.lit(0).alias("side")).unionByName(
+        current.select(*cols, F.lit(1).alias("side")))
+    n_cur, cols, maybe = _two_sides(raw, cols, described)
+    if not cols or described.rows < 2 or n_cur < 2:
+        return spark.createDataFrame([], SCORES), n_cur
+    both = fill(raw.select("side", *cols), described.medians, "side")
+    few = [c for c in cols if len(described.edges[c]) < 3]
+    # features without bins need their kind now, the others when their values are counted
+    shifted = [c for c in few if c not in _exact_categories(both, [c for c in few if c in maybe])]
+    counted = [c for c in cols if c not in shifted]
     parts = []
-    if slots:
-        shares = (
-            both.select("side", F.explode(F.array(*slots)).alias("s"))
-            .groupBy("s.feature", "s.slot").agg(
-                F.count_if(F.col("side") == 0).alias("n_ref"), F.count_if(F.col("side") == 1).alias("n_cur"))
-            .withColumns({"p": F.col("n_ref") / described.rows, "q": F.col("n_cur") / n_cur}))
-        # bins empty on both sides have equal floored shares and add nothing
-        p, q = (F.greatest(F.col(c), F.lit(1e-6)) for c in ("p", "q"))
-        is_category = F.col("feature").isin(categories) if categories else F.lit(False)
-        part = F.when(is_category, 0.5 * F.abs(F.col("p") - F.col("q"))).otherwise((q - p) * F.ln(q / p))
-        parts.append(shares.groupBy("feature").agg(F.sum(part).alias("score")).select(
-            "feature", F.when(is_category, "categorical").otherwise("psi").alias("kind"),
-            X.clip_unit("score").alias("score")))
+    if counted:
+        parts.append(_share_scores(both, counted, maybe, described, n_cur))
     if shifted:
-        row = both.agg(*[
-            f(F.when(F.col("side") == s, F.col(c))).alias(f"{name}_{i}")
-            for i, c in enumerate(shifted)
-            for name, f, s in (("m0", F.avg, 0), ("m1", F.avg, 1), ("sd", F.stddev_pop, 0))])
-        stacked = F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.lit("mean_shift").alias("kind"),
-                     X.clip_unit(F.abs(F.col(f"m1_{i}") - F.col(f"m0_{i}"))
-                                 / F.coalesce(F.nullif(F.col(f"sd_{i}"), F.lit(0.0)), F.lit(1.0))).alias("score"))
-            for i, c in enumerate(shifted)])
-        parts.append(row.select(F.explode(stacked).alias("s")).select("s.*"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        parts.append(_shift_scores(both, shifted))
+    return (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])), n_cur
+
+
+def _two_sides(raw: DataFrame, cols: list[str], described: Reference) -> tuple[int, list[str], list[str]]:
+    """Current rows, features with current values, and possible categories.
+
+    A category has whole numbers only and at most ``CATEGORY_LIMIT`` distinct
+    values; the sketch's estimate for so few cannot exceed twice the limit.
+    """
+    current = F.col("side") == 1
+    filled = [F.coalesce(F.col(c), F.lit(described.medians[c])) for c in cols]
+    row = raw.agg(
+        F.count_if(current).alias("n_cur"),
+        *[F.count_if(current & F.col(c).isNotNull()).alias(f"n_{i}") for i, c in enumerate(cols)],
+        *[F.bool_and(near_whole(v)).alias(f"w_{i}") for i, v in enumerate(filled)],
+        *[F.approx_count_distinct(v).alias(f"d_{i}") for i, v in enumerate(filled)]).first()
+    present = [c for i, c in enumerate(cols) if row[f"n_{i}"]]
+    maybe = [c for i, c in enumerate(cols)
+             if c in present and row[f"w_{i}"] and row[f"d_{i}"] <= 2 * S.CATEGORY_LIMIT]
+    return row["n_cur"], present, maybe
+
+
+def _exact_categories(both: DataFrame, cols: list[str]) -> set[str]:
+    if not cols:
+        return set()
+    sizes = both.select(cols).unpivot([], cols, "feature", "value").distinct().groupBy("feature").count()
+    return {r["feature"] for r in sizes.filter(F.col("count") <= S.CATEGORY_LIMIT).collect()}
+
+
+def _share_scores(both: DataFrame, cols: list[str], maybe: list[str], described: Reference, n_cur: int) -> DataFrame:
+    """Scores from the shares of bins or values: few (feature, slot) rows."""
+    by_value = [c for c in cols if c in maybe]
+    binned = [c for c in cols if c not in maybe]
+    inner = {c: described.edges[c][1:-1] for c in cols}
+    slots = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("slot")) for c in by_value] + [
+        F.struct(F.lit(c).alias("feature"), F.col(f"_bucket_{i}").cast("double").alias("slot"))
+        for i, c in enumerate(binned)]
+    counts = (
+        with_buckets(both, {c: inner[c] for c in binned})
+        .select("side", F.inline(F.array(*slots))).groupBy("feature", "slot")
+        .agg(F.count_if(F.col("side") == 0).alias("n_ref"), F.count_if(F.col("side") == 1).alias("n_cur")))
+    category = F.lit(False)
+    if by_value:
+        # a possible category with too many values turns into its bins after all
+        edges = F.create_map(*[x for c in by_value for x in (
+            F.lit(c), F.lit(inner[c]).cast("array<double>"))])
+        own = F.try_element_at(edges, F.col("feature"))
+        bin_of = F.size(F.filter(own, lambda e: F.col("slot") >= e)).cast("double")
+        values = F.count(F.lit(1)).over(Window.partitionBy("feature"))
+        counts = (
+            counts.withColumn("category", F.col("feature").isin(by_value) & (values <= S.CATEGORY_LIMIT))
+            .withColumn("slot", F.when(F.col("feature").isin(by_value) & ~F.col("category"), bin_of)
+                        .otherwise(F.col("slot")))
+            .groupBy("feature", "category", "slot").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")))
+        category = F.col("category")
+    p, q = F.col("n_ref") / described.rows, F.col("n_cur") / n_cur
+    # bins empty on both sides have equal floored shares and add nothing
+    fp, fq = F.greatest(p, F.lit(1e-6)), F.greatest(q, F.lit(1e-6))
+    part = F.when(category, 0.5 * F.abs(p - q)).otherwise((fq - fp) * F.ln(fq / fp))
+    kind = F.when(category, "categorical").otherwise("psi")
+    return counts.groupBy("feature", kind.alias("kind")).agg(X.clip_unit(F.sum(part)).alias("score"))
+
+
+def _shift_scores(both: DataFrame, cols: list[str]) -> DataFrame:
+    def on(side: int, c: str) -> Column:
+        return F.when(F.col("side") == side, F.col(c))
+
+    row = both.agg(*[m.alias(f"{n}_{i}") for i, c in enumerate(cols) for n, m in (
+        ("m0", F.avg(on(0, c))), ("m1", F.avg(on(1, c))), ("sd", F.stddev_pop(on(0, c))))])
+    scores = F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.lit("mean_shift").alias("kind"),
+                 X.clip_unit(F.abs(F.col(f"m1_{i}") - F.col(f"m0_{i}"))
+                             / F.coalesce(F.nullif(F.col(f"sd_{i}"), F.lit(0.0)), F.lit(1.0))).alias("score"))
+        for i, c in enumerate(cols)])
+    return row.select(F.inline(scores))
 
 
 def windowed_drift(
@@ -186,10 +221,10 @@ def windowed_drift(
 
     def bins_of(df: DataFrame, *keep: Column) -> DataFrame:
         filled = df.withColumns({c: F.coalesce(F.col(c), F.lit(described.medians[c])) for c in cols})
+        bucketed = with_buckets(filled, {c: described.edges[c][1:-1] for c in cols})
         slots = F.array(*[
-            F.struct(F.lit(c).alias("feature"), count_at_or_below(c, described.edges[c][1:-1]).alias("bin"))
-            for c in cols])
-        return filled.select(*keep, F.explode(slots).alias("s")).select("*", "s.*").drop("s")
+            F.struct(F.lit(c).alias("feature"), F.col(f"_bucket_{i}").alias("bin")) for i, c in enumerate(cols)])
+        return bucketed.select(*keep, F.inline(slots))
 
     expected = bins_of(reference).groupBy("feature", "bin").agg((F.count(F.lit(1)) / described.rows).alias("p"))
     window = F.window(time, width)["start"].alias("w")
@@ -218,15 +253,18 @@ def snapshot(reference: DataFrame | None, current: DataFrame, threshold: float =
              mode: str = "train_parquet", described: Reference | None = None) -> DataFrame:
     """One row on the state of drift: readiness, counts, ratio, mean score, scores by feature."""
     spark = current.sparkSession
-    n_cur = current.count()
     if reference is None:
-        return _not_ready(spark, "missing", 0, n_cur, "waiting_for_warmup_window", [])
+        return _not_ready(spark, "missing", 0, current.count(), "waiting_for_warmup_window", [])
     described = described or describe_reference(reference)
+    features = list(described.medians)
+    if not set(features) & set(current.columns):
+        n_cur = current.count()
+        reason = "feature_overlap_missing" if n_cur else "waiting_for_current_window"
+        return _not_ready(spark, mode, described.rows, n_cur, reason, features)
+    scores, n_cur = _scored(reference, current, S.DRIFT_BINS, described)
     if n_cur == 0:
-        return _not_ready(spark, mode, described.rows, 0, "waiting_for_current_window", reference.columns)
-    if not set(reference.columns) & set(current.columns):
-        return _not_ready(spark, mode, described.rows, n_cur, "feature_overlap_missing", reference.columns)
-    scores = with_alerts(drift_scores(reference, current, described=described), threshold)
+        return _not_ready(spark, mode, described.rows, 0, "waiting_for_current_window", features)
+    scores = with_alerts(scores, threshold)
     return scores.agg(
         F.count(F.lit(1)).alias("features_total"),
         F.coalesce(F.sum("alert"), F.lit(0)).cast("long").alias("features_alerting"),

@@ -9,10 +9,12 @@ the whole.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,11 +35,14 @@ def literal(value: Any) -> str:
 
 
 def count_at_or_below(column: str, edges: Sequence[Any]) -> Column:
-    """How many of the sorted ``edges`` are <= the value of ``column``."""
+    """How many of the sorted ``edges`` are <= the value of ``column``.
+
+    For texts, and for few edges of other kinds; see ``with_buckets``.
+    """
     if not edges:
         return F.lit(0)
     v, texts = f"`{column}`", [literal(e) for e in edges]
-    if len(edges) <= 32:
+    if len(edges) <= 8:
         return F.expr(" + ".join(f"CAST({v} >= {e} AS INT)" for e in texts))
     chunks = [texts[i:i + _CHUNK] for i in range(0, len(texts), _CHUNK)]
     firsts = ", ".join(c[0] for c in chunks)
@@ -47,6 +52,33 @@ def count_at_or_below(column: str, edges: Sequence[Any]) -> Column:
     return F.expr(f"CASE WHEN {full} = 0 THEN 0 ELSE ({full} - 1) * {_CHUNK} + {inner} END")
 
 
+def with_buckets(df: DataFrame, edges: Mapping[str, Sequence[float]], prefix: str = "_bucket_") -> DataFrame:
+    """Adds ``<prefix><i>`` per column: how many of its sorted edges are <= its value.
+
+    A binary search per value; a sum of comparisons over many columns grows
+    into methods the JVM does not compile.
+    """
+    columns = {}
+    for i, (c, es) in enumerate(edges.items()):
+        if len(es) < 1:
+            columns[f"{prefix}{i}"] = F.when(F.col(c).isNotNull(), 0)
+    searched = [(i, c, es) for i, (c, es) in enumerate(edges.items()) if len(es)]
+    # adding zero turns a negative zero into zero, which the search tells apart
+    df = df.withColumns({
+        **columns, **{f"_in_{i}": F.col(c).cast("double") + F.lit(0.0) for i, c, _ in searched}})
+    if not searched:
+        return df
+    inf = float("inf")
+    search = Bucketizer(
+        splitsArray=[[-inf, *[float(e) + 0.0 for e in es], inf] for _, _, es in searched],
+        inputCols=[f"_in_{i}" for i, _, _ in searched],
+        outputCols=[f"_out_{i}" for i, _, _ in searched], handleInvalid="keep")
+    found = search.transform(df)
+    return found.withColumns({
+        f"{prefix}{i}": F.col(f"_out_{i}").cast("int") for i, _, _ in searched
+    }).drop(*[f"_in_{i}" for i, _, _ in searched], *[f"_out_{i}" for i, _, _ in searched])
+
+
 def cut_points(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list:
     """At most ``MAX_BUCKETS`` - 1 values that cut ``column`` into even ranges."""
     if isinstance(df.schema[column].dataType, T.StringType):
@@ -77,6 +109,15 @@ def _hash_sample(df: DataFrame, column: str, distinct: int) -> list:
     return sorted(r[0] for r in picked.select(column).distinct().collect())
 
 
+def with_range(df: DataFrame, column: str, cuts: Sequence[Any]) -> DataFrame:
+    """Adds ``_range``: the range between ``cuts`` that a row falls into."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return df.withColumn("_range", count_at_or_below(column, cuts))
+    # whole numbers may share a double here; the ranges still follow their order
+    distinct = sorted({float(c) for c in cuts})
+    return with_buckets(df, {column: distinct}).withColumnRenamed("_bucket_0", "_range")
+
+
 def prefix_sums(
     df: DataFrame,
     by: Sequence[str],
@@ -97,7 +138,7 @@ def prefix_sums(
     direction = F.col(order).desc() if descending else F.col(order).asc()
     inside = Window.partitionBy(*by, "_range").orderBy(direction).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ranged = df.withColumn("_range", count_at_or_below(order, cuts))
+    ranged = with_range(df, order, cuts)
     local = ranged.select("*", *[F.sum(s).over(inside).alias(f"cum_{s}") for s in sums])
     if not cuts:
         return local.drop("_range")
@@ -124,7 +165,7 @@ def order_statistics(
     fractions: Sequence[float],
     ranks_of: Callable[[int], Sequence[int]],
     accuracy: int = 10_000,
-) -> dict[str, tuple[int, dict[int, tuple[Any, int]]]]:
+) -> tuple[int, dict[str, tuple[int, dict[int, tuple[Any, int]]]]]:
     """Exact values at 0-based ranks of several columns in two passes.
 
     ``fractions`` say roughly where the ranks lie. Pass 1 sketches a narrow
@@ -132,8 +173,10 @@ def order_statistics(
     distinct values only inside them (about ``4/accuracy`` of the rows each),
     so little is shuffled. A bracket that misses its rank is widened.
 
-    Returns ``{column: (non-null rows, {rank: (value, rows below value)})}``.
+    Returns the row count and ``{column: (non-null rows, {rank: (value, rows
+    below value)})}``.
     """
+    rows = 0
     done: dict[str, tuple[int, dict[int, tuple[Any, int]]]] = {}
     todo, slack = list(columns), 2.0
     while todo:
@@ -141,11 +184,11 @@ def order_statistics(
         probs = [p for f in fractions for p in (max(0.0, f - reach), min(1.0, f + reach))]
         array = ", ".join(f"{p!r}D" for p in probs)
         sketch = df.agg(
-            *[F.count(c).alias(f"n_{i}") for i, c in enumerate(todo)],
+            F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n_{i}") for i, c in enumerate(todo)],
             *[F.expr(f"percentile_approx(`{c}`, array({array}), {accuracy})").alias(f"q_{i}")
               for i, c in enumerate(todo)],
         ).first()
-        brackets: dict[str, list[tuple]] = {}
+        rows, brackets = sketch["rows"], {}
         for i, c in enumerate(todo):
             if sketch[f"n_{i}"] == 0:
                 done[c] = (0, {})
@@ -162,13 +205,13 @@ def order_statistics(
                 done[c] = (n, found)
         todo = [c for c in todo if c not in done]
         slack *= 50
-    return done
+    return rows, done
 
 
 def _merge(pairs: list[tuple]) -> list[tuple]:
     merged: list[tuple] = []
     for lo, hi in pairs:
-        if merged and lo <= merged[-1][1]:
+        if merged and lo <= math.nextafter(merged[-1][1], math.inf):
             merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
         else:
             merged.append((lo, hi))
@@ -177,57 +220,69 @@ def _merge(pairs: list[tuple]) -> list[tuple]:
 
 def _inside_brackets(df, brackets, wanted):
     """Values at the wanted ranks of each column, where a bracket holds them."""
-    cells = []
-    for c, pairs in brackets.items():
-        real = isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
-        # odd cells are brackets, even cells lie between them
-        cell = " + ".join(
-            f"CAST(`{c}` >= {literal(lo)} AS INT) + CAST(`{c}` > {literal(hi)} AS INT)" for lo, hi in pairs)
-        kept = f"CASE WHEN ({cell}) % 2 = 1 THEN `{c}` END"
-        cells.append(
-            f"CASE WHEN `{c}` IS NOT NULL THEN named_struct('col', {literal(c)}, 'cell', {cell}, "
-            f"'real', CAST({kept if real else 'NULL'} AS DOUBLE), "
-            f"'whole', CAST({'NULL' if real else kept} AS BIGINT)) END")
-    long = df.select(F.expr(f"explode(array_compact(array({', '.join(cells)}))) AS s")).select("s.*")
+    names = list(brackets)
+    whole = all(isinstance(df.schema[c].dataType, T.IntegralType) for c in names)
+    kind = "BIGINT" if whole else "DOUBLE"
+    # odd cells are brackets, even cells lie between them
+    if whole:
+        cells = [
+            " + ".join(f"CAST(`{c}` >= {literal(lo)} AS INT) + CAST(`{c}` > {literal(hi)} AS INT)"
+                       for lo, hi in brackets[c]) for c in names]
+        long = df.select(*names).selectExpr(*[f"`{c}`" for c in names], *[f"{e} AS _{i}" for i, e in enumerate(cells)])
+    else:
+        long = with_buckets(df.select(*names), {
+            c: [e for lo, hi in brackets[c] for e in (lo, math.nextafter(hi, math.inf))] for c in names}, "_")
+    rows = ", ".join(
+        f"named_struct('col', {i}, 'cell', _{i}, 'v', CASE WHEN _{i} % 2 = 1 THEN CAST(`{c}` AS {kind}) END)"
+        for i, c in enumerate(names))
     counts = settle(
-        long.groupBy("col", "cell", "real", "whole").agg(F.count(F.lit(1)).alias("n")), "brackets")
+        long.selectExpr(f"inline(array({rows}))").filter(F.col("cell").isNotNull())
+        .groupBy("col", "cell", "v").agg(F.count(F.lit(1)).alias("n")), "brackets")
 
-    start_of, targets, at = {}, [], {c: 0 for c in brackets}
+    start_of, targets, at = {}, [], [0] * len(names)
     totals = counts.groupBy("col", "cell").agg(F.sum("n").alias("n")).collect()
-    for c, cell, n in sorted(tuple(r) for r in totals):
+    for i, cell, n in sorted(tuple(r) for r in totals):
         if cell % 2 == 1:
-            start_of[c, cell] = at[c]
-            targets += [(c, cell, k - at[c]) for k in wanted[c][1] if at[c] <= k < at[c] + n]
-        at[c] += n
+            start_of[i, cell] = at[i]
+            targets += [(i, cell, k - at[i]) for k in wanted[names[i]][1] if at[i] <= k < at[i] + n]
+        at[i] += n
 
-    result: dict[str, dict[int, tuple[Any, int]]] = {c: {} for c in brackets}
+    result: dict[str, dict[int, tuple[Any, int]]] = {c: {} for c in names}
     if not targets:
         return result
     upto = F.sum("n").over(
-        Window.partitionBy("col", "cell").orderBy("real", "whole")
+        Window.partitionBy("col", "cell").orderBy("v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     hit = F.expr(" OR ".join(
-        f"(col = {literal(c)} AND cell = {cell} AND upto > {k} AND upto - n <= {k})" for c, cell, k in targets))
+        f"(col = {i} AND cell = {cell} AND upto > {k} AND upto - n <= {k})" for i, cell, k in targets))
     inside = counts.filter(F.col("cell") % 2 == 1).withColumn("upto", upto)
     for r in inside.filter(hit).collect():
-        c, end = r["col"], start_of[r["col"], r["cell"]] + r["upto"]
-        value = r["whole"] if r["real"] is None else r["real"]
+        c, end = names[r["col"]], start_of[r["col"], r["cell"]] + r["upto"]
         for k in wanted[c][1]:
             if end - r["n"] <= k < end:
-                result[c][k] = (value, end - r["n"])
+                result[c][k] = (r["v"], end - r["n"])
     return result
 
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], fractions: Sequence[tuple[int, int]],
 ) -> dict[str, tuple[int, list[float | None]]]:
-    """Linearly interpolated quantiles at ``num/den`` positions, in whole-number steps."""
+    """``{column: (non-null rows, quantiles)}``, see ``counted_quantiles``."""
+    return counted_quantiles(df, columns, fractions)[1]
+
+
+def counted_quantiles(
+    df: DataFrame, columns: Sequence[str], fractions: Sequence[tuple[int, int]],
+) -> tuple[int, dict[str, tuple[int, list[float | None]]]]:
+    """Row count and linearly interpolated quantiles at ``num/den`` positions,
+    which are found in whole-number steps."""
     def ranks(n: int) -> list[int]:
         lows = [num * (n - 1) // den for num, den in fractions]
         return sorted({k for low in lows for k in (low, min(low + 1, n - 1))})
 
     out: dict[str, tuple[int, list[float | None]]] = {}
-    for c, (n, at) in order_statistics(df, columns, [a / b for a, b in fractions], ranks).items():
+    rows, found = order_statistics(df, columns, [a / b for a, b in fractions], ranks)
+    for c, (n, at) in found.items():
         values: list[float | None] = []
         for num, den in fractions:
             if n == 0:
@@ -237,7 +292,7 @@ def exact_quantiles(
             a, b = float(at[low][0]), float(at[min(low + 1, n - 1)][0])
             values.append(a + (b - a) * (rest / den))
         out[c] = (n, values)
-    return out
+    return rows, out
 
 
 def kth_text(df: DataFrame, column: str, k: int) -> str:

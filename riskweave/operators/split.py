@@ -55,10 +55,10 @@ def find_cut(df: DataFrame, ratio: float, time: str = "timestamp", row_id: str =
     if not 0 < ratio < 1:
         raise ValueError("ratio must lie between 0 and 1")
     keys = df.select(_micros(time).alias("_micros"), F.col(row_id).cast("string").alias("_id"))
-    n, at = order_statistics(keys, ["_micros"], [ratio], lambda n: [int(n * ratio)])["_micros"]
+    n, found = order_statistics(keys, ["_micros"], [ratio], lambda n: [int(n * ratio)])
     if n == 0:
         raise ValueError("nothing to split")
-    micros, below = at[int(n * ratio)]
+    micros, below = found["_micros"][1][int(n * ratio)]
     ties = int(n * ratio) - below
     if ties == 0:
         return Cut(micros, None)
