@@ -52,7 +52,7 @@ class FeatureState:
     def fit(cls, train: DataFrame, hot_rows: int = HOT_ROWS) -> FeatureState:
         stats = settle(customer_stats(train), "customer-stats")
         n, (median,) = exact_quantiles(
-            train.select(F.col("amount").cast("double")), ["amount"], [(1, 2)])["amount"]
+            train.select(X.finite_or_null("amount").alias("amount")), ["amount"], [(1, 2)])["amount"]
         if n == 0:
             raise ValueError("no amounts to fit on")
         codes = settle(category_codes(train, (TIER, *S.CATEGORY_COLUMNS)), "category-codes")

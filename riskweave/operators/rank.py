@@ -171,7 +171,8 @@ def order_statistics(
     ``fractions`` say roughly where the ranks lie. Pass 1 sketches a narrow
     bracket round each; pass 2 counts the rows between brackets and keeps the
     distinct values only inside them (about ``4/accuracy`` of the rows each),
-    so little is shuffled. A bracket that misses its rank is widened.
+    so little is shuffled. A bracket that misses its rank is widened, in the end
+    to the whole range.
 
     Returns the row count and ``{column: (non-null rows, {rank: (value, rows
     below value)})}``.
@@ -184,7 +185,9 @@ def order_statistics(
         probs = [p for f in fractions for p in (max(0.0, f - reach), min(1.0, f + reach))]
         array = ", ".join(f"{p!r}D" for p in probs)
         sketch = df.agg(
-            F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n_{i}") for i, c in enumerate(todo)],
+            F.count(F.lit(1)).alias("rows"),
+            *[f(c).alias(f"{name}_{i}") for i, c in enumerate(todo) for name, f in (("lo", F.min), ("hi", F.max))],
+            *[F.count(c).alias(f"n_{i}") for i, c in enumerate(todo)],
             *[F.expr(f"percentile_approx(`{c}`, array({array}), {accuracy})").alias(f"q_{i}")
               for i, c in enumerate(todo)],
         ).first()
@@ -194,7 +197,8 @@ def order_statistics(
                 done[c] = (0, {})
             else:
                 q = sketch[f"q_{i}"]
-                brackets[c] = _merge(sorted(zip(q[::2], q[1::2])))
+                pairs = zip(q[::2], q[1::2]) if reach < 1 else [(sketch[f"lo_{i}"], sketch[f"hi_{i}"])]
+                brackets[c] = _merge(sorted(pairs))
         if not brackets:
             break
         picked = _inside_brackets(df, brackets, {
@@ -317,6 +321,8 @@ def kth_text(df: DataFrame, column: str, k: int) -> str:
             if k < n:
                 break
             k -= n
+        else:
+            raise IndexError("rank beyond the number of rows")
         if r > 0:
             rest = rest.filter(F.col(column) >= edges[r - 1])
         if r < len(edges):
