@@ -13,23 +13,30 @@ from riskweave.operators.quality import split_valid
 from riskweave.session import scratch_path
 from riskweave.streaming.requests import run_available
 
-LATE = "1 hour"
-
+def drop_repeats(
+    requests: DataFrame, late: str, time: str = "timestamp", row_id: str = "transaction_id",
+) -> DataFrame:
+    """Repeated requests within the lateness bound count once.
 
-def drop_repeats(requests: DataFrame, time: str = "timestamp", row_id: str = "transaction_id") -> DataFrame:
-    """Repeated requests within the lateness bound count once."""
-    return requests.withWatermark(time, LATE).dropDuplicatesWithinWatermark([row_id])
+    Requests later than the bound are left out, so ``late`` must cover the
+    disorder of the source.
+    """
+    return requests.withWatermark(time, late).dropDuplicatesWithinWatermark([row_id])
 
 
 def score_stream(
     requests: DataFrame, state: FeatureState, score: Callable[[DataFrame], DataFrame], threshold: float,
+    late: str | None = None,
 ) -> DataFrame:
-    """Valid requests, once each, with features, score, decision and band.
+    """Valid requests with features, score, decision and band.
 
-    ``score`` adds the column ``score`` to the transformed rows.
+    ``score`` adds the column ``score`` to the transformed rows. Every request
+    is scored; with a lateness bound repeated ones count once.
     """
     valid, _ = split_valid(requests)
-    return E.score_bands(score(state.transform(drop_repeats(valid))), threshold)
+    if late is not None:
+        valid = drop_repeats(valid, late)
+    return E.score_bands(score(state.transform(valid)), threshold)
 
 
 def write_scores(scored: DataFrame, label: str = "scores") -> DataFrame:
