@@ -41,8 +41,8 @@ def history(points: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
         for name, back in {"now": 0, **HORIZONS}.items()])
     nothing = F.lit(0).cast("long")
     is_point = F.col("ask") == "now"
-    events = points.select("customer_id", "at", "n", "n_amount", "amount_sum", F.explode(asks).alias("q")).select(
-        "customer_id", "at", "q.ask", "q.when",
+    events = points.select("*", F.explode(asks).alias("q")).select(
+        "customer_id", "at", "q.ask", "q.when", F.when(is_point, F.col("first_id")).alias("first_id"),
         F.when(is_point, F.col("n")).otherwise(nothing).alias("n"),
         F.when(is_point, F.col("n_amount")).otherwise(nothing).alias("n_amount"),
         F.when(is_point, F.coalesce("amount_sum", F.lit(0))).otherwise(F.lit(0)).cast("decimal(38,6)").alias("total"),
@@ -51,9 +51,9 @@ def history(points: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
 
     inside = Window.partitionBy("customer_id", "tile").orderBy("when", is_point).rowsBetween(
         Window.unboundedPreceding, -1)
-    local = events.select(
-        "customer_id", "tile", "at", "ask",
-        *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(c) for c in ("n", "n_amount", "total")],
+    own = ["customer_id", "tile", "at", "ask", "first_id", "own_n"]
+    local = events.withColumn("own_n", F.col("n")).select(
+        *own, *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(c) for c in ("n", "n_amount", "total")],
         F.max("seen").over(inside).alias("seen"))
     if cuts:
         # at most one row per customer and tile
@@ -66,8 +66,7 @@ def history(points: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
             *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"c_{c}") for c in ("n", "n_amount", "total")],
             F.max("seen").over(before).alias("c_seen"))
         local = local.join(carried, ["customer_id", "tile"]).select(
-            "customer_id", "tile", "at", "ask",
-            *[(F.col(c) + F.col(f"c_{c}")).alias(c) for c in ("n", "n_amount", "total")],
+            *own, *[(F.col(c) + F.col(f"c_{c}")).alias(c) for c in ("n", "n_amount", "total")],
             F.coalesce("seen", "c_seen").alias("seen"))
 
     def at_ask(name: str, c: str):
@@ -75,7 +74,7 @@ def history(points: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
 
     return local.groupBy("customer_id", "at").agg(
         *[at_ask(name, c) for name in ("now", *HORIZONS) for c in ("n", "n_amount", "total")],
-        at_ask("now", "seen"))
+        at_ask("now", "seen"), F.max("first_id").alias("first_id"), F.max("own_n").alias("n"))
 
 
 def behaviour(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -86,7 +85,7 @@ def behaviour(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, hot_rows: i
     past = history(points, rows_per_bucket)
     amounts_before = F.col("now_n_amount") - F.col("30d_n_amount")
     spent = (F.col("now_total") - F.col("30d_total")).cast("double")
-    per_point = past.join(points.select("customer_id", "at", "n", "first_id"), ["customer_id", "at"]).select(
+    per_point = past.select(
         "customer_id", "at", "n", "first_id", F.col("now_seen").alias("previous"),
         (F.col("now_n") - F.col("1h_n") + F.col("n")).alias("tx_count_last_1h"),
         (F.col("now_n") - F.col("24h_n") + F.col("n")).alias("tx_count_last_24h"),

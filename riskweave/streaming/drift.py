@@ -12,6 +12,9 @@ from riskweave import schema as S
 from riskweave.operators import drift as D
 
 
+MAX_SLOTS = 100
+
+
 class RollingDrift:
     """State of one stream in the shared folder, one version per micro-batch.
 
@@ -47,7 +50,9 @@ class RollingDrift:
             rows.unionByName(before), [self.slot], self.time, self.row_id, self.window).drop("row_no")
         current = self._write(merged, "window", batch_id)
         baseline = None if self.reference is not None else self._baseline(batch, batch_id)
-        slots = sorted(r[0] for r in current.select(self.slot).distinct().collect())
+        slots = sorted(r[0] for r in current.select(self.slot).distinct().limit(MAX_SLOTS + 1).collect())
+        if len(slots) > MAX_SLOTS:
+            raise ValueError(f"more than {MAX_SLOTS} slots; use windowed_drift for wide keys")
         shots = None
         for slot in slots:
             live = current.filter(F.col(self.slot) == slot).select(self.features)
@@ -72,7 +77,7 @@ class RollingDrift:
         if before is not None:
             done = before.filter("frozen").select(self.slot).distinct()
             open_rows = before.filter("not frozen").drop("frozen")
-            rows = rows.join(F.broadcast(done), self.slot, "left_anti").unionByName(open_rows)
+            rows = rows.join(done, self.slot, "left_anti").unionByName(open_rows)
         first = D.warmup_rows(rows, [self.slot], self.time, self.row_id, 1, self.warmup_most).withColumn(
             "frozen", F.max("row_no").over(D.Window.partitionBy(self.slot)) >= self.warmup_least).drop("row_no")
         if before is not None:
