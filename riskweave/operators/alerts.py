@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions import scalars as X
 from riskweave.operators.metrics import over_range
+from riskweave.operators.rank import join_null_safe
 
 
 @dataclass(frozen=True)
@@ -52,7 +53,7 @@ def evaluation_grid(steps: DataFrame, at: str, step: str, labels: DataFrame | No
 def on_grid(grid: DataFrame, measured: DataFrame, condition: Column, absent: bool = False) -> DataFrame:
     """``cond`` at every grid point; a point without a measurement takes ``absent``."""
     keys = grid.columns
-    return grid.join(measured.withColumn("_measured", F.lit(True)), keys, "left").select(
+    return join_null_safe(grid, measured.withColumn("_measured", F.lit(True)), keys, "left").select(
         *keys, F.when(F.col("_measured"), F.coalesce(condition, F.lit(False)))
         .otherwise(F.lit(absent)).alias("cond"))
 

@@ -35,7 +35,6 @@ def history(points: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
     Every point also asks for the totals at ``at - horizon``: these questions
     are sorted among the points and answered by the same cumulative sum.
     """
-    cuts = cut_points(points, "at", rows_per_bucket)
     asks = F.array(*[
         F.struct(F.lit(name).alias("ask"), (F.col("at") - back).alias("when"))
         for name, back in {"now": 0, **HORIZONS}.items()])
@@ -47,6 +46,8 @@ def history(points: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
         F.when(is_point, F.col("n_amount")).otherwise(nothing).alias("n_amount"),
         F.when(is_point, F.coalesce("amount_sum", F.lit(0))).otherwise(F.lit(0)).cast("decimal(38,6)").alias("total"),
         F.when(is_point, F.col("when")).alias("seen"))
+    # cut by all times, asked ones included: these may crowd where no point lies
+    cuts = cut_points(events, "when", rows_per_bucket)
     events = with_range(events, "when", cuts).withColumnRenamed("_range", "tile")
 
     inside = Window.partitionBy("customer_id", "tile").orderBy("when", is_point).rowsBetween(

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions import scalars as X
+from riskweave.operators.rank import ROWS_PER_BUCKET, cut_points, join_null_safe, with_range
+from riskweave.session import settle
 
 STEP = "1 minute"
 
@@ -88,24 +90,28 @@ def rate(column: str, seconds: float) -> Column:
     return F.col(column) / seconds
 
 
-def counter_increase(samples: DataFrame, series: Sequence[str], time: str, value: str, step: str = STEP) -> DataFrame:
+def counter_increase(samples: DataFrame, series: Sequence[str], time: str, value: str, step: str = STEP,
+                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Growth of a counter per step; a falling value is a restart from zero.
 
-    A sample follows the previous one of its series. Inside a step that is a
-    window over the step's samples; a step's first sample follows the last one
-    of the latest earlier step, so long series are cut at every step. The
-    first sample of a series adds nothing.
+    A sample follows the previous one of its series; the first one adds
+    nothing. Equal samples add nothing either and collapse first. Inside a
+    tile (step and time range) a window finds the previous sample, a tile's
+    first sample follows the last one of the tile before: so neither a long
+    series nor a crowded step falls to one task.
     """
-    s = samples.withColumn("step", F.window(time, step)["start"])
-    lasts = s.groupBy(*series, "step").agg(
+    s = settle(
+        samples.select(*series, time, value).distinct()
+        .withColumns({"step": F.window(time, step)["start"], "_micros": F.unix_micros(time)}), "samples")
+    s = with_range(s, "_micros", cut_points(s, "_micros", rows_per_bucket))
+    lasts = s.groupBy(*series, "step", "_range").agg(
         F.max_by(value, F.struct(F.col(time), F.col(value))).alias("last"))
-    # one row per series and step: bounded by the calendar
+    # one row per series and tile: bounded by the calendar and the cuts
     entering = lasts.withColumn("entering", F.lag("last").over(
-        Window.partitionBy(*series).orderBy("step"))).drop("last")
-    inside = Window.partitionBy(*series, "step").orderBy(time, value)
+        Window.partitionBy(*series).orderBy("step", "_range"))).drop("last")
+    inside = Window.partitionBy(*series, "step", "_range").orderBy(time, value)
     deltas = (
-        s.withColumn("before", F.lag(value).over(inside))
-        .join(entering, [*series, "step"])
+        join_null_safe(s.withColumn("before", F.lag(value).over(inside)), entering, [*series, "step", "_range"])
         .withColumn("before", F.coalesce("before", "entering"))
         .withColumn("delta", F.when(F.col(value) < F.col("before"), F.col(value)).otherwise(
             F.col(value) - F.col("before"))))

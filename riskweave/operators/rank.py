@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.ml.feature import Bucketizer
@@ -151,12 +152,16 @@ def prefix_sums(
         .select(*by, "_range", *[
             F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_c_{s}") for s in sums])
     )
-    keys = [*by, "_range"]
-    joined = local.alias("l").join(
-        carried.alias("c"), reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]))
-    return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns],
-        *[(F.col(f"cum_{s}") + F.col(f"_c_{s}")).alias(f"cum_{s}") for s in sums])
+    joined = join_null_safe(local, carried, [*by, "_range"])
+    return joined.select(*df.columns, *[
+        (F.col(f"cum_{s}") + F.col(f"_c_{s}")).alias(f"cum_{s}") for s in sums])
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null; keys are kept once."""
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(right, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def order_statistics(
@@ -254,12 +259,12 @@ def _inside_brackets(df, brackets, wanted):
     result: dict[str, dict[int, tuple[Any, int]]] = {c: {} for c in names}
     if not targets:
         return result
-    upto = F.sum("n").over(
-        Window.partitionBy("col", "cell").orderBy("v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    held = sum(n for _, cell, n in totals if cell % 2 == 1)
+    inside = prefix_sums(
+        counts.filter(F.col("cell") % 2 == 1), ["col", "cell"], "v", ["n"],
+        cuts=[] if held <= ROWS_PER_BUCKET else None).withColumnRenamed("cum_n", "upto")
     hit = F.expr(" OR ".join(
         f"(col = {i} AND cell = {cell} AND upto > {k} AND upto - n <= {k})" for i, cell, k in targets))
-    inside = counts.filter(F.col("cell") % 2 == 1).withColumn("upto", upto)
     for r in inside.filter(hit).collect():
         c, end = names[r["col"]], start_of[r["col"], r["cell"]] + r["upto"]
         for k in wanted[c][1]:

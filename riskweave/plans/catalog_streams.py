@@ -28,7 +28,8 @@ THRESHOLD = 0.4
 SELECT a.transaction_id, round(s.score, 6) AS fraud_score, CASE WHEN s.score >= {THRESHOLD} THEN 1 ELSE 0 END AS is_fraud_pred,
   {V.risk_band("s.score")} AS risk_level, coalesce(st.customer_tx_count, 0) AS customer_tx_count,
   CASE a.customer_tier WHEN 'INSPIRE' THEN 0 WHEN 'MASS' THEN 1 WHEN 'PRIORITY' THEN 2 ELSE 3 END AS segment_encoded
-FROM tx a JOIN scored s USING (transaction_id) LEFT JOIN stats st ON st.customer_id = a.customer_id""")
+FROM tx a JOIN scored s USING (transaction_id) LEFT JOIN stats st ON st.customer_id = a.customer_id
+WHERE a.amount > 0""")
 def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     state = FeatureState.fit(SP.chrono_split(A.transactions(spark, sf))[0])
     requests = A.transactions_of(SR.table_stream(spark, sf, "events"))
@@ -56,7 +57,7 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("stream_messages", "S7 D7 D8 P9", f"""WITH {V.TX}
-SELECT transaction_id, amount, upper(customer_tier) AS customer_tier, "timestamp", true AS message_ok FROM tx""")
+SELECT transaction_id, amount, upper(customer_tier) AS customer_tier, "timestamp", true AS message_ok FROM tx WHERE amount > 0""")
 def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
     """JSON messages of one record or a list of up to seven, as a stream."""
     folder = scratch_path(spark, "messages")

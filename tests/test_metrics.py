@@ -42,10 +42,14 @@ def test_sliding_sums(spark):
 @pytest.mark.parametrize("parts", [1, 6])
 def test_counter_growth_over_resets_and_steps(spark, parts):
     rows = [("a", _at(0, 0), 5.0), ("a", _at(0, 30), 8.0), ("a", _at(2, 0), 10.0), ("a", _at(2, 10), 3.0),
-            ("a", _at(2, 20), 4.0), ("b", _at(1, 0), 7.0)]
+            ("a", _at(2, 20), 4.0), ("b", _at(1, 0), 7.0),
+            (None, _at(3), 1.0), (None, _at(4), 2.0)]
     df = spark.createDataFrame(rows, "s string, ts timestamp, v double").repartition(parts)
-    got = {(r["s"], r["step"]): r["increase"] for r in M.counter_increase(df, ["s"], "ts", "v").collect()}
-    assert got == {("a", _at(0)): 3.0, ("a", _at(2)): 6.0, ("b", _at(1)): 0.0}
+    want = {("a", _at(0)): 3.0, ("a", _at(2)): 6.0, ("b", _at(1)): 0.0, (None, _at(3)): 0.0, (None, _at(4)): 1.0}
+    for source in (df, df.unionByName(df)):
+        for rows_per_bucket in (1, 10**6):
+            grown = M.counter_increase(source, ["s"], "ts", "v", rows_per_bucket=rows_per_bucket)
+            assert {(r["s"], r["step"]): r["increase"] for r in grown.collect()} == want
 
 
 def test_last_value(spark):

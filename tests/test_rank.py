@@ -57,6 +57,14 @@ def test_rough_sketch_still_gives_exact_ranks(spark):
     assert found["v"][1][5000][1] == 5000
 
 
+def test_crowded_brackets_are_cut_into_ranges(spark, monkeypatch):
+    monkeypatch.setattr(R, "ROWS_PER_BUCKET", 500)
+    monkeypatch.setitem(R.prefix_sums.__kwdefaults__, "rows_per_bucket", 500)
+    df = numbers(spark, [float(i * 7919 % 20000) for i in range(20000)])
+    _, found = R.order_statistics(df, ["v"], [0.25, 0.9], lambda n: [5000, 18000], accuracy=20)
+    assert {k: v for k, v in found["v"][1].items()} == {5000: (5000.0, 5000), 18000: (18000.0, 18000)}
+
+
 def test_several_columns_nulls_and_an_empty_one(spark):
     df = spark.range(101).select(
         F.col("id").cast("double").alias("a"), F.when(F.col("id") % 2 == 0, F.col("id") * 2.0).alias("b"),
