@@ -24,7 +24,7 @@ from riskweave.session import settle
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
-CUT_SAMPLE = 20_000
+CUT_SAMPLE = 100_000
 _CHUNK = 64
 
 
@@ -81,25 +81,14 @@ def with_buckets(df: DataFrame, edges: Mapping[str, Sequence[float]], prefix: st
 
 
 def cut_points(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list:
-    """At most ``MAX_BUCKETS`` - 1 values that cut ``column`` into even ranges."""
-    if isinstance(df.schema[column].dataType, T.StringType):
-        return _text_cuts(df, column, rows_per_bucket)
-    grid = ", ".join(f"{i / MAX_BUCKETS}D" for i in range(1, MAX_BUCKETS))
-    n, points = df.agg(
-        F.count(column), F.expr(f"percentile_approx(`{column}`, array({grid}), {4 * MAX_BUCKETS})")
-    ).first()
-    buckets = min(MAX_BUCKETS, -(-n // rows_per_bucket))
-    if buckets < 2:
-        return []
-    return sorted({points[i * MAX_BUCKETS // buckets - 1] for i in range(1, buckets)})
-
-
-def _text_cuts(df: DataFrame, column: str, rows_per_bucket: int) -> list[str]:
-    n = df.agg(F.approx_count_distinct(column)).first()[0]
-    buckets = min(MAX_BUCKETS, -(-n // rows_per_bucket))
-    if buckets < 2:
-        return []
-    values = _hash_sample(df, column, n)
+    """Values that cut ``column`` into ranges of about ``rows_per_bucket`` distinct values.
+
+    At most ``MAX_BUCKETS`` ranges. The cuts come from a sample of the distinct
+    values, so no task merges sketches of the whole and copies have no weight.
+    """
+    distinct = df.agg(F.approx_count_distinct(column)).first()[0]
+    buckets = min(MAX_BUCKETS, -(-distinct // rows_per_bucket))
+    values = _hash_sample(df, column, distinct) if buckets > 1 else []
     return sorted({values[i * len(values) // buckets] for i in range(1, buckets)}) if values else []
 
 
@@ -169,14 +158,15 @@ def order_statistics(
     columns: Sequence[str],
     fractions: Sequence[float],
     ranks_of: Callable[[int], Sequence[int]],
-    accuracy: int = 10_000,
+    accuracy: int = 2_000,
 ) -> tuple[int, dict[str, tuple[int, dict[int, tuple[Any, int]]]]]:
     """Exact values at 0-based ranks of several columns in two passes.
 
     ``fractions`` say roughly where the ranks lie. Pass 1 sketches a narrow
     bracket round each; pass 2 counts the rows between brackets and keeps the
     distinct values only inside them (about ``4/accuracy`` of the rows each),
-    so little is shuffled. A bracket that misses its rank is widened, in the end
+    so little is shuffled. A finer sketch narrows the brackets but makes each
+    task's sketch, which one task merges, larger. A bracket that misses its rank is widened, in the end
     to the whole range.
 
     Returns the row count and ``{column: (non-null rows, {rank: (value, rows
@@ -313,7 +303,7 @@ def kth_text(df: DataFrame, column: str, k: int) -> str:
     rest = df.select(column)
     while True:
         distinct = rest.agg(F.approx_count_distinct(column)).first()[0]
-        if distinct <= 2 * CUT_SAMPLE:
+        if distinct <= CUT_SAMPLE:
             for value, n in sorted(tuple(r) for r in rest.groupBy(column).count().collect()):
                 if k < n:
                     return value
