@@ -52,7 +52,7 @@ def value_counts_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def label_rate(df: DataFrame, label: str = "is_fraud") -> Column:
+def label_rate(label: str = "is_fraud") -> Column:
     return F.avg(label) * 100
 
 
@@ -60,7 +60,7 @@ def class_distribution(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     return df.agg(
         F.count_if(F.col(label) == 0).alias("n_legit"),
         F.count_if(F.col(label) == 1).alias("n_fraud"),
-        label_rate(df, label).alias("fraud_rate_pct"),
+        label_rate(label).alias("fraud_rate_pct"),
     )
 
 
@@ -88,40 +88,37 @@ def shape(df: DataFrame, time: str = "timestamp") -> DataFrame:
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:
-    """Whole profile as ``(metric, column, key, value)``; absent columns are skipped."""
+    """Whole profile as ``(metric, column, key, value)``; absent columns are skipped.
+
+    Row count, nulls and label rate share one pass, all value counts another.
+    """
     has = set(df.columns)
 
-    def rows(frame: DataFrame, metric: str, column: Column | str, key: Column | None, value: str) -> DataFrame:
-        column = F.col(column) if isinstance(column, str) else column
-        none = F.lit(None).cast("string")
-        return frame.select(
-            F.lit(metric).alias("metric"), column.cast("string").alias("column"),
-            (none if key is None else key).cast("string").alias("key"),
-            F.col(value).cast("double").alias("value"))
-
-    wide = df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns")).unpivot(
-        [], ["rows", "columns"], "metric", "value")
-    parts = [
-        wide.select("metric", F.lit(None).cast("string").alias("column"),
-                    F.lit(None).cast("string").alias("key"), F.col("value").cast("double").alias("value")),
-        rows(null_counts(df), "nulls", "column", None, "nulls"),
-    ]
+    def row(metric: str, column: str | None, key: str | None, value: Column) -> Column:
+        return F.struct(
+            F.lit(metric).alias("metric"), F.lit(column).cast("string").alias("column"),
+            F.lit(key).cast("string").alias("key"), value.cast("double").alias("value"))
+
+    facts = {"rows": F.count(F.lit(1)), **{f"nulls_{c}": F.count_if(F.col(c).isNull()) for c in df.columns}}
+    rows = [row("rows", None, None, F.col("rows")), row("columns", None, None, F.lit(len(df.columns)))]
+    rows += [row("nulls", c, None, F.nullif(F.col(f"nulls_{c}"), F.lit(0))) for c in df.columns]
+    if "is_fraud" in has:
+        facts["rate"] = label_rate()
+        rows.append(row("rate_pct", "is_fraud", None, F.col("rate")))
+    wide = df.agg(*[v.alias(k) for k, v in facts.items()]).select(F.inline(F.array(*rows)))
+    profile = wide.filter((F.col("metric") != "nulls") | F.col("value").isNotNull())
+    types = [row("dtype", c, t, F.lit(None)) for c, t in df.dtypes]
+    profile = profile.unionByName(df.sparkSession.range(1).select(F.inline(F.array(*types))))
     counted = [c for c in ("is_fraud", "customer_tier", "cvv_match", "is_3d_secure") if c in has]
     if counted:
-        parts.append(rows(value_counts_of(df, counted), "values", "column", F.col("value"), "n"))
-    if "is_fraud" in has:
-        rate = df.agg(label_rate(df).alias("value"))
-        parts.append(rows(rate, "rate_pct", F.lit("is_fraud"), None, "value"))
+        profile = profile.unionByName(value_counts_of(df, counted).select(
+            F.lit("values").alias("metric"), "column", F.col("value").alias("key"),
+            F.col("n").cast("double").alias("value")))
     if "amount" in has:
         names = ["min_amount", "median_amount", "p99", "p999", "rows_above_p99"]
-        amounts = amount_profile(df).select([F.col(c).cast("double") for c in names])
-        long = amounts.unpivot([], names, "key", "value")
-        parts.append(rows(long, "amount", F.lit("amount"), F.col("key"), "value"))
-    types = df.sparkSession.createDataFrame(
-        [("dtype", c, t, None) for c, t in df.dtypes], "metric string, column string, key string, value double")
-    profile = types
-    for part in parts:
-        profile = profile.unionByName(part)
+        amounts = amount_profile(df).select(
+            F.inline(F.array(*[row("amount", "amount", c, F.col(c)) for c in names])))
+        profile = profile.unionByName(amounts)
     return profile
 
 
