@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.llm.ship import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -21,6 +23,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -30,3 +33,9 @@ def op5_byte_shards(spark: SparkSession, sf: str) -> DataFrame:
     placed = assign_shards(table(spark, sf, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op10_linear_grouping")
+def op10_linear_grouping(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.grouping import pack_documents
+    return pack_documents(table(spark, sf, "documents"))
