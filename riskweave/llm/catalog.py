@@ -39,3 +39,10 @@ def op5_byte_shards(spark: SparkSession, sf: str) -> DataFrame:
 def op10_linear_grouping(spark: SparkSession, sf: str) -> DataFrame:
     from riskweave.llm.grouping import pack_documents
     return pack_documents(table(spark, sf, "documents"))
+
+
+@query("op4_gray_simhash")
+def op4_gray_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.gray import fingerprint_classes
+    found = fingerprint_classes(table(spark, sf, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

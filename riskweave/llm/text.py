@@ -67,17 +67,19 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def signed_votes(hashes: np.ndarray, lanes: int, weights: np.ndarray | None = None) -> np.ndarray:
+def signed_votes(hashes: np.ndarray, lanes: int, weights: np.ndarray | None = None, block: int = 1 << 15) -> np.ndarray:
     """Per bit of ``lanes`` 64-bit words: the weights of hashes that set it less those that don't."""
     total = float(len(hashes) if weights is None else weights.sum())
-    ones = np.empty(lanes * 64)
-    for lane in range(lanes):
-        h = hashes if lane == 0 else mix(hashes + U64(lane) * U64(0xD1B54A32D192ED03))
-        bits = np.unpackbits(h.astype(">u8").view(np.uint8)).reshape(-1, 64)
-        if weights is None:
-            ones[lane * 64:lane * 64 + 64] = bits.sum(0, dtype=np.int64)
-        else:
-            ones[lane * 64:lane * 64 + 64] = weights.astype(np.float32) @ bits.astype(np.float32)
+    ones = np.zeros(lanes * 64)
+    for at in range(0, len(hashes), block):
+        part = hashes[at:at + block]
+        for lane in range(lanes):
+            h = part if lane == 0 else mix(part + U64(lane * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
+            bits = np.unpackbits(h.astype(">u8").view(np.uint8)).reshape(-1, 64)
+            if weights is None:
+                ones[lane * 64:lane * 64 + 64] += bits.sum(0, dtype=np.int64)
+            else:
+                ones[lane * 64:lane * 64 + 64] += weights[at:at + block].astype(np.float32) @ bits.astype(np.float32)
     return 2 * ones - total
 
 
