@@ -46,3 +46,10 @@ def op4_gray_simhash(spark: SparkSession, sf: str) -> DataFrame:
     from riskweave.llm.gray import fingerprint_classes
     found = fingerprint_classes(table(spark, sf, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op8_random_indexing_quality")
+def op8_random_indexing_quality(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.quality import quality_scores
+    scored = quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
