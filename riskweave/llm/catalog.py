@@ -53,3 +53,9 @@ def op8_random_indexing_quality(spark: SparkSession, sf: str) -> DataFrame:
     from riskweave.llm.quality import quality_scores
     scored = quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op9_hyperdimensional_language")
+def op9_hyperdimensional_language(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.language import languages
+    return languages(table(spark, sf, "documents"))
