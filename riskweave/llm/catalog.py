@@ -59,3 +59,9 @@ def op8_random_indexing_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op9_hyperdimensional_language(spark: SparkSession, sf: str) -> DataFrame:
     from riskweave.llm.language import languages
     return languages(table(spark, sf, "documents"))
+
+
+@query("op1_packed_rows")
+def op1_packed_rows(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.packed import packed_rows
+    return packed_rows(table(spark, sf, "documents"))
