@@ -65,3 +65,15 @@ def op9_hyperdimensional_language(spark: SparkSession, sf: str) -> DataFrame:
 def op1_packed_rows(spark: SparkSession, sf: str) -> DataFrame:
     from riskweave.llm.packed import packed_rows
     return packed_rows(table(spark, sf, "documents"))
+
+
+@query("op6_weighted_simhash")
+def op6_weighted_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.fingerprints import edited_fingerprints, near_counts
+    from riskweave.session import settle
+    made = settle(edited_fingerprints(table(spark, sf, "documents")), "edited")
+    near = near_counts(made.select("lanes").distinct())
+    words = lambda c: F.lower(F.concat(*(F.lpad(F.hex(F.col(c)[i]), 16, "0") for i in range(2))))
+    return made.join(near, "lanes", "left").select(
+        "doc_id", "n_chars", "edited_sha256", words("lanes").alias("fingerprint"), words("edited_lanes").alias("edited_fingerprint"),
+        "near_edited", "near_next", F.coalesce("near", F.lit(0)).alias("near_fingerprints"))
