@@ -77,3 +77,9 @@ def op6_weighted_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return made.join(near, "lanes", "left").select(
         "doc_id", "n_chars", "edited_sha256", words("lanes").alias("fingerprint"), words("edited_lanes").alias("edited_fingerprint"),
         "near_edited", "near_next", F.coalesce("near", F.lit(0)).alias("near_fingerprints"))
+
+
+@query("op7_template_leaks")
+def op7_template_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.templates import leaks
+    return leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("__text").distinct()
