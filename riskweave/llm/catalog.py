@@ -83,3 +83,17 @@ def op6_weighted_simhash(spark: SparkSession, sf: str) -> DataFrame:
 def op7_template_leaks(spark: SparkSession, sf: str) -> DataFrame:
     from riskweave.llm.templates import leaks
     return leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("__text").distinct()
+
+
+@query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.licenses import license_spans
+    return license_spans(table(spark, sf, "documents"))
+
+
+@query("op3_url_words")
+def op3_url_words(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.urls import Rule, url_verdicts
+    rules = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
+    pages = table(spark, sf, "pages")
+    return url_verdicts(pages, rules, pages)
