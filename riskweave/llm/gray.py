@@ -267,7 +267,8 @@ def fingerprint_classes(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
 LANES = 4          # 64-bit words of each fingerprint
 NEAR = 8           # differing bits of a word lane that a search admits
-SIMILAR = 0.8      # estimated Jaccard similarity of five-word shingles
+SIMILAR = 0.8      # Jaccard similarity of five-word shingles
+SPREAD = 0.03      # standard error of its estimate, granted to pairs
 
 
 def likeness(a: np.ndarray, b: np.ndarray, lanes: int = LANES) -> np.ndarray:
@@ -299,7 +300,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """(key, __text, __rows, __keep): which of the distinct (key, text) rows stay, one per group.
 
     Documents whose estimated similarity of ``shingle``-word shingles is at
-    least ``similar`` are linked; of each component the row with the smallest
+    least ``similar``, less the estimate's standard error, are linked; of each component the row with the smallest
     key stays, then the smallest text hash; null keys stay last. Texts without
     words are copies of each other. ``__text`` is the XXH64 of the text and
     ``__rows`` how often the row occurs.
@@ -322,7 +323,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     rows = settle(rows, "rows")
     distinct = rows.groupBy("lanes").agg(F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key), F.col("__text"))).alias("low"))
     distinct = settle(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct-signatures")
-    found = links(distinct.select("id", "lanes"), LANES, NEAR, 3, lambda a, b: likeness(a, b) >= similar)
+    found = links(distinct.select("id", "lanes"), LANES, NEAR, 3, lambda a, b: likeness(a, b) >= similar - SPREAD)
     roots = components(found)
     classed = distinct.join(roots, distinct["id"] == roots["node"], "left").withColumn("class", F.coalesce("root", "id"))
     kept = classed.groupBy("class").agg(F.min("low").alias("low"))

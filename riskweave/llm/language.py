@@ -189,3 +189,27 @@ def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     aside = F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % folds == fold, F.lit(True))
     profiles = language_profiles(docs.filter(~aside), text, lang)
     return identify(docs.select(key, aside.alias("held_out"), text), profiles, text)
+
+
+def language_filter(docs: DataFrame, text: str = "text", lang: str = "lang", least: float = 0.0) -> DataFrame:
+    """``docs`` without rows of no language; all columns as they came.
+
+    A row goes if its text is null or has no letter, or if its cosine to the
+    nearest prototype is not above ``least``. Prototypes come from all rows with
+    a language; without any, rows with a letter stay.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(language_profiles(docs, text, lang))
+    at = docs.columns.index(text)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        detector = Detector(shared.value)
+        for batch in slices(batches):
+            texts = batch.column(at).to_pylist()
+            if detector.langs:
+                langs, scores = detector.detect(texts)
+                keep = [l != UNKNOWN and s > least for l, s in zip(langs, scores)]
+            else:
+                keep = [len(grams(t)) > 0 for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(judge, docs.schema)

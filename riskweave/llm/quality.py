@@ -209,6 +209,22 @@ def held_out(key: str, folds: int, fold: int):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % folds == fold, F.lit(True))
 
 
+def _labelled(labels: DataFrame, key: str, label: str, folds: int, fold: int | None) -> DataFrame:
+    """(key, y, h): one decided label per key outside the held-out fold, and the hash that orders the sample."""
+    known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull())
+    if fold is not None:
+        known = known.filter(~held_out(key, folds, fold))
+    decided = known.groupBy(F.col(key).alias(key)).agg(F.avg(label).alias("__y")).filter("__y <> 0.5")
+    return decided.select(key, F.round("__y").alias("y"), F.xxhash64(F.col(key), F.lit("fit")).alias("h"))
+
+
+def _fit(rows: DataFrame) -> Network:
+    """Fits on a bounded table of features and labels."""
+    fit = rows.select("features", "y", "h").toPandas().sort_values("h", kind="stable")
+    x = np.stack(fit["features"].to_numpy()).astype(float) if len(fit) else np.zeros((0, FEATURES))
+    return fit_network(x, fit["y"].to_numpy(float))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
                    folds: int = 5, fold: int = 0, max_fit: int = MAX_FIT) -> DataFrame:
     """(key, held_out, score) for every row of ``docs``.
@@ -220,12 +236,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     the named columns are read.
     """
     features = settle(pooled(docs, context_table(docs, text), key, text).withColumn("held_out", held_out(key, folds, fold)), "features")
-    marked = (labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key, folds, fold))
-              .groupBy(F.col(key).alias(key)).agg(F.avg(label).alias("__y")).filter("__y <> 0.5"))
-    fit = (features.join(marked, key).select("features", F.round("__y").alias("y"), F.xxhash64(F.col(key), F.lit("fit")).alias("h"))
-           .orderBy("h").limit(max_fit).toPandas())   # a bounded sample
-    x = np.stack(fit["features"].to_numpy()).astype(float) if len(fit) else np.zeros((0, FEATURES))
-    net = fit_network(x, fit["y"].to_numpy(float))
+    marked = _labelled(labels, key, label, folds, fold)
+    net = _fit(features.join(marked, key).select("features", "y", "h").orderBy("h").limit(max_fit))
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,3 +249,30 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
     kind = docs.schema[key].dataType.simpleString()
     return features.select(key, "held_out", "features").mapInArrow(score, f"`{key}` {kind}, held_out boolean, score double")
+
+
+def quality_filter(docs: DataFrame, labels: DataFrame, least: float = 0.3, key: str = "doc_id", text: str = "text",
+                   label: str = "quality", max_fit: int = MAX_FIT) -> DataFrame:
+    """``docs`` without the rows that score below ``least``; all columns as they came.
+
+    All labels may teach, at most ``max_fit`` of them, those with the smallest
+    hash. A text without tokens is rejected. Rows stay where they are: texts are
+    read and judged, not shuffled.
+    """
+    table = context_table(docs, text)
+    sample = _labelled(labels, key, label, 1, None).orderBy("h").limit(max_fit)
+    # max_fit rows: small enough for every executor
+    taught = docs.select(key, text).join(F.broadcast(sample.select(key)), key, "left_semi")
+    net = _fit(settle(pooled(taught, table, key, text), "fit").join(sample, key))
+    shared = docs.sparkSession.sparkContext.broadcast((table, net))
+    at = docs.columns.index(text)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, model = shared.value
+        cache = Interner(_token_key)
+        for batch in slices(batches):
+            x = np.stack([pool(t, vectors, cache) for t in batch.column(at).to_pylist()]).astype(float)
+            cache.trim()
+            yield batch.filter(pa.array((model.score(x) >= least) & (x[:, 2 * WIDTH] > 0)))
+
+    return docs.mapInArrow(judge, docs.schema)
