@@ -28,7 +28,9 @@ from riskweave.session import settle
 
 CAPACITY = 2048
 SMALL = 4           # lengths up to capacity / SMALL are small
-GROUPS = 256        # rounded sizes
+GROUPS = (128, 256) # rounded sizes: the better plan of these is taken
+STALLED = 40        # pivots without a saving that end the programme
+PRICED = 1024       # pooled configurations priced at once
 ROWS_PER_SALT = 2000
 
 
@@ -126,27 +128,35 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
     Revised simplex on the covering programme over a pool of columns, to which
     the most valuable configuration (a knapsack over the duals) is added until
     none helps; fractions are rounded down and the rest is left to best fit.
+    Slightly unequal demands keep the simplex from turning in circles, and it
+    ends after ``STALLED`` pivots that save nothing: any basis is a valid plan.
     """
-    size, need = np.array(sizes, np.int64), np.array(demand, float)
+    size = np.array(sizes, np.int64)
+    need = np.array(demand, float) * (1 + 1e-6 * np.arange(1, len(size) + 1) / len(size))
     basis = np.diag((capacity // size).astype(float))
-    pool = _first_configurations(size, capacity)
+    pool = np.ascontiguousarray(_first_configurations(size, capacity).T)
     inverse = np.linalg.inv(basis)
     use = inverse @ need
-    pivots = knapsacks = 0
-    while pivots < 40 * len(size):
+    pivots = knapsacks = stalled = at = 0
+    least = use.sum()
+    while pivots < 8 * len(size) and stalled < STALLED:
         duals = np.maximum(inverse.sum(0), 0.0)
-        worth = duals @ pool if pool.shape[1] else np.zeros(1)
-        best = int(worth.argmax())
-        if worth[best] > 1 + 1e-7:
-            column = pool[:, best]
-        else:
+        column = None
+        for _ in range(0, len(pool), PRICED):       # a part of the pool at a time, from where the last one ended
+            part = pool[at:at + PRICED]
+            worth = part @ duals
+            at = at + PRICED if at + PRICED < len(pool) else 0
+            best = int(worth.argmax())
+            if worth[best] > 1 + 1e-6:
+                column = part[best]
+                break
+        if column is None:
             if knapsacks == rounds:
                 break
             knapsacks += 1
             value, column = _best_configuration(size, duals, capacity)
-            if value <= 1 + 1e-7:
+            if value <= 1 + 1e-6:
                 break
-            pool = np.column_stack([pool, column])
         move = inverse @ column
         ratio = np.where(move > 1e-9, use / np.where(move > 1e-9, move, 1), np.inf)
         leave = int(ratio.argmin())
@@ -161,6 +171,8 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
             inverse = inverse - np.outer(move, row)
             inverse[leave] = row
         use = np.maximum(inverse @ need, 0.0)
+        stalled = 0 if use.sum() < least * (1 - 1e-7) else stalled + 1
+        least = min(least, use.sum())
     left = np.array(demand, np.int64)
     out = []
     for j in np.argsort(-use):
@@ -255,8 +267,13 @@ class _Plan:
             self.release(self.capacity - offset, first + a, b - a)
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, small: int = SMALL) -> dict[str, np.ndarray]:
-    """Places all pieces of the given lengths (1 to ``capacity``); sorted by (length, first rank)."""
+def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS, small: int = SMALL) -> dict[str, np.ndarray]:
+    """Places all pieces of the given lengths (1 to ``capacity``), with as few sequences as one of ``groups`` needs."""
+    return min((grouped_plan(counts, capacity, g, small) for g in groups), key=lambda made: made["sequences"][0])
+
+
+def grouped_plan(counts: dict[int, int], capacity: int, groups: int, small: int) -> dict[str, np.ndarray]:
+    """The plan with ``groups`` rounded sizes, sorted by (length, first rank)."""
     made = _Plan(counts, capacity)
     full = counts.get(capacity, 0)
     if full:
@@ -286,7 +303,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
 
 # ---------------------------------------------------------------- on Spark
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, small: int = SMALL) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS, small: int = SMALL) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces with a ``length`` of 1 to ``capacity``.
 
     The plan has at most a few runs per configuration and length, a number set

@@ -32,7 +32,7 @@ def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: str =
     empty result. Only the named columns are read, so others may have any name.
     """
     spark = docs.sparkSession
-    narrow = sized(docs.select(key, text, *carry), text, overhead)
+    narrow = sized(docs.select(key, text, *(c for c in carry if c != text)), text, overhead)
     if text not in carry:
         narrow = narrow.drop(text)
     # the tie breaker deals rows of one key over ranges
