@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from riskweave import schema as S
 from riskweave.functions import scalars as X
 from riskweave.operators.features import numeric_columns
 from riskweave.operators.rank import counted_quantiles, exact_quantiles, top_per_group, with_buckets
+from riskweave.session import settle
 
 SCORES = "feature string, kind string, score double"
 
@@ -207,42 +210,173 @@ def _shift_scores(both: DataFrame, cols: list[str]) -> DataFrame:
     return row.select(F.inline(scores))
 
 
+@dataclass(frozen=True)
+class Profile:
+    """The reference side of one feature, ready to score any current values."""
+
+    median: float
+    edges: list[float]
+    shares: list[float]                  # per bin
+    values: dict[float, float] | None    # share of each value, where the feature may be a category
+    mean: float
+    spread: float
+
+
+def reference_profiles(reference: DataFrame, bins: int = S.DRIFT_BINS, described: Reference | None = None) -> tuple[int, dict[str, Profile]]:
+    """Rows and a profile per feature: all that scoring needs, read once."""
+    described = described or describe_reference(reference, bins)
+    cols = [c for c in reference.columns if c in described.edges]
+    if not cols or not described.rows:
+        return described.rows, {}
+    both = fill(reference.select(cols), described.medians)
+    facts = both.agg(*[m.alias(f"{n}_{i}") for i, c in enumerate(cols) for n, m in (
+        ("m", F.avg(c)), ("sd", F.stddev_pop(c)), ("w", F.bool_and(near_whole(F.col(c)))), ("d", F.approx_count_distinct(c)))]).first()
+    maybe = [c for i, c in enumerate(cols) if facts[f"w_{i}"] and facts[f"d_{i}"] <= 2 * S.CATEGORY_LIMIT]
+    # a sketch that small bounds the values that come back
+    values: dict[str, dict[float, float]] = {c: {} for c in maybe}
+    if maybe:
+        for r in both.select(maybe).unpivot([], maybe, "feature", "value").groupBy("feature", "value").count().collect():
+            values[r["feature"]][r["value"] + 0.0] = r["count"] / described.rows
+    binned = with_buckets(both, {c: described.edges[c][1:-1] for c in cols})
+    slots = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_bucket_{i}").alias("bin")) for i, c in enumerate(cols)])
+    shares = {c: [0.0] * max(1, len(described.edges[c]) - 1) for c in cols}
+    for r in binned.select(F.inline(slots)).groupBy("feature", "bin").count().collect():
+        shares[r["feature"]][r["bin"]] = r["count"] / described.rows
+    return described.rows, {c: Profile(
+        described.medians[c], described.edges[c], shares[c],
+        values[c] if c in values and len(values[c]) <= S.CATEGORY_LIMIT else None,
+        facts[f"m_{i}"], facts[f"sd_{i}"] or 1.0) for i, c in enumerate(cols)}
+
+
 def windowed_drift(
     reference: DataFrame, current: DataFrame, time: str, width: str, described: Reference | None = None,
 ) -> DataFrame:
-    """Population stability of every time window against one reference.
+    """``drift_scores`` of every time window against one reference.
 
-    The reference bins are literals, so a window costs its (feature, bin)
-    counts only: this is the form for long streams and hot groups.
+    The reference is a profile per feature, so a window costs its (feature,
+    bin) and (feature, value) counts only: this is the form for long streams
+    and hot groups. Every feature of both sides is scored, by the rule its
+    values in the window call for.
     """
-    described = described or describe_reference(reference)
-    cols = [c for c in reference.columns if c in current.columns and len(described.edges.get(c, [])) >= 3]
+    _, profiles = reference_profiles(reference, described=described)
+    cols = [c for c in reference.columns if c in current.columns and c in profiles]
     spark = reference.sparkSession
-
-    def bins_of(df: DataFrame, *keep: Column) -> DataFrame:
-        filled = df.withColumns({c: F.coalesce(F.col(c), F.lit(described.medians[c])) for c in cols})
-        bucketed = with_buckets(filled, {c: described.edges[c][1:-1] for c in cols})
-        slots = F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(f"_bucket_{i}").alias("bin")) for i, c in enumerate(cols)])
-        return bucketed.select(*keep, F.inline(slots))
-
-    expected = bins_of(reference).groupBy("feature", "bin").agg((F.count(F.lit(1)) / described.rows).alias("p"))
+    schema = T.StructType([
+        T.StructField("window_start", T.TimestampType()), T.StructField("feature", T.StringType()),
+        T.StructField("score", T.DoubleType()), T.StructField("rows", T.LongType())])
+    if not cols:
+        return spark.createDataFrame([], schema)
     window = F.window(time, width)["start"].alias("w")
-    seen = bins_of(current, window).groupBy("w", "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    filled = current.select(window, *[F.coalesce(F.col(c), F.lit(profiles[c].median)).cast("double").alias(c) for c in cols])
+
+    few = [c for c in cols if len(profiles[c].edges) < 3]
+    by_value = [c for c in cols if profiles[c].values is not None or c in few]
+    by_bin = [c for c in cols if c not in by_value]
+    seen = None
+    if by_bin:
+        bucketed = with_buckets(filled, {c: profiles[c].edges[1:-1] for c in by_bin})
+        slots = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_bucket_{i}").alias("bin")) for i, c in enumerate(by_bin)])
+        seen = bucketed.select("w", F.inline(slots)).groupBy("w", "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    parts = []
+    if by_value:
+        known = spark.createDataFrame(
+            [(c, v, p) for c in by_value for v, p in (profiles[c].values or {}).items()] or [(by_value[0], None, None)],
+            "feature string, v double, p double")
+        facts = spark.createDataFrame(
+            [(c, len(profiles[c].values or ()), profiles[c].values is not None, c in few, profiles[c].mean, profiles[c].spread,
+              profiles[c].edges[1:-1]) for c in by_value],
+            "feature string, k int, maybe boolean, few boolean, mean double, spread double, inner array<double>")
+        slots = F.array(*[F.struct(F.lit(c).alias("feature"), (F.col(c) + F.lit(0.0)).alias("v")) for c in by_value])
+        values = filled.select("w", F.inline(slots)).groupBy("w", "feature", "v").agg(F.count(F.lit(1)).alias("n"))
+        sums = values.groupBy("w", "feature").agg(F.sum("n").alias("rows"))
+        values = settle(values.join(sums, ["w", "feature"]).join(known, ["feature", "v"], "left"), "window-values")
+        apart = F.abs(F.coalesce("p", F.lit(0.0)) - F.col("n") / F.col("rows"))
+        judged = settle(
+            values.groupBy("w", "feature").agg(
+                F.max("rows").alias("rows"), F.count(F.lit(1)).alias("held"), F.count("p").alias("shared"), F.sum("p").alias("covered"),
+                F.bool_and(near_whole(F.col("v"))).alias("whole"), F.sum(apart).alias("apart"),
+                (F.sum(F.col("v") * F.col("n")) / F.max("rows")).alias("avg"))
+            .join(facts, "feature")
+            .withColumn("category", F.col("maybe") & F.col("whole") & (F.col("held") + F.col("k") - F.col("shared") <= S.CATEGORY_LIMIT)),
+            "window-kinds")
+        # values that the window lacks differ by their whole share
+        share = 0.5 * (F.col("apart") + F.lit(1.0) - F.coalesce("covered", F.lit(0.0)))
+        shift = F.abs(F.col("avg") - F.col("mean")) / F.col("spread")
+        parts.append(judged.filter("category OR few").select(
+            "w", "feature", X.clip_unit(F.when(F.col("category"), share).otherwise(shift)).alias("score"), "rows"))
+        rest = judged.filter("NOT category AND NOT few").select("w", "feature", "inner")
+        bin_of = F.size(F.filter("inner", lambda e: F.col("v") >= e))
+        turned = values.join(rest, ["w", "feature"]).groupBy("w", "feature", bin_of.alias("bin")).agg(F.sum("n").alias("n"))
+        seen = turned if seen is None else seen.unionByName(turned)
     # bins x windows stays small: one row per feature, bin and window
     shape = spark.createDataFrame(
-        [(c, b) for c in cols for b in range(len(described.edges[c]) - 1)], "feature string, bin int")
-    per_bin = (
-        seen.select("w", "feature").distinct()
-        .join(shape, "feature").join(seen, ["w", "feature", "bin"], "left")
-        .join(expected, ["feature", "bin"], "left").fillna(0, ["n"]).fillna(0.0, ["p"]))
+        [(c, b, p) for c in cols for b, p in enumerate(profiles[c].shares)], "feature string, bin int, p double")
     rows = seen.groupBy("w", "feature").agg(F.sum("n").alias("rows"))
+    per_bin = rows.join(shape, "feature").join(seen, ["w", "feature", "bin"], "left").fillna(0, ["n"])
     q = F.greatest(F.col("n") / F.col("rows"), F.lit(1e-6))
     p = F.greatest(F.col("p"), F.lit(1e-6))
-    return (
-        per_bin.join(rows, ["w", "feature"])
-        .groupBy(F.col("w").alias("window_start"), "feature")
-        .agg(X.clip_unit(F.sum((q - p) * F.ln(q / p))).alias("score"), F.max("rows").alias("rows")))
+    parts.append(per_bin.groupBy("w", "feature").agg(
+        X.clip_unit(F.sum((q - p) * F.ln(q / p))).alias("score"), F.max("rows").alias("rows")))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.select(F.col("w").alias("window_start"), "feature", "score", "rows")
+
+
+def profile_of(values: np.ndarray, bins: int = S.DRIFT_BINS) -> Profile | None:
+    """The profile of a bounded reference; None without any finite value."""
+    v = np.asarray(values, float)
+    known = v[np.isfinite(v)]
+    if not len(known):
+        return None
+    median = float(np.median(known))
+    v = np.where(np.isfinite(v), v, median) + 0.0
+    edges = np.unique(np.quantile(v, np.arange(bins + 1) / bins))
+    at = np.searchsorted(edges[1:-1], v, "right")
+    held, times = np.unique(v, return_counts=True)
+    category = len(held) <= S.CATEGORY_LIMIT and _whole(held).all()
+    return Profile(median, edges.tolist(), (np.bincount(at, minlength=max(1, len(edges) - 1)) / len(v)).tolist(),
+                   dict(zip(held.tolist(), (times / len(v)).tolist())) if category else None, float(v.mean()), float(v.std()) or 1.0)
+
+
+def _whole(v: np.ndarray) -> np.ndarray:
+    return np.abs(v - np.rint(v)) <= 1e-9 + 1e-5 * np.abs(np.rint(v))
+
+
+def score_values(profile: Profile, values: np.ndarray) -> float | None:
+    """The drift score of bounded current values by the rules of ``drift_scores``; None without a finite one."""
+    v = np.asarray(values, float)
+    if not np.isfinite(v).any():
+        return None
+    v = np.where(np.isfinite(v), v, profile.median) + 0.0
+    held, times = np.unique(v, return_counts=True)
+    if profile.values is not None and _whole(held).all() and len(set(held.tolist()) | set(profile.values)) <= S.CATEGORY_LIMIT:
+        now = dict(zip(held.tolist(), (times / len(v)).tolist()))
+        score = 0.5 * sum(abs(now.get(x, 0.0) - profile.values.get(x, 0.0)) for x in set(now) | set(profile.values))
+    elif len(profile.edges) < 3:
+        score = abs(float(v.mean()) - profile.mean) / profile.spread
+    else:
+        at = np.searchsorted(np.array(profile.edges[1:-1]), v, "right")
+        q = np.maximum(np.bincount(at, minlength=len(profile.shares)) / len(v), 1e-6)
+        p = np.maximum(np.array(profile.shares), 1e-6)
+        score = float(((q - p) * np.log(q / p)).sum())
+    return min(max(score, 0.0), 1.0)
+
+
+def snapshot_row(profiles: dict[str, Profile], n_ref: int, current: pd.DataFrame, mode: str,
+                 threshold: float = S.DRIFT_ALERT) -> dict:
+    """The snapshot of one bounded window, as ``snapshot`` gives it."""
+    n_cur = len(current)
+    row = dict(ready=False, reference_mode=mode, reference_samples=n_ref, current_samples=n_cur, features_total=len(profiles),
+               features_alerting=0, overall_score=0.0, drift_ratio=0.0, feature_scores={c: 0.0 for c in profiles})
+    shared = [c for c in profiles if c in current.columns]
+    if not n_cur or not shared:
+        return row | {"reason": S.REASON_CURRENT if not n_cur else S.REASON_OVERLAP}
+    found = {c: score_values(profiles[c], current[c].to_numpy(float, na_value=np.nan)) for c in shared} if n_ref >= 2 and n_cur >= 2 else {}
+    scores = {c: round(v, 6) for c, v in sorted(found.items()) if v is not None}
+    alerting = sum(v >= threshold for v in scores.values())
+    return row | {
+        "ready": bool(scores), "features_total": len(scores), "features_alerting": alerting, "reason": S.REASON_UPDATED,
+        "overall_score": sum(scores.values()) / len(scores) if scores else 0.0, "drift_ratio": alerting / len(scores) if scores else 0.0,
+        "feature_scores": scores}
 
 
 def with_alerts(scores: DataFrame, threshold: float = S.DRIFT_ALERT) -> DataFrame:
@@ -250,20 +384,20 @@ def with_alerts(scores: DataFrame, threshold: float = S.DRIFT_ALERT) -> DataFram
 
 
 def snapshot(reference: DataFrame | None, current: DataFrame, threshold: float = S.DRIFT_ALERT,
-             mode: str = "train_parquet", described: Reference | None = None) -> DataFrame:
+             mode: str = S.MODE_TRAIN, described: Reference | None = None) -> DataFrame:
     """One row on the state of drift: readiness, counts, ratio, mean score, scores by feature."""
     spark = current.sparkSession
     if reference is None:
-        return _not_ready(spark, "missing", 0, current.count(), "waiting_for_warmup_window", [])
+        return _not_ready(spark, S.MODE_MISSING, 0, current.count(), S.REASON_WARMUP, [])
     described = described or describe_reference(reference)
     features = list(described.medians)
     if not set(features) & set(current.columns):
         n_cur = current.count()
-        reason = "feature_overlap_missing" if n_cur else "waiting_for_current_window"
+        reason = S.REASON_OVERLAP if n_cur else S.REASON_CURRENT
         return _not_ready(spark, mode, described.rows, n_cur, reason, features)
     scores, n_cur = _scored(reference, current, S.DRIFT_BINS, described)
     if n_cur == 0:
-        return _not_ready(spark, mode, described.rows, 0, "waiting_for_current_window", features)
+        return _not_ready(spark, mode, described.rows, 0, S.REASON_CURRENT, features)
     scores = with_alerts(scores, threshold)
     return scores.agg(
         F.count(F.lit(1)).alias("features_total"),
@@ -276,7 +410,7 @@ def snapshot(reference: DataFrame | None, current: DataFrame, threshold: float =
         F.lit(n_cur).cast("long").alias("current_samples"),
         "features_total", "features_alerting", "overall_score",
         F.coalesce(F.try_divide("features_alerting", "features_total"), F.lit(0.0)).alias("drift_ratio"),
-        F.lit("updated").alias("reason"), "feature_scores")
+        F.lit(S.REASON_UPDATED).alias("reason"), "feature_scores")
 
 
 SNAPSHOT_SCHEMA = T.StructType([

@@ -215,7 +215,7 @@ def sample_reference(spark: SparkSession, sf: str) -> DataFrame:
     key = X.spread_key(F.col("transaction_id").cast("long"))
     TB.ensure_drift_reference(spark, folder, key, "transaction_id")
     mode, reference = TB.preferred_reference(spark, folder)
-    if mode != "drift_reference":
+    if mode != S.MODE_TRAIN:
         raise ValueError(f"reference came from {mode}")
     return reference.select("transaction_id", "amount")
 

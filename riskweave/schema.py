@@ -48,6 +48,10 @@ NA_TOKENS = (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
     "nan", "null",
 )
+# where a drift reference comes from, and why a snapshot is as it is
+MODE_TRAIN, MODE_WARMUP, MODE_MISSING = "train_parquet", "warmup_window", "missing"
+REASON_UPDATED, REASON_WARMUP = "updated_from_live_traffic", "waiting_for_warmup_window"
+REASON_CURRENT, REASON_OVERLAP = "waiting_for_current_window", "feature_overlap_missing"
 # --- end of fixed values ----------------------------------------------------
 
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()

@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave import schema as S
 from riskweave.operators import drift as D
-
-
-MAX_SLOTS = 100
+from riskweave.sources.tables import read_if_there
 
 
 class RollingDrift:
     """State of one stream in the shared folder, one version per micro-batch.
 
     A version depends only on the one before and the batch, so a repeated
-    batch writes the same rows again. Slots are the few traffic slots; their
-    state never exceeds the window and baseline sizes.
+    batch writes the same rows again. A slot's state never exceeds the window
+    and baseline sizes; there may be any number of slots.
     """
 
     def __init__(self, spark: SparkSession, folder: str, features: Sequence[str], slot: str = "slot",
@@ -31,12 +31,10 @@ class RollingDrift:
         self.slot, self.time, self.row_id = slot, time, row_id
         self.reference, self.window, self.threshold = reference, window, threshold
         self.warmup_least, self.warmup_most = warmup_least, warmup_most
+        self._known: tuple[int, dict[str, D.Profile]] | None = None
 
     def _version(self, kind: str, batch_id: int) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.folder}/{kind}/version={batch_id}")
-        except AnalysisException:
-            return None
+        return read_if_there(self.spark, f"{self.folder}/{kind}/version={batch_id}")
 
     def _write(self, df: DataFrame, kind: str, batch_id: int) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.folder}/{kind}/version={batch_id}")
@@ -49,26 +47,42 @@ class RollingDrift:
         merged = rows if before is None else D.last_rows(
             rows.unionByName(before), [self.slot], self.time, self.row_id, self.window).drop("row_no")
         current = self._write(merged, "window", batch_id)
-        baseline = None if self.reference is not None else self._baseline(batch, batch_id)
-        slots = sorted(r[0] for r in current.select(self.slot).distinct().limit(MAX_SLOTS + 1).collect())
-        if len(slots) > MAX_SLOTS:
-            raise ValueError(f"more than {MAX_SLOTS} slots; use windowed_drift for wide keys")
-        shots = None
-        for slot in slots:
-            live = current.filter(F.col(self.slot) == slot).select(self.features)
-            shot = self._snapshot(live, slot, baseline).withColumns(
-                {"slot": F.lit(slot), "batch_id": F.lit(batch_id).cast("long")})
-            shots = shot if shots is None else shots.unionByName(shot)
-        if shots is not None:
-            self._write(shots, "snapshots", batch_id)
-
-    def _snapshot(self, live: DataFrame, slot: str, baseline: DataFrame | None) -> DataFrame:
+        columns, batch_no = [self.slot, *self.features], batch_id
+        fields = [f for f in D.SNAPSHOT_SCHEMA.fields]
+        schema = T.StructType([T.StructField(self.slot, current.schema[self.slot].dataType), *fields])
+        features, slot, threshold = self.features, self.slot, self.threshold
+
+        # a slot has at most one window and one baseline: each is a bounded group, and any number of slots is one job
         if self.reference is not None:
-            return D.snapshot(self.reference.select(self.features), live, self.threshold)
-        frozen = baseline.filter((F.col(self.slot) == slot) & F.col("frozen")).select(self.features)
-        if frozen.isEmpty():
-            return D.snapshot(None, live, self.threshold)
-        return D.snapshot(frozen, live, self.threshold, "warmup_window")
+            n_ref, profiles = self._profiles()
+
+            def one(key: tuple, live: pd.DataFrame) -> pd.DataFrame:
+                row = D.snapshot_row(profiles, n_ref, live[features], S.MODE_TRAIN, threshold)
+                return pd.DataFrame([{slot: key[0], **row}])
+
+            shots = current.select(columns).groupBy(slot).applyInPandas(one, schema)
+        else:
+            frozen = self._baseline(batch, batch_id).filter("frozen")
+
+            def pair(key: tuple, live: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
+                if not len(live):
+                    return pd.DataFrame(columns=[f.name for f in schema])
+                made = {c: D.profile_of(base[c].to_numpy(float, na_value=np.nan)) for c in features} if len(base) else {}
+                row = D.snapshot_row({c: p for c, p in made.items() if p is not None}, len(base), live[features],
+                                     S.MODE_WARMUP if len(base) else S.MODE_MISSING, threshold)
+                if not len(base):
+                    row |= {"reason": S.REASON_WARMUP}
+                return pd.DataFrame([{slot: key[0], **row}])
+
+            shots = current.select(columns).groupBy(slot).cogroup(frozen.select(columns).groupBy(slot)).applyInPandas(pair, schema)
+        shots = shots.withColumnRenamed(slot, "slot").withColumn("batch_id", F.lit(batch_no).cast("long"))
+        self._write(shots, "snapshots", batch_id)
+
+    def _profiles(self) -> tuple[int, dict[str, D.Profile]]:
+        """The reference is read once for the whole stream."""
+        if self._known is None:
+            self._known = D.reference_profiles(D.feature_frame(self.reference, self.features))
+        return self._known
 
     def _baseline(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """First rows per slot; a slot's baseline freezes once it is long enough."""

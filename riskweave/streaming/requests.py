@@ -35,15 +35,19 @@ def parse_messages(messages: DataFrame, body: str = "value", schema: T.StructTyp
     return parsed.select(*rest, "message_ok", F.explode(items).alias("_r")).select(*rest, "message_ok", "_r.*")
 
 
-def run_available(writer, label: str, timeout_s: int = 3600, checkpoint: str | None = None) -> StreamingQuery:
-    """Runs a stream over what is there and waits for its end.
+def run_available(writer, label: str, timeout_s: int | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """Runs a stream over what is there and waits for its end, however long it takes.
+
+    A caller with a ``timeout_s`` gets an error after that many seconds.
 
     With a ``checkpoint`` folder of the caller's a later run goes on where
     this one ended; without one every run starts anew.
     """
     folder = checkpoint or scratch_path(SparkSession.getActiveSession(), f"{label}-offsets")
     query = writer.option("checkpointLocation", folder).trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout_s):
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream {label} did not end in {timeout_s} s")
     return query

@@ -70,9 +70,9 @@ def test_drift_reference_files(spark, tmp_path):
     assert TB.ensure_drift_reference(spark, folder, F.xxhash64("i"), "i") is None
     df = spark.range(250).select(F.col("id").alias("i"), (F.col("id") % 24).alias("hour"), (F.col("id") % 2).alias("is_fraud"))
     TB.write_split(df, df, folder)
-    assert TB.preferred_reference(spark, folder)[0] == "train"
+    assert TB.preferred_reference(spark, folder)[0] == "train_parquet"
     first = TB.ensure_drift_reference(spark, folder, F.xxhash64("i"), "i", 50)
     assert first.count() == 50 and first.columns == df.columns
     again = TB.ensure_drift_reference(spark, folder, F.xxhash64("i"), "i", 10)
     assert again.count() == 50
-    assert TB.preferred_reference(spark, folder)[0] == "drift_reference"
+    assert TB.preferred_reference(spark, folder)[0] == "train_parquet"
