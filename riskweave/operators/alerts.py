@@ -36,18 +36,18 @@ CANDIDATE_FLOOR, CANDIDATE_TRAFFIC, RATE_FLOOR = 0.7, 0.05, 0.001
 def evaluation_grid(steps: DataFrame, at: str, step: str, labels: DataFrame | None = None) -> DataFrame:
     """Every evaluation time between the first and last step, for every label set.
 
-    Its size is the covered time over the step, whatever the row count; the
-    label sets are exploded next to it as one bounded array.
+    Its size is the covered time over the step, times the label sets. Each
+    label set explodes its own times, so any number of them stays distributed.
     """
     span = steps.agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
-    grid = span.select(F.explode(F.sequence("lo", "hi", F.expr(f"interval {step}"))).alias(at))
+    every = F.expr(f"interval {step}")
     if labels is None:
-        return grid
-    sets = [r.asDict() for r in labels.distinct().limit(1001).collect()]
-    if len(sets) > 1000:
-        raise ValueError("too many label sets for an alert rule")
-    rows = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in s.items()]) for s in sets])
-    return grid.select(at, F.explode(rows).alias("s")).select(at, "s.*")
+        return span.select(F.explode(F.sequence("lo", "hi", every)).alias(at))
+    lo, hi = span.select(F.unix_micros("lo"), F.unix_micros("hi")).first()
+    if lo is None:
+        return labels.limit(0).withColumn(at, F.lit(None).cast("timestamp"))
+    times = F.sequence(F.timestamp_micros(F.lit(lo)), F.timestamp_micros(F.lit(hi)), every)
+    return labels.distinct().select(F.explode(times).alias(at), *labels.columns)
 
 
 def on_grid(grid: DataFrame, measured: DataFrame, condition: Column, absent: bool = False) -> DataFrame:

@@ -330,14 +330,12 @@ def top_per_group(
     """The first ``k`` rows per group with their ``row_no``.
 
     Each group is first cut to ``k`` rows in every shard, so the final ranking
-    sees at most ``shards * k`` rows of a group, however large it is. The
-    optimizer also cuts before the shuffle, if its limit admits ``k``.
+    sees at most ``shards * k`` rows of a group, however large it is. A shard is
+    a set of input partitions: a map task has rows of one shard, which the
+    optimizer cuts to ``k`` per group before the shuffle where its limit
+    (``windowGroupLimitThreshold``, the caller's) admits ``k``.
     """
-    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if k > int(df.sparkSession.conf.get(setting)):
-        df.sparkSession.conf.set(setting, str(k))
-    # the input partition in the shard number parts equal rows, too
-    shard = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(shards))
+    shard = F.pmod(F.spark_partition_id(), F.lit(shards))
     first = Window.partitionBy(*by, "_shard").orderBy(*order)
     last = Window.partitionBy(*by).orderBy(*order)
     return (
