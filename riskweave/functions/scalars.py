@@ -56,7 +56,9 @@ def parse_timestamp(text: Column | str) -> Column:
 
 
 def parse_double(text: Column | str, default: float | None = None) -> Column:
-    number = _col(text).try_cast("double")
+    text = _col(text).cast("string")
+    # the cast also reads "1d" and "2f", which are no numbers
+    number = F.when(text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), text.try_cast("double"))
     return number if default is None else F.coalesce(number, F.lit(default))
 
 

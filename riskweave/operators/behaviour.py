@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskweave.functions import scalars as X
 from riskweave.operators.rank import ROWS_PER_BUCKET, cut_points, with_range
 from riskweave.operators.skew import HOT_ROWS, hot_hashes, salted_left_join
 from riskweave.session import settle
@@ -24,8 +25,8 @@ MONEY = "decimal(28,6)"
 def customer_points(df: DataFrame) -> DataFrame:
     """One row per customer and instant."""
     return df.groupBy("customer_id", F.unix_micros("timestamp").alias("at")).agg(
-        F.count(F.lit(1)).alias("n"), F.count("amount").alias("n_amount"),
-        F.sum(F.col("amount").cast(MONEY)).alias("amount_sum"),
+        F.count(F.lit(1)).alias("n"), F.count(X.finite_or_null("amount")).alias("n_amount"),
+        F.sum(X.finite_or_null("amount").try_cast(MONEY)).alias("amount_sum"),
         F.min("transaction_id").alias("first_id"))
 
 
@@ -81,7 +82,8 @@ def history(points: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
 def behaviour(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds ``tx_count_last_1h``/``_24h`` (own row and its ties included),
     ``time_since_last_tx_min``, ``avg_amount_last_30d`` (strictly earlier rows)
-    and ``amount_ratio_vs_avg``. Rows need a customer and a time."""
+    and ``amount_ratio_vs_avg``. Without a customer or a time all five are
+    null; amounts that are not finite count in no average."""
     points = settle(customer_points(df), "points")
     past = history(points, rows_per_bucket)
     amounts_before = F.col("now_n_amount") - F.col("30d_n_amount")
@@ -95,7 +97,8 @@ def behaviour(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, hot_rows: i
     rows = df.withColumn("at", F.unix_micros("timestamp"))
     joined = salted_left_join(rows, per_point, ["customer_id", "at"], hot, hot_rows)
     # the first id of an instant follows the previous instant, the others follow it
-    since = F.when(F.col("transaction_id") == F.col("first_id"), F.col("at") - F.col("previous")).otherwise(0)
+    since = F.when(F.col("n").isNull(), None).when(
+        F.col("transaction_id") == F.col("first_id"), F.col("at") - F.col("previous")).otherwise(0)
     return joined.select(
         *df.columns, "tx_count_last_1h", "tx_count_last_24h",
         (since / 60_000_000.0).alias("time_since_last_tx_min"), "avg_amount_last_30d",
@@ -103,13 +106,17 @@ def behaviour(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, hot_rows: i
 
 
 def first_seen(df: DataFrame, what: str, flag: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Adds ``flag``: 1 on the customer's first row with this value of ``what``."""
-    pair = ["customer_id", what]
+    """Adds ``flag``: 1 on the customer's first row with this value of ``what``.
+
+    A missing value is a value like others; rows without a customer get 0.
+    """
+    pair = ["customer_id", "_value", "_missing"]
+    rows = df.withColumns({"_value": F.coalesce(F.col(what).cast("string"), F.lit("")), "_missing": F.col(what).isNull()})
     firsts = settle(
-        df.groupBy(*pair).agg(
+        rows.groupBy(*pair).agg(
             F.min(F.struct("timestamp", "transaction_id")).alias("first"), F.count(F.lit(1)).alias("n")),
         "first-seen")
     hot = hot_hashes(firsts, pair, "n", min_rows=hot_rows)
-    joined = salted_left_join(df, firsts, pair, hot, hot_rows)
+    joined = salted_left_join(rows, firsts, pair, hot, hot_rows)
     is_first = F.struct("timestamp", "transaction_id") == F.col("first")
     return joined.select(*df.columns, F.coalesce(is_first, F.lit(False)).cast("int").alias(flag))

@@ -20,8 +20,8 @@ ALL = "ALL"
 
 
 def score_counts(df: DataFrame, by: Sequence[str] = (), score: str = "score", label: str = "label") -> DataFrame:
-    """Positives and negatives per distinct score (and group)."""
-    return df.groupBy(*by, F.col(score).alias("score")).agg(
+    """Positives and negatives per distinct score (and group); rows without a label say nothing."""
+    return df.filter(F.col(label).isin(0, 1)).groupBy(*by, F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
 
 
@@ -72,7 +72,7 @@ def counts_metrics(
     tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
     wide = "decimal(38,0)"
     sums = ranked(counts, by, rows_per_bucket).groupBy(*by).agg(
-        F.sum(pos * tp / (tp + fp)).alias("gained"),
+        F.sum(F.try_divide(pos * tp, tp + fp)).alias("gained"),
         F.sum(neg.cast(wide) * (2 * tp - pos)).alias("twice_area"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
@@ -132,16 +132,22 @@ def metric_report(df: DataFrame, threshold: float, score: str = "score", label:
 def segment_report(
     df: DataFrame, threshold: float, segment: str = "segment", score: str = "score", label: str = "label",
 ) -> DataFrame:
-    """Row ``ALL`` and one row per segment, worst F1 first."""
+    """Row ``ALL`` and one row per segment, worst F1 first.
+
+    A missing segment is a segment without a name; one that is called ``ALL``
+    has a row of its own beside the total.
+    """
     named = ["seg"]
+    # the first letter tells the total, named and missing segments apart, so no key is null
     if segment in df.columns:
-        source = df.withColumn("seg", F.col(segment).cast("string"))
+        name = F.col(segment).cast("string")
+        source = df.withColumn("seg", F.when(name.isNull(), "-").otherwise(F.concat(F.lit("="), name)))
         per_segment = settle(score_counts(source, named, score, label), "score-counts")
-        overall = per_segment.groupBy(F.lit(ALL).alias("seg"), "score").agg(
+        overall = per_segment.groupBy(F.lit("*").alias("seg"), "score").agg(
             F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         counts = settle(overall.unionByName(per_segment), "score-counts")
     else:
-        counts = settle(score_counts(df.withColumn("seg", F.lit(ALL)), named, score, label), "score-counts")
+        counts = settle(score_counts(df.withColumn("seg", F.lit("*")), named, score, label), "score-counts")
     hit = F.col("score") >= threshold
     point = counts.groupBy("seg").agg(
         F.sum(F.col("pos") + F.col("neg")).alias("n_samples"), F.sum("pos").alias("n_fraud"),
@@ -150,7 +156,8 @@ def segment_report(
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("n_fraud") - F.col("tp")
     areas = counts_metrics(counts, named).select("seg", F.col("average_precision").alias("pr_auc"))
     return point.join(areas, "seg").select(
-        F.col("seg").alias("segment"), "n_samples", "n_fraud",
+        F.when(F.col("seg") == "*", ALL).when(F.col("seg") != "-", F.substring("seg", 2, 1 << 30)).alias("segment"),
+        "n_samples", "n_fraud",
         (F.col("n_fraud") / F.col("n_samples") * 100).alias("fraud_rate"),
         *precision_recall_f1(tp, fp, fn),
         F.coalesce("pr_auc", F.lit(0.0)).alias("pr_auc"),

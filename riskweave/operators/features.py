@@ -21,10 +21,11 @@ TIER = "customer_tier"
 
 
 def customer_stats(df: DataFrame) -> DataFrame:
-    """Count and mean of the non-null amounts per customer."""
+    """Count and mean of the finite amounts per customer, summed to six decimal places."""
+    amount = X.finite_or_null("amount")
     return df.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        F.count("amount").alias("customer_tx_count"),
-        F.try_divide(X.exact_sum("amount"), F.count("amount")).alias("customer_avg_amount"))
+        F.count(amount).alias("customer_tx_count"),
+        F.try_divide(X.exact_sum(amount), F.count(amount)).alias("customer_avg_amount"))
 
 
 def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -137,6 +138,17 @@ class FeatureState:
         return cls(stats, median, codes, hot)
 
 
+def state_from_json(spark: SparkSession, folder: str, stats: str, hot_rows: int = HOT_ROWS) -> FeatureState:
+    """A published state: the JSON median, tier map and category maps of ``folder`` and the customer table at ``stats``."""
+    median = spark.read.text(f"{folder}/amount_median_train.json", wholetext=True).select(
+        F.get_json_object("value", "$.amount_median_train").try_cast("double")).first()[0]
+    if median is None:
+        raise ValueError("the median file holds no number")
+    table = spark.read.schema(S.CUSTOMER_STATS_SCHEMA).parquet(stats)
+    codes = codes_from_json(spark, f"{folder}/segment_label_map.json", f"{folder}/categorical_maps.json")
+    return FeatureState(table, median, codes, hot_hashes(table, ["customer_id"], "customer_tx_count", min_rows=hot_rows))
+
+
 def codes_from_json(spark: SparkSession, tier_map: str, category_maps: str) -> DataFrame:
     """Code table from the two JSON map files; codes are taken as stored."""
     def text(path: str) -> DataFrame:

@@ -49,16 +49,18 @@ def risk_mix(counts: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
     return sums.unpivot(list(labels), levels, "risk_level", "n").withColumn("risk_level", F.upper("risk_level"))
 
 
-def histogram_aggs(value: str, bounds: Sequence[float]) -> list[Column]:
-    """Cumulative bucket counts ``le_0..``, total and sum of the finite values."""
+def histogram_aggs(value: str, bounds: Sequence[float], positive: bool = False) -> list[Column]:
+    """Cumulative bucket counts ``le_0..``, total and sum of the finite values, of those above zero on demand."""
     v = X.finite_or_null(value)
+    if positive:
+        v = F.when(v > 0, v)
     return [F.count_if(v <= b).alias(f"le_{i}") for i, b in enumerate(bounds)] + [
         F.count(v).alias("observed"), F.sum(v).alias("total")]
 
 
 def histogram(df: DataFrame, time: str, value: str, bounds: Sequence[float],
-              labels: Sequence[str] = (), step: str = STEP) -> DataFrame:
-    return per_step(df, time, labels, histogram_aggs(value, bounds), step)
+              labels: Sequence[str] = (), step: str = STEP, positive: bool = False) -> DataFrame:
+    return per_step(df, time, labels, histogram_aggs(value, bounds, positive), step)
 
 
 def bucket_rows(wide: DataFrame, keys: Sequence[str], bounds: Sequence[float]) -> DataFrame:
@@ -95,13 +97,14 @@ def counter_increase(samples: DataFrame, series: Sequence[str], time: str, value
     """Growth of a counter per step; a falling value is a restart from zero.
 
     A sample follows the previous one of its series; the first one adds
-    nothing. Equal samples add nothing either and collapse first. Inside a
+    nothing. Equal samples add nothing either and collapse first; missing
+    values are no samples. Inside a
     tile (step and time range) a window finds the previous sample, a tile's
     first sample follows the last one of the tile before: so neither a long
     series nor a crowded step falls to one task.
     """
     s = settle(
-        samples.select(*series, time, value).distinct()
+        samples.filter(F.col(value).isNotNull()).select(*series, time, value).distinct()
         .withColumns({"step": F.window(time, step)["start"], "_micros": F.unix_micros(time)}), "samples")
     s = with_range(s, "_micros", cut_points(s, "_micros", rows_per_bucket))
     lasts = s.groupBy(*series, "step", "_range").agg(

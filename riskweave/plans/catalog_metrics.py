@@ -103,11 +103,11 @@ def latency_buckets(spark: SparkSession, sf: str) -> DataFrame:
 _AMOUNT_BOUNDS = tuple(b / 10000 for b in S.AMOUNT_BOUNDS)
 
 
-@query("amount_buckets", "T2", f"""WITH {V.LOG}, {_histogram("amount", _AMOUNT_BOUNDS, "slot", "day")}
+@query("amount_buckets", "T2", f"""WITH {V.LOG}, {_histogram("nullif(greatest(amount, 0), 0)", _AMOUNT_BOUNDS, "slot", "day")}
 {_exposed(_AMOUNT_BOUNDS, "step, slot")}""")
 def amount_buckets(spark: SparkSession, sf: str) -> DataFrame:
     """Amounts of this table are small, so the bounds are read in units of 10,000."""
-    wide = M.histogram(_log(spark, sf), "ts", "amount", _AMOUNT_BOUNDS, ["slot"], "1 day")
+    wide = M.histogram(_log(spark, sf), "ts", "amount", _AMOUNT_BOUNDS, ["slot"], "1 day", positive=True)
     return M.bucket_rows(wide, ["step", "slot"], _AMOUNT_BOUNDS)
 
 
