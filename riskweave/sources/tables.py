@@ -17,22 +17,25 @@ KEYS = ("transaction_id", "customer_id")
 
 
 def _typed(name: str, kind: T.DataType) -> Column:
-    # flag texts keep "N/A": it is a value of theirs and encodes to 0 either way
+    # "N/A" in a flag is null like elsewhere and encodes to 0 either way
     text = F.when(~F.col(name).isin(*S.NA_TOKENS), F.col(name))
     if isinstance(kind, T.StringType):
         return text
     if isinstance(kind, T.TimestampType):
         return X.parse_timestamp(text)
     number = X.finite_or_null(X.parse_double(text))
-    return number if isinstance(kind, T.DoubleType) else number.try_cast(kind)
+    return number if isinstance(kind, T.DoubleType) else F.when(number == F.rint(number), number.try_cast(kind))
 
 
-def read_transactions_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_transactions_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                          multi_line: bool = True) -> DataFrame:
     """Typed CSV scan; unreadable cells and missing-value texts become null.
 
     ``columns`` is the header's order; by default the header line is read once.
+    Quotes in quoted cells are doubled. Cells may hold line breaks; files known
+    to have none are split over tasks with ``multi_line`` off.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if columns is None:
         columns = reader.csv(path).columns
     raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(path)
@@ -41,7 +44,7 @@ def read_transactions_csv(spark: SparkSession, path: str, columns: Sequence[str]
 
 
 def write_transactions_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option(
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option(
         "timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
 
 
@@ -75,10 +78,12 @@ def write_reports(folder: str, metrics: DataFrame, segments: DataFrame, importan
         importance.write.mode("overwrite").option("header", True).csv(f"{folder}/feature_importance.csv")
 
 
-def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise       # a damaged file is not an absent one
         return None
 
 
@@ -87,10 +92,10 @@ def ensure_drift_reference(
 ) -> DataFrame | None:
     """Stored drift reference; made from the training rows when absent."""
     path = f"{folder}/drift_reference.parquet"
-    stored = _read_if_there(spark, path)
+    stored = read_if_there(spark, path)
     if stored is not None:
         return stored
-    train = _read_if_there(spark, f"{folder}/train.parquet")
+    train = read_if_there(spark, f"{folder}/train.parquet")
     if train is None or train.isEmpty():
         return None
     sample_rows(train, key, row_id, n).write.parquet(path)
@@ -99,8 +104,8 @@ def ensure_drift_reference(
 
 def preferred_reference(spark: SparkSession, folder: str) -> tuple[str, DataFrame | None]:
     """``(mode, frame)``: stored reference, else training rows, else warm-up."""
-    for mode in ("drift_reference", "train"):
-        df = _read_if_there(spark, f"{folder}/{mode}.parquet")
+    for name in ("drift_reference", "train"):
+        df = read_if_there(spark, f"{folder}/{name}.parquet")
         if df is not None:
-            return mode, df
-    return "warmup_window", None
+            return S.MODE_TRAIN, df
+    return S.MODE_WARMUP, None
