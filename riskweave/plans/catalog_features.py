@@ -11,7 +11,7 @@ from riskweave.operators import split as SP
 from riskweave.plans import prepare as P
 from riskweave.plans import sql_views as V
 from riskweave.plans.registry import query
-from riskweave.session import scratch_path
+from riskweave.session import scratch_path, settle
 from riskweave.sources import adapters as A
 from riskweave.sources import tables as TB
 
@@ -31,7 +31,8 @@ _STATS = """stats AS (SELECT customer_id, count(amount) AS customer_tx_count,
 
 
 def _orders_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return SP.chrono_split(A.order_transactions(spark, sf))
+    # joined once; the split, the fit and the transform read the narrow table
+    return SP.chrono_split(settle(A.order_transactions(spark, sf), "orders"))
 
 
 @query("customer_stats", "A1", f"WITH {_ORDERS}, {_STATS} SELECT * FROM stats")

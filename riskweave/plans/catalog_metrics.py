@@ -349,6 +349,48 @@ def container_panel(spark: SparkSession, sf: str) -> DataFrame:
     return M.aggregate_by(named, ["container"], "gauge")
 
 
+_DOCKER = """docker AS (SELECT lpad(lower(to_hex(user_id)), 12, '0') AS container, event_id, ts, value,
+  CAST(event_id % 500 AS DOUBLE) AS v FROM events WHERE event_id % 7 <> 0)"""
+
+
+def _docker(spark: SparkSession, sf: str) -> DataFrame:
+    samples = _samples(spark, sf).filter(
+        X.label_matches(F.col("labels")["id"], "/docker/[0-9a-f]+") & ~X.label_matches(F.col("labels")["image"], ""))
+    return samples.withColumn("container", X.relabel(F.col("labels")["id"], "/docker/([0-9a-f]{12}).*"))
+
+
+@query("container_cpu_panel", "T10 W9", f"""WITH {_DOCKER}, steps AS (
+  SELECT container, date_trunc('day', ts) AS step, CASE WHEN v < before THEN v ELSE v - before END AS delta
+  FROM (SELECT *, lag(v) OVER (PARTITION BY container ORDER BY ts, v) AS before FROM (SELECT DISTINCT container, ts, v FROM docker)))
+SELECT container, step, coalesce(sum(delta), 0.0) / 86400.0 AS per_second FROM steps GROUP BY 1, 2""")
+def container_cpu_panel(spark: SparkSession, sf: str) -> DataFrame:
+    growth = M.counter_increase(_docker(spark, sf), ["container"], "ts", "counter", "1 day")
+    return growth.select("container", "step", M.rate("increase", 86400.0).alias("per_second"))
+
+
+@query("container_memory_panel", "T10 A18", f"""WITH {_DOCKER}, lasts AS (
+  SELECT date_trunc('day', ts) AS step, container, event_id % 3 AS series, max_by(value, (ts, event_id)) AS gauge FROM docker GROUP BY 1, 2, 3)
+SELECT step, container, sum(gauge) AS total FROM lasts GROUP BY 1, 2""")
+def container_memory_panel(spark: SparkSession, sf: str) -> DataFrame:
+    series = _docker(spark, sf).withColumn("series", F.pmod(F.col("sample_id"), F.lit(3)))
+    last = M.last_over(series, ["container", "series"], "ts", "gauge", "sample_id", "1 day")
+    return last.groupBy("step", "container").agg(F.sum("gauge").alias("total"))
+
+
+@query("memory_ratio_panel", "T10 F21 W10", """WITH g AS (
+  SELECT date_trunc('day', ts) AS step, 'node-' || (user_id % 4) AS instance, event_id % 2 AS side, max_by(value, (ts, event_id)) AS gauge
+  FROM events GROUP BY 1, 2, 3)
+SELECT a.step, a.instance, 100 * (1 - a.gauge / nullif(t.gauge, 0)) AS used_pct
+FROM g a JOIN g t ON t.step = a.step AND t.instance = a.instance WHERE a.side = 0 AND t.side = 1""")
+def memory_ratio_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """Two gauge series, matched by step and label."""
+    samples = _samples(spark, sf).withColumn("instance", F.col("labels")["instance"])
+    sides = [M.last_over(samples.filter(F.pmod(F.col("sample_id"), F.lit(2)) == side), ["instance"], "ts", "gauge", "sample_id", "1 day")
+             .withColumnRenamed("gauge", name) for side, name in ((0, "available"), (1, "total"))]
+    return sides[0].join(sides[1], ["step", "instance"]).select(
+        "step", "instance", X.used_percent("available", "total").alias("used_pct"))
+
+
 @query("run_summary", "A20", f"""WITH {V.LOG} SELECT path, count(*) AS total,
   count(*) FILTER (WHERE CAST(status AS INT) < 400) AS success, count(*) FILTER (WHERE CAST(status AS INT) >= 400) AS failed,
   avg(latency_s) AS mean_latency_s, count(*) / ((max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6) AS rate_per_s
