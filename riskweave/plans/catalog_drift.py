@@ -72,7 +72,7 @@ def drift_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return D.with_alerts(D.drift_scores(*_lines(spark, sf)))
 
 
-SNAPSHOT = """count(*) > 0 AS ready, 'train_parquet' AS reference_mode,
+SNAPSHOT = """count(*) > 0 AS ready, 'train_parquet' AS reference_mode, 'updated_from_live_traffic' AS reason,
   count(*) AS features_total, count(*) FILTER (WHERE round(score, 6) >= 0.2) AS features_alerting,
   avg(round(score, 6)) AS overall_score, count(*) FILTER (WHERE round(score, 6) >= 0.2) / count(*) AS drift_ratio"""
 
@@ -81,7 +81,7 @@ SNAPSHOT = """count(*) > 0 AS ready, 'train_parquet' AS reference_mode,
 SELECT {SNAPSHOT}, (SELECT count(*) FROM lineitem WHERE l_shipdate < TIMESTAMP '{CUT}') AS reference_samples,
   (SELECT count(*) FROM lineitem WHERE l_shipdate >= TIMESTAMP '{CUT}') AS current_samples FROM scores""")
 def drift_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    return D.snapshot(*_lines(spark, sf)).drop("reason", "feature_scores")
+    return D.snapshot(*_lines(spark, sf)).drop("feature_scores")
 
 
 # one value in nine tenths of the reference: fewer than three edges, scored by the mean

@@ -18,6 +18,7 @@ SETTINGS = {
 
 
 _local_folders: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
@@ -52,7 +53,24 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/riskweave-{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/riskweave-{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Removes the folders this application wrote to the shared folder; says how many.
+
+    For a caller who has written or collected all results: frames that still
+    read such a folder fail afterwards.
+    """
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    gone = 0
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def settle(df: DataFrame, label: str = "table") -> DataFrame:

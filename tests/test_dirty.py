@@ -181,3 +181,10 @@ def test_top_rows_leave_the_session_alone(spark):
     assert got.filter("customer_id = 'hot'").count() == 1000 and spark.conf.get(setting) == before
     plan = top_per_group(df, ["customer_id"], [F.desc("timestamp")], 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_scratch_folders_can_be_removed(spark):
+    from riskweave.session import clean_scratch, settle
+    clean_scratch(spark)
+    kept = settle(spark.range(3))
+    assert kept.count() == 3 and clean_scratch(spark) == 1 and clean_scratch(spark) == 0
