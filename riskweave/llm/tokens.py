@@ -10,10 +10,24 @@ tokens count as ordinary text.
 from __future__ import annotations
 
 from array import array
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 600_000
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"      # ASCII marks but the apostrophe, which starts pieces of its own
+ODD_CASE = "\u03a3\u0130"      # letters whose lower case depends on more than themselves
+
+
+def _byte_signs() -> dict[int, str]:
+    """The sign that byte-level models use for each byte: itself where it prints, else the next one from 256."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_SIGNS = _byte_signs()
 
 
 class ChunkTokenizer:
@@ -32,19 +46,18 @@ class ChunkTokenizer:
 
     def _encode(self, chunk: bytes) -> list[int]:
         text = chunk.decode("utf-8")
-        body = text[:-1]
-        if text.isascii() and text.isalpha():
-            pieces = [text.lower()]
-        elif text.isascii() and body.isalpha() and text[-1] in ".,;:!?":
-            pieces = [body.lower(), text[-1]]
-        else:
+        body = text.rstrip(TAIL)
+        if not (body.isalpha() and (text.isascii() or is_normalized("NFC", text) and ODD_CASE[0] not in text and ODD_CASE[1] not in text)):
             return [t.id for p, _ in self._split(self._normalize(text)) for t in self._model(p)]
+        # a run of letters and a run of marks are the two pieces that the pre-tokenizer would cut
         out: list[int] = []
-        for p in pieces:
-            ids = self._pieces.get(p)
-            if ids is None:
-                ids = self._pieces[p] = [t.id for t in self._model(p)]
-            out += ids
+        for p in (body.lower(), text[len(body):]):
+            if p:
+                ids = self._pieces.get(p)
+                if ids is None:
+                    spelled = p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_SIGNS)
+                    ids = self._pieces[p] = [t.id for t in self._model(spelled)]
+                out += ids
         return out
 
     def add(self, chunk: bytes) -> int:
@@ -60,15 +73,15 @@ class ChunkTokenizer:
             self._pieces.clear()
             self._ids, self._starts = array("I"), array("q", [0])
         look = self._at.__getitem__
-        chunks = [list(map(look, t.split())) if t else [] for t in texts]
-        which = np.fromiter((c for doc in chunks for c in doc), np.int64, sum(map(len, chunks)))
+        chunks = [t.split() if t else [] for t in texts]
+        doc_chunks = np.cumsum([len(c) for c in chunks], dtype=np.int64)
+        which = np.fromiter(map(look, chain.from_iterable(chunks)), np.int64, int(doc_chunks[-1]) if len(chunks) else 0)
         starts = np.frombuffer(self._starts, np.int64)
         sizes = starts[which + 1] - starts[which]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         take = np.repeat(starts[which] - (ends - sizes), sizes) + np.arange(total)
         ids = np.frombuffer(self._ids, np.uint32)[take] if total else np.empty(0, np.uint32)
-        doc_chunks = np.cumsum([len(c) for c in chunks], dtype=np.int64)
         doc_ends = np.concatenate([[0], ends])[doc_chunks] if len(chunks) else np.empty(0, np.int64)
         del starts
         return ids, doc_ends.astype(np.int64)
