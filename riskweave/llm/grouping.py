@@ -27,8 +27,8 @@ from riskweave.llm.tokens import chunk_tokenizer, public_path
 from riskweave.session import settle
 
 CAPACITY = 2048
-SMALL = 4           # lengths up to capacity / SMALL are small
-GROUPS = (128, 256) # rounded sizes: the better plan of these is taken
+SMALL = 3           # lengths up to capacity / SMALL are small
+GROUPS = (64, 128, 256)        # rounded sizes: the best plan of these is taken
 STALLED = 40        # pivots without a saving that end the programme
 PRICED = 1024       # pooled configurations priced at once
 ROWS_PER_SALT = 2000
@@ -197,7 +197,6 @@ class _Plan:
         self.open: dict[int, list[tuple[int, int]]] = defaultdict(list)   # room -> (first sequence, count)
         self.rooms: list[int] = []                           # sorted rooms that are open
         self.sequences = 0
-        self._taken: dict[int, int] = defaultdict(int)
 
     def put(self, length: int, first: int, count: int, offset: int) -> None:
         self.runs.append((length, self.next_rank[length], first, offset))
@@ -239,32 +238,35 @@ class _Plan:
             self.release(room - length, first, took)
             self.release(room, first + took, count - took)
 
-    def fill(self, column: np.ndarray, times: int, groups: list[list[int]]) -> None:
-        """Uses one configuration ``times`` times with actual lengths, the longest of each group first."""
+    def fill(self, column: np.ndarray, times: int, sizes: list[int], large: list[int]) -> None:
+        """Uses one configuration ``times`` times with actual lengths.
+
+        Each place takes the longest piece left that its rounded size admits,
+        the last place the longest that fits what the others really left.
+        ``large`` are the sorted lengths with pieces left.
+        """
+        places = [sizes[g] for g in np.flatnonzero(column)[::-1] for _ in range(int(column[g]))]
         first = self.new(times)
-        slots, cuts = [], {0, times}
-        for g in np.flatnonzero(column):
-            for _ in range(int(column[g])):
-                slot, at = [], 0
-                while at < times:
-                    while not self.left[groups[g][-1]] - self._taken[groups[g][-1]]:
-                        groups[g].pop()
-                    length = groups[g][-1]
-                    took = min(times - at, self.left[length] - self._taken[length])
-                    self._taken[length] += took
-                    slot.append((at, length))
-                    at += took
-                    cuts.add(at)
-                slots.append(slot)
-        edges = sorted(cuts)
-        for a, b in zip(edges, edges[1:]):
-            offset = 0
-            for slot in slots:
-                length = slot[bisect.bisect_right(slot, (a, self.capacity + 1)) - 1][1]
-                self.put(length, first + a, b - a, offset)
-                self._taken[length] -= b - a
-                offset += length
-            self.release(self.capacity - offset, first + a, b - a)
+        runs = [(0, times, 0)]          # sequences [a, b) of this configuration and their fill
+        for k, size in enumerate(places):
+            grown = []
+            for a, b, used in runs:
+                room = self.capacity - used
+                while a < b:
+                    at = bisect.bisect_right(large, room if k == len(places) - 1 else min(size, room)) - 1
+                    if at < 0:
+                        grown.append((a, b, used))
+                        break
+                    length = large[at]
+                    took = min(b - a, self.left[length])
+                    self.put(length, first + a, took, used)
+                    grown.append((a, a + took, used + length))
+                    if not self.left[length]:
+                        large.pop(at)
+                    a += took
+            runs = grown
+        for a, b, used in runs:
+            self.release(self.capacity - used, first + a, b - a)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS, small: int = SMALL) -> dict[str, np.ndarray]:
@@ -288,9 +290,10 @@ def grouped_plan(counts: dict[int, int], capacity: int, groups: int, small: int)
             seen += counts[x]
         lists = [members[g] for g in sorted(members)]
         sizes, demand = [m[-1] for m in lists], [sum(counts[x] for x in m) for m in lists]
+        rest = list(large)
         for column, times in configurations(sizes, demand, capacity):
-            made.fill(column, times, lists)
-        for x in reversed(large):
+            made.fill(column, times, sizes, rest)
+        for x in reversed(rest):
             made.best_fit(x)
     for x in sorted((x for x, n in counts.items() if x <= capacity // small and n > 0), reverse=True):
         made.best_fit(x)
