@@ -78,7 +78,7 @@ def amount_profile(df: DataFrame, column: str = "amount") -> DataFrame:
 
 
 def first_values(df: DataFrame, column: str, order: Sequence[str], n: int = 5) -> DataFrame:
-    return df.filter(F.col(column).isNotNull()).orderBy(*order).limit(n).select(*order, column)
+    return df.filter(F.col(column).isNotNull()).orderBy(*order).limit(n).select(*dict.fromkeys([*order, column]))
 
 
 def shape(df: DataFrame, time: str = "timestamp") -> DataFrame:
@@ -119,6 +119,16 @@ def dataset_profile(df: DataFrame) -> DataFrame:
         amounts = amount_profile(df).select(
             F.inline(F.array(*[row("amount", "amount", c, F.col(c)) for c in names])))
         profile = profile.unionByName(amounts)
+    if "timestamp" in has:
+        text = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        order = [c for c in ("timestamp", "transaction_id") if c in has]
+        samples = first_values(df.select(order), "timestamp", order)
+        ends = df.agg(F.min("timestamp").alias("timestamp"), F.max("timestamp").alias("last"))
+        named = samples.select(F.lit("timestamp_sample").alias("metric"), text.alias("key")).unionByName(
+            ends.select(F.lit("first_time").alias("metric"), text.alias("key"))).unionByName(
+            ends.select(F.lit("last_time").alias("metric"), F.date_format("last", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("key")))
+        profile = profile.unionByName(named.select(
+            "metric", F.lit("timestamp").alias("column"), "key", F.lit(None).cast("double").alias("value")))
     return profile
 
 

@@ -76,6 +76,10 @@ UNION ALL SELECT 'columns', NULL, NULL, {float(len(V.TX_COLUMNS))}
 UNION ALL SELECT 'nulls', "column", NULL, CAST(nulls AS DOUBLE) FROM ({_NULLS}) WHERE nulls > 0
 UNION ALL SELECT 'values', "column", value, CAST(n AS DOUBLE) FROM ({_COUNTS})
 UNION ALL SELECT 'rate_pct', 'is_fraud', NULL, avg(is_fraud) * 100 FROM tx
+UNION ALL SELECT 'timestamp_sample', 'timestamp', strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f'), NULL
+  FROM (SELECT "timestamp" FROM tx WHERE "timestamp" IS NOT NULL ORDER BY "timestamp", transaction_id LIMIT 5)
+UNION ALL SELECT 'first_time', 'timestamp', strftime(min("timestamp"), '%Y-%m-%d %H:%M:%S.%f'), NULL FROM tx
+UNION ALL SELECT 'last_time', 'timestamp', strftime(max("timestamp"), '%Y-%m-%d %H:%M:%S.%f'), NULL FROM tx
 UNION ALL {_AMOUNT_ROWS}""")
 def dataset_profile(spark: SparkSession, sf: str) -> DataFrame:
     return Q.dataset_profile(A.transactions(spark, sf))

@@ -87,6 +87,20 @@ def stream_request_counts(spark: SparkSession, sf: str) -> DataFrame:
     return SM.stream_steps(log, ["path", "status"], aggs, "1 hour")
 
 
+@query("stream_counts_any_order", "T1 T2 S8", f"""WITH {V.LOG}
+SELECT date_trunc('hour', ts) AS step, path, status, count(*) AS n FROM log GROUP BY ALL""")
+def stream_counts_any_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Four files, the latest events first, one in each micro-batch."""
+    events, folder = A.table(spark, sf, "events"), scratch_path(spark, "feed")
+    cuts = [None, *events.agg(F.percentile_approx("event_id", [0.25, 0.5, 0.75])).first()[0], None]
+    for k in reversed(range(4)):
+        lo, hi = cuts[k], cuts[k + 1]
+        own = (F.lit(True) if lo is None else F.col("event_id") > lo) & (F.lit(True) if hi is None else F.col("event_id") <= hi)
+        events.filter(own).coalesce(1).write.parquet(f"{folder}/{k}")
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(folder)
+    return SM.stream_steps(A.request_log(feed), ["path", "status"], [F.count(F.lit(1)).alias("n")], "1 hour")
+
+
 _DRIFT_FEATURES = ("amount", "score")
 
 

@@ -14,16 +14,18 @@ from riskweave.streaming.requests import run_available
 
 def stream_steps(
     log: DataFrame, labels: Sequence[str], aggs: Sequence[Column], step: str = "1 minute",
-    late: str = "10 minutes", time: str = "ts", label: str = "metrics",
+    late: str | None = None, time: str = "ts", label: str = "metrics",
 ) -> DataFrame:
     """Totals per step and label set, as the batch function gives them.
 
-    The watermark bounds the state. Each micro-batch writes the steps it
+    The state holds a row per step and label set. A lateness bound ``late``
+    lets old steps go, with whatever comes later than that; without one every
+    row counts, in any order of the files. Each micro-batch writes the steps it
     changed to its own folder, so a repeated batch overwrites itself; the
     newest version of a step counts.
     """
     spark, out = log.sparkSession, scratch_path(log.sparkSession, label)
-    totals = per_step(log.withWatermark(time, late), time, labels, aggs, step)
+    totals = per_step(log if late is None else log.withWatermark(time, late), time, labels, aggs, step)
     schema = totals.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
