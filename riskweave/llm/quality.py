@@ -25,11 +25,11 @@ from riskweave.session import settle
 
 BUCKETS = 8192          # token buckets: bounds the vector table to BUCKETS x WIDTH
 WIDTH = 48
-NONZERO = 4             # entries of an index vector
+NONZERO = 2             # entries of an index vector
 REACH = 2               # neighbours on either side
 BLOCK = 256             # buckets per row of a partial sum
 FAN_IN = 32             # partial sums added at once
-MAX_FIT = 20_000        # labelled rows that the network is fitted on, those with the smallest hash
+MAX_FIT = 20_000        # labelled rows that the network is fitted on, about: those with the smallest hashes
 HIDDEN = 32
 STEPS = 1500
 TOKEN = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+")
@@ -71,19 +71,19 @@ def context_table(docs: DataFrame, text: str = "text") -> np.ndarray:
         total = np.zeros(BUCKETS * WIDTH)
         seen = False
         for batch in slices(batches):
-            for doc in batch.column(0).to_pylist():
-                keys = _tokens(doc, cache)
-                if len(keys) < 2:
-                    continue
-                seen = True
-                bucket = _buckets(keys)
+            docs_keys = [_tokens(t, cache) for t in batch.column(0).to_pylist()]
+            cache.trim()
+            for part in _parts(docs_keys):
+                keys = np.concatenate(part)
+                doc = np.repeat(np.arange(len(part)), [len(k) for k in part])
+                row = _buckets(keys) * WIDTH
                 place, sign = _index(keys)
                 for step in range(1, REACH + 1):
-                    for own, other in ((slice(None, -step), slice(step, None)), (slice(step, None), slice(None, -step))):
-                        at = bucket[own, None] * WIDTH + place[other]
-                        total += np.bincount(at.ravel(), sign[other].ravel(), BUCKETS * WIDTH) if at.size > total.size \
-                            else _scatter(total, at.ravel(), sign[other].ravel())
-            cache.trim()
+                    same = np.flatnonzero(doc[step:] == doc[:-step])     # no neighbours across documents
+                    for own, other in ((same, same + step), (same + step, same)):
+                        at = row[own, None] + place[other]
+                        total += np.bincount(at.ravel(), sign[other].ravel(), BUCKETS * WIDTH)
+                        seen = True
         if seen:
             rows = total.astype(np.float32).reshape(-1, BLOCK * WIDTH)
             held = np.flatnonzero(np.abs(rows).sum(1))
@@ -107,10 +107,17 @@ def context_table(docs: DataFrame, text: str = "text") -> np.ndarray:
     return table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)
 
 
-def _scatter(total: np.ndarray, at: np.ndarray, sign: np.ndarray) -> np.ndarray:
-    """Adds signs at places and returns nothing to add any more."""
-    np.add.at(total, at, sign)
-    return np.zeros(1)
+def _parts(keys: list[np.ndarray], most: int = 400_000) -> Iterator[list[np.ndarray]]:
+    """Runs of documents with about ``most`` tokens together; a longer document is one of its own."""
+    held, size = [], 0
+    for k in keys:
+        held.append(k)
+        size += len(k)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if size:
+        yield held
 
 
 FEATURES = 2 * WIDTH + 6
@@ -218,9 +225,18 @@ def _labelled(labels: DataFrame, key: str, label: str, folds: int, fold: int | N
     return decided.select(key, F.round("__y").alias("y"), F.xxhash64(F.col(key), F.lit("fit")).alias("h"))
 
 
-def _fit(rows: DataFrame) -> Network:
-    """Fits on a bounded table of features and labels."""
-    fit = rows.select("features", "y", "h").toPandas().sort_values("h", kind="stable")
+def _sampled(marked: DataFrame, most: int) -> DataFrame:
+    """The labels whose hash lies in the first share that holds about ``most`` of them."""
+    held = settle(marked, "labels")
+    total = held.count()
+    if total <= most:
+        return held
+    return held.filter(F.shiftrightunsigned("h", 1) < F.lit(int(most / total * 2**63)))
+
+
+def _fit(rows: DataFrame, key: str) -> Network:
+    """Fits on a bounded table of features and labels; a key counts once."""
+    fit = rows.dropDuplicates([key]).select("features", "y", "h").toPandas().sort_values("h", kind="stable")
     x = np.stack(fit["features"].to_numpy()).astype(float) if len(fit) else np.zeros((0, FEATURES))
     return fit_network(x, fit["y"].to_numpy(float))
 
@@ -229,15 +245,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
                    folds: int = 5, fold: int = 0, max_fit: int = MAX_FIT) -> DataFrame:
     """(key, held_out, score) for every row of ``docs``.
 
-    The word vectors come from all texts, the network from at most ``max_fit``
-    labelled rows outside the held-out fold. Null labels are skipped, of
+    The word vectors come from all texts, the network from about ``max_fit``
+    labelled rows at most, outside the held-out fold. Null labels are skipped, of
     repeated labels of a key the mean decides (a tie is skipped); null and empty
     texts are scored from zero features; repeated rows are scored alike. Only
     the named columns are read.
     """
     features = settle(pooled(docs, context_table(docs, text), key, text).withColumn("held_out", held_out(key, folds, fold)), "features")
-    marked = _labelled(labels, key, label, folds, fold)
-    net = _fit(features.join(marked, key).select("features", "y", "h").orderBy("h").limit(max_fit))
+    sample = _sampled(_labelled(labels, key, label, folds, fold), max_fit)
+    net = _fit(features.join(sample, key), key)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,15 +271,15 @@ def quality_filter(docs: DataFrame, labels: DataFrame, least: float = 0.3, key:
                    label: str = "quality", max_fit: int = MAX_FIT) -> DataFrame:
     """``docs`` without the rows that score below ``least``; all columns as they came.
 
-    All labels may teach, at most ``max_fit`` of them, those with the smallest
-    hash. A text without tokens is rejected. Rows stay where they are: texts are
+    All labels may teach, about ``max_fit`` of them at most, those with the
+    smallest hashes. A text without tokens is rejected. Rows stay where they are: texts are
     read and judged, not shuffled.
     """
     table = context_table(docs, text)
-    sample = _labelled(labels, key, label, 1, None).orderBy("h").limit(max_fit)
-    # max_fit rows: small enough for every executor
+    sample = _sampled(_labelled(labels, key, label, 1, None), max_fit)
+    # about max_fit rows: small enough for every executor
     taught = docs.select(key, text).join(F.broadcast(sample.select(key)), key, "left_semi")
-    net = _fit(settle(pooled(taught, table, key, text), "fit").join(sample, key))
+    net = _fit(settle(pooled(taught, table, key, text), "fit").join(sample, key), key)
     shared = docs.sparkSession.sparkContext.broadcast((table, net))
     at = docs.columns.index(text)
 
