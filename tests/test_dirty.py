@@ -188,3 +188,14 @@ def test_scratch_folders_can_be_removed(spark):
     clean_scratch(spark)
     kept = settle(spark.range(3))
     assert kept.count() == 3 and clean_scratch(spark) == 1 and clean_scratch(spark) == 0
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    from riskweave.operators.skew import salted_left_join
+    facts = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.lit(None)).otherwise(F.col("id") % 5).alias("k"), "id")
+    table = spark.createDataFrame([(0, "a"), (1, "b"), (None, "never")], "k long, v string")
+    for hot in ({}, {r[0]: 60 for r in spark.range(1).select(F.xxhash64(F.lit(0).cast("long"))).collect()}):
+        joined = salted_left_join(facts, table, ["k"], hot, 10)
+        got = {r.id: r.v for r in joined.collect()}
+        assert joined.columns == ["k", "id", "v"] and len(got) == 900
+        assert got == {i: None if i % 3 else {0: "a", 1: "b"}.get(i % 5) for i in range(900)}
