@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.text import U64, mix, raw_texts, slices, word_hash
+from riskweave.llm.text import U64, Interner, mix, raw_texts, slices, word_hash
 from riskweave.session import settle
 
 WINDOW = 6              # canonical tokens
@@ -31,6 +31,7 @@ UNITS = frozenset(
     "week weeks month months year years percent dollar dollars cent cents euro euros mph km/h degree degrees meter meters "
     "metre metres kilometer kilometers kilometre kilometres centimeter centimeters centimetre centimetres".split())
 
+UNIT_BYTES = frozenset(u.encode() for u in UNITS)
 NUMBER, NAME, UNIT = (np.uint64(word_hash(x)) for x in (b"<number>", b"<name>", b"<unit>"))
 EDGE = " \t\"'`()[]{}<>.,;:!?|*#&$%_-…“”‘’«»"
 
@@ -43,32 +44,46 @@ class Canon:
         self._reset()
 
     def _reset(self) -> None:
-        self.at: dict[bytes, int] = {}
+        self.at = Interner(self._add)
         self.rows: list[tuple] = []
         self.table: tuple | None = None
 
-    def _add(self, chunk: bytes) -> int:
+    def _row(self, chunk: bytes) -> tuple:
+        """(hash of the word, is a word, ends a sentence, number, name, unit)"""
+        word = chunk if chunk.isalpha() else chunk[:-1] if chunk[-1:] in (b".", b",") and chunk[:-1].isalpha() else None
+        if word is not None:        # ASCII letters, perhaps with a mark behind them
+            low = word.lower()
+            name = len(word) > 1 and word[:1].isupper() and not word.isupper()
+            return word_hash(low), True, chunk[-1:] == b".", False, name, low in UNIT_BYTES
         raw = chunk.decode("utf-8", "replace")
         word = raw.strip(EDGE)
         ends = raw.rstrip("\"')]}”’")[-1:] in (".", "!", "?", ":")
         low = word.lower()
         number = any(c.isdigit() for c in word) and not any(c.isalpha() for c in word.rstrip("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ%°"))
         name = not number and len(word) > 1 and word[0].isupper() and any(c.islower() for c in word[1:])
-        self.rows.append((word_hash(low.encode()), bool(word), ends, number, name, low in UNITS))
-        at = self.at[chunk] = len(self.rows) - 1
-        return at
+        return word_hash(low.encode()), bool(word), ends, number, name, low in UNITS
+
+    def _add(self, chunk: bytes) -> int:
+        self.rows.append(self._row(chunk))
+        return len(self.rows) - 1
 
     def tokens(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Canonical hashes, hashes of what was there, and which are placeholders."""
-        chunks = text.split() if text else []
+        return next(self.each([text]))
+
+    def each(self, texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``tokens`` of several texts; new chunks join the table once for all of them."""
         if len(self.at) > self.limit:
             self._reset()
-        look, add = self.at.get, self._add
-        which = np.fromiter((i if (i := look(c)) is not None else add(c) for c in chunks), np.int64, len(chunks))
+        chunks = [t.split() if t else [] for t in texts]
+        found = [np.fromiter(map(self.at.__getitem__, c), np.int64, len(c)) for c in chunks]
         if self.table is None or len(self.table[0]) < len(self.rows):
             fresh = list(zip(*self.rows[0 if self.table is None else len(self.table[0]):]))
             fresh = (np.array(fresh[0], U64), *(np.array(c, bool) for c in fresh[1:])) if fresh else (np.empty(0, U64), *[np.empty(0, bool)] * 5)
             self.table = fresh if self.table is None else tuple(np.concatenate(p) for p in zip(self.table, fresh))
+        return map(self._canonical, found)
+
+    def _canonical(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         value, real, ends, number, name, unit = (c[which] for c in self.table)
         first = np.r_[True, ends[:-1]] if len(which) else np.empty(0, bool)
         value, number, name, unit, first = (c[real] for c in (value, number, name & ~first, unit, first))
@@ -105,8 +120,7 @@ def _windows(table: DataFrame, key: str, text: str, sizes, bits: int, bitmap) ->
         canon = Canon()
         for batch in slices(batches):
             cols: list[list] = [[] for _ in range(6)]
-            for i, t in enumerate(raw_texts(batch.column(2))):
-                tokens, values, slot = canon.tokens(t)
+            for i, (tokens, values, slot) in enumerate(canon.each(raw_texts(batch.column(2)))):
                 for size in sizes if sizes is not None else ([min(WINDOW, len(tokens))] if len(tokens) else []):
                     hashes = window_hashes(tokens, size)
                     if not len(hashes):
