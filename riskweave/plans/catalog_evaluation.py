@@ -161,16 +161,30 @@ def top_score_row(spark: SparkSession, sf: str) -> DataFrame:
     return E.top_row(A.scored(spark, sf)).select("transaction_id", "score")
 
 
-@query("evaluation_files", "S6 D9 D10", f"""WITH {V.SCORED}, {_SEGMENTS}
-SELECT seg AS segment, n_samples, n_fraud, {_POINT} FROM seg_m""")
-def evaluation_files(spark: SparkSession, sf: str) -> DataFrame:
+def _written_reports(spark: SparkSession, sf: str) -> str:
     folder = scratch_path(spark, "evaluation")
     scored = A.scored(spark, sf)
     TB.write_reports(folder, E.metric_report(scored, THRESHOLD), E.segment_report(scored, THRESHOLD))
+    return folder
+
+
+@query("evaluation_files", "S6 D10", f"""WITH {V.SCORED}, {_SEGMENTS}
+SELECT seg AS segment, n_samples, n_fraud, n_fraud / n_samples * 100 AS fraud_rate, {_POINT}, pr_auc
+FROM seg_m JOIN seg_ap USING (seg)""")
+def evaluation_files(spark: SparkSession, sf: str) -> DataFrame:
     schema = ("segment string, n_samples long, n_fraud long, fraud_rate double, precision double, "
               "recall double, f1 double, pr_auc double")
-    return spark.read.schema(schema).option("header", True).csv(f"{folder}/segment_report.csv").drop(
-        "fraud_rate", "pr_auc")
+    folder = _written_reports(spark, sf)
+    return spark.read.schema(schema).option("header", True).csv(f"{folder}/segment_report.csv")
+
+
+@query("evaluation_json", "S6 D9", f"""WITH {V.SCORED}, {_CURVE}, m AS (SELECT {_MATRIX} FROM scored)
+SELECT CAST({THRESHOLD} AS DOUBLE) AS threshold, tn, fp, fn, tp, {_POINT},
+  {_AP} AS average_precision, {_AUC} AS roc_auc FROM m""")
+def evaluation_json(spark: SparkSession, sf: str) -> DataFrame:
+    schema = ("threshold double, tn long, fp long, fn long, tp long, precision double, recall double, f1 double, "
+              "average_precision double, roc_auc double")
+    return spark.read.schema(schema).json(f"{_written_reports(spark, sf)}/evaluation.json")
 
 
 @query("latest_per_group", "A19 D14", """SELECT user_id, event_type, max_by(value, (ts, event_id)) AS value
