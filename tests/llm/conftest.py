@@ -35,3 +35,10 @@ def docs(spark, corpus):
 @pytest.fixture(scope="session")
 def nothing(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string")
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    """Tasks can import the package wherever the tests were started."""
+    from riskweave.llm.ship import ship
+    ship(spark)
