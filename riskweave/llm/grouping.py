@@ -31,7 +31,7 @@ SMALL = 3           # lengths up to capacity / SMALL are small
 GROUPS = (64, 128, 256)        # rounded sizes: the best plan of these is taken
 STALLED = 40        # pivots without a saving that end the programme
 PRICED = 1024       # pooled configurations priced at once
-ROWS_PER_SALT = 2000
+ROWS_PER_SALT = 500
 
 
 # ---------------------------------------------------------------- pieces
