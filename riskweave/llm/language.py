@@ -24,6 +24,7 @@ WIDTH = 512             # dimensions of a vector
 UNKNOWN = "und"
 SPACE = 32
 GRAMS_KEPT = 40_000     # n-gram vectors that a worker keeps
+GRAMS_HELD = 400_000    # n-gram counts that a task holds before it adds them up
 
 
 @lru_cache(maxsize=1)
@@ -69,6 +70,18 @@ def bundle(codes: np.ndarray, times: np.ndarray) -> np.ndarray:
     return times.astype(np.float32) @ gram_vectors(codes).astype(np.float32)
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One count per code out of several tables."""
+    codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return codes, np.bincount(at, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
+
+
+def _counted(held: dict[str, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+    for l, parts in held.items():
+        codes, n = _added(parts)
+        yield pa.RecordBatch.from_arrays([pa.array([l] * len(codes), pa.string()), pa.array(codes), pa.array(n)], ["lang", "gram", "n"])
+
+
 def language_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
     """A prototype for each language, from all rows with a text and a language.
 
@@ -77,14 +90,23 @@ def language_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -
     language.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
+        for batch in slices(batches):
             by: dict[str, list[np.ndarray]] = {}
             for t, l in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by.setdefault(l, []).append(grams(t))
             for l, parts in by.items():
-                codes, times = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([l] * len(codes), pa.string()), pa.array(codes), pa.array(times.astype(np.int64))], ["lang", "gram", "n"])
+                found = np.unique(np.concatenate(parts), return_counts=True)
+                held.setdefault(l, []).append(found)
+                size += len(found[0])
+            if size > GRAMS_HELD:
+                held = {l: [_added(p)] for l, p in held.items()}
+                size = sum(len(p[0][0]) for p in held.values())
+                if size > GRAMS_HELD // 2:
+                    yield from _counted(held)
+                    held, size = {}, 0
+        yield from _counted(held)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

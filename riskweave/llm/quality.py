@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.text import Interner, slices, word_hash
+from riskweave.llm.tokens import forget_tokenizers
 from riskweave.session import settle
 
 BUCKETS = 8192          # token buckets: bounds the vector table to BUCKETS x WIDTH
@@ -67,6 +68,7 @@ def context_table(docs: DataFrame, text: str = "text") -> np.ndarray:
     so no group holds a sum of every task.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_tokenizers()
         cache = Interner(_token_key)
         total = np.zeros(BUCKETS * WIDTH)
         seen = False

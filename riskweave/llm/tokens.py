@@ -107,6 +107,11 @@ def chunk_tokenizer(path: str) -> ChunkTokenizer:
     return _loaded[path]
 
 
+def forget_tokenizers() -> None:
+    """Frees the caches of a worker whose next tasks encode nothing."""
+    _loaded.clear()
+
+
 def public_path(name: str) -> str:
     """Where the public vocabulary ``name`` lies on this machine."""
     import public_tokenizers
