@@ -28,6 +28,7 @@ FAN = 16           # children of an index node
 TILE = 8192        # rows of one bucket that one task holds, twice
 CHUNK = 200_000    # rows indexed at once
 QUERIES = 8192     # queries walked down at once
+PAIRS = 1 << 22    # pairs that the queries walked down at once can make
 FULL = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -102,17 +103,23 @@ def bucket_labels(bucket: np.ndarray, fingerprints: np.ndarray, radius: int,
 
     Large buckets first lose what their middle rows reach, so that a dense group
     costs a few sweeps instead of all its pairs; the rest is searched whole.
+    What different middle rows reached is searched against each other as long as
+    their labels differ, so no link is lost.
     """
     n = len(bucket)
     label, open_ = np.arange(n), np.ones(n, bool)
-    waiting = np.zeros(n, bool)
+    swept = np.full(n, -1)      # the sweep that took the row out
 
     def hits(who: np.ndarray, among: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        held, dense = np.unique(bucket[among], return_inverse=True)
+        held, dense, size = np.unique(bucket[among], return_inverse=True, return_counts=True)
         who = who[np.isin(bucket[who], held)]
+        if not len(who):
+            return
         index = GrayIndex(dense, fingerprints[among])
-        for at in range(0, len(who), QUERIES):
-            q = who[at:at + QUERIES]
+        before = np.cumsum(size[np.searchsorted(held, bucket[who])]) // PAIRS
+        cuts = np.unique(np.r_[np.arange(0, len(who), QUERIES), np.flatnonzero(np.r_[True, before[1:] != before[:-1]]), len(who)])
+        for at, end in zip(cuts[:-1], cuts[1:]):
+            q = who[at:end]
             i, j = index.search(np.searchsorted(held, bucket[q]), fingerprints[q], radius)
             i, j = q[i], among[j]
             keep = i != j
@@ -123,24 +130,42 @@ def bucket_labels(bucket: np.ndarray, fingerprints: np.ndarray, radius: int,
             yield i, j
 
     active = np.flatnonzero(np.bincount(bucket) > 64)
-    for _ in range(24):
+    led: list[np.ndarray] = []  # per sweep the middle row of each bucket, or -1
+    for sweep in range(24):
         rest = np.flatnonzero(open_ & np.isin(bucket, active))
         if not len(rest):
             break
         held, first, count = np.unique(bucket[rest], return_index=True, return_counts=True)
         leaders = rest[first + count // 2]
-        open_[leaders], waiting[leaders] = False, True
+        open_[leaders], swept[leaders] = False, sweep
+        led.append(np.full(bucket[-1] + 1, -1))
+        led[-1][held] = leaders
         rest = rest[open_[rest]]
         won = np.zeros(len(held), np.int64)
         for i, j in hits(leaders, rest):
             label = _merge(label, i, j)
-            open_[j], waiting[j] = False, True
+            open_[j], swept[j] = False, sweep
             won += np.bincount(np.searchsorted(held, bucket[j]), minlength=len(held))
         active = held[(won > 0.05 * count) & (count - won > 64)]
     rest = np.flatnonzero(open_)
     if len(rest):
-        for i, j in hits(np.flatnonzero(open_ | waiting), rest):
+        for i, j in hits(np.arange(n), rest):
             label = _merge(label, i, j)
+    for sweep, lead in enumerate(led[:-1]):
+        # later sweeps' rows against what this one took: each is within the radius of its leader
+        among, who = np.flatnonzero(swept == sweep), np.flatnonzero(swept > sweep)
+        apart = np.bitwise_count(fingerprints[who] ^ fingerprints[lead[bucket[who]]])
+        near = apart <= 2 * radius
+        who, apart = who[near], apart[near]
+        who = who[np.lexsort((apart, bucket[who]))]
+        place = np.arange(len(who)) - np.searchsorted(bucket[who], bucket[who])
+        at, end = 0, 1
+        while at < len(who):        # the nearest rows of each bucket first; most buckets are of one label after them
+            own = who[(place >= at) & (place < end)]
+            own = own[label[own] != label[lead[bucket[own]]]]
+            for i, j in hits(own, among):
+                label = _merge(label, i, j)
+            at, end = end, 4 * end
     return label
 
 

@@ -80,6 +80,22 @@ def test_bucket_labels_are_components(n):
     assert label.tolist() == [classes(range(n), pairs)[i] for i in range(n)] if n < 100 else len(set(label)) == len(set(classes(range(n), pairs).values()))
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_bucket_labels_join_bridged_clouds(seed):
+    rng = random.Random(seed)
+    a, bits = rng.getrandbits(64), rng.sample(range(64), 64)
+    flip = lambda x, *some: x ^ sum(1 << b for b in some)
+    rows = {flip(a, *bits[:2]), flip(a, *bits[:3])}         # the bridge
+    for c in (a, flip(a, *bits[:5])):
+        rows |= {c} | {flip(c, *{x, y}) for x in bits[5:20] for y in bits[5:20]}
+    f = np.array(sorted(rows), np.uint64)
+    f = f[np.argsort(G.gray_rank(f))]
+    n = len(f)
+    label = G.bucket_labels(np.zeros(n, np.int64), f, 2)
+    pairs = [(i, j) for i in range(n) for j in range(i) if int(f[i] ^ f[j]).bit_count() <= 2]
+    assert n > 200 and label.tolist() == [classes(range(n), pairs)[0]] * n == [0] * n
+
+
 @pytest.mark.parametrize("tile", [4, 8192])
 def test_links_miss_nothing(spark, tile):
     f = _clouds(random.Random(9), 300)
