@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm.components import components
-from riskweave.llm.text import U64, Interner, pack_bits, raw_texts, shingle_hashes, signed_votes, slices, word_hash
+from riskweave.llm.text import U64, Interner, mix, pack_bits, raw_texts, shingle_hashes, signed_votes, slices, word_hash
 from riskweave.session import settle
 
 FAN = 16           # children of an index node
@@ -172,23 +172,27 @@ def bucket_labels(bucket: np.ndarray, fingerprints: np.ndarray, radius: int,
 # ---------------------------------------------------------------- links on Spark
 
 def links(prints: DataFrame, lanes: int, radius: int, blocks: int = 3,
-          agree: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, tile: int = TILE) -> DataFrame:
+          agree: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, tile: int = TILE, buckets: str | None = None) -> DataFrame:
     """(src, dst) of a forest that connects what is linked inside every bucket.
 
     ``prints`` has a unique ``id`` (long) and ``lanes``, an array of longs whose
     first ``lanes`` words are indexed; ``agree(a, b)`` gets the rows' words, two
     matrices, and confirms pairs. With one lane and radius < ``blocks`` no link
-    is missed.
+    is missed. ``buckets`` names an array of longs to meet on instead of the
+    blocks; its places take the lanes in turn.
     """
     edges = [64 * b // blocks for b in range(blocks + 1)]
-    keys = []
-    for lane in range(lanes):
-        for b in range(blocks):
-            width = edges[b + 1] - edges[b]
-            value = F.shiftrightunsigned(F.col("lanes")[lane], edges[b]).bitwiseAND(F.lit((1 << width) - 1))
-            keys.append(value + F.lit((lane * blocks + b) << 34))
-    rows = prints.select("id", "lanes", F.explode(F.array(*keys)).alias("bucket"))
-    rows = rows.withColumn("lane", F.shiftright("bucket", 34).cast("int") / blocks)
+    if buckets is not None:
+        rows = prints.select("id", "lanes", F.posexplode(buckets).alias("lane", "bucket")).withColumn("lane", F.col("lane") % lanes)
+    else:
+        keys = []
+        for lane in range(lanes):
+            for b in range(blocks):
+                width = edges[b + 1] - edges[b]
+                value = F.shiftrightunsigned(F.col("lanes")[lane], edges[b]).bitwiseAND(F.lit((1 << width) - 1))
+                keys.append(value + F.lit((lane * blocks + b) << 34))
+        rows = prints.select("id", "lanes", F.explode(F.array(*keys)).alias("bucket"))
+        rows = rows.withColumn("lane", F.shiftright("bucket", 34).cast("int") / blocks)
     hot = settle(rows.groupBy("bucket").count().filter(F.col("count") > tile)
                  .select("bucket", F.ceil(F.col("count") / tile).cast("int").alias("tiles")), "hot-buckets")
     if hot.isEmpty():
@@ -291,9 +295,11 @@ def fingerprint_classes(docs: DataFrame, key: str = "doc_id", text: str = "text"
 # ---------------------------------------------------------------- near duplicates of whole documents
 
 LANES = 4          # 64-bit words of each fingerprint
-NEAR = 8           # differing bits of a word lane that a search admits
+NEAR = 24          # differing bits of a word that a search admits; 9.7 are expected at similarity 0.8, 2.9 their deviation
+BANDS = 16         # of MinHash values of the shingles: two documents meet in one with 1 - (1 - s ** DEEP) ** BANDS,
+DEEP = 4           # which is 0.9998 at similarity s = 0.8
 SIMILAR = 0.8      # Jaccard similarity of five-word shingles
-SPREAD = 0.03      # standard error of its estimate, granted to pairs
+SPREAD = 0.03      # granted to the estimate of pairs
 
 
 def likeness(a: np.ndarray, b: np.ndarray, lanes: int = LANES) -> np.ndarray:
@@ -303,21 +309,25 @@ def likeness(a: np.ndarray, b: np.ndarray, lanes: int = LANES) -> np.ndarray:
     return cosine / (2 - cosine)
 
 
-def document_lanes(text: bytes | None, cache: Interner, shingle: int = 5, lanes: int = LANES) -> np.ndarray:
-    """``lanes`` words over weighted terms for retrieval, then as many over shingles for the decision.
-
-    A term weighs by its length, which keeps common short words from
-    drawing unlike texts together.
-    """
+def document_shingles(text: bytes | None, cache: Interner, shingle: int = 5) -> np.ndarray:
+    """The distinct shingles of a text, as sorted hashes."""
     w = text.lower().split() if text else []
-    if not w:
-        return np.zeros(2 * lanes, U64)
-    hashes = np.fromiter(map(cache.__getitem__, w), U64, len(w))
-    size = np.fromiter(map(len, w), np.int64, len(w))
-    terms, at = np.unique(hashes, return_index=True)
-    weights = np.clip(size[at] - 2, 1, 10).astype(np.float32)
-    sets = np.unique(shingle_hashes(hashes, shingle))
-    return np.concatenate([pack_bits(signed_votes(terms, lanes, weights)), pack_bits(signed_votes(sets, lanes))])
+    return np.unique(shingle_hashes(np.fromiter(map(cache.__getitem__, w), U64, len(w)), shingle))
+
+
+def document_lanes(sets: np.ndarray, lanes: int = LANES) -> np.ndarray:
+    """The SimHash of a set of shingles, ``lanes`` words."""
+    return pack_bits(signed_votes(sets, lanes)) if len(sets) else np.zeros(lanes, U64)
+
+
+def document_bands(sets: np.ndarray, bands: int = BANDS, deep: int = DEEP) -> np.ndarray:
+    """A key for each band of ``deep`` MinHash values."""
+    odd = mix(np.arange(1, bands * deep + 1, dtype=U64)) | U64(1)
+    low = (sets * odd[:, None]).min(1, initial=U64(0xFFFFFFFFFFFFFFFF)).reshape(bands, deep)
+    keys = np.arange(1, bands + 1, dtype=U64)
+    for c in range(deep):
+        keys = mix(keys * U64(0x9E3779B97F4A7C15) + low[:, c])
+    return keys
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
@@ -337,18 +347,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Interner(word_hash)
         for batch in slices(batches):
-            made = np.concatenate([document_lanes(t, cache, shingle) for t in raw_texts(batch.column(2))])
+            sets = [document_shingles(t, cache, shingle) for t in raw_texts(batch.column(2))]
             cache.trim()
-            offsets = np.arange(0, len(made) + 1, 2 * LANES, dtype=np.int32)
+            longs = lambda rows, size: pa.ListArray.from_arrays(np.arange(0, len(rows) * size + 1, size, dtype=np.int32), np.concatenate(rows).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, made.view(np.int64))], [key, "__text", "lanes"])
+                [batch.column(0), batch.column(1), pa.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], pa.uint64()).view(pa.int64()),
+                 longs([document_lanes(s) for s in sets], LANES), longs([document_bands(s) for s in sets], BANDS)],
+                [key, "__text", "__set", "lanes", "bands"])
 
-    made = settle(own.mapInArrow(work, f"`{key}` {kind}, __text long, lanes array<long>"), "signatures")
-    rows = made.groupBy(key, "__text").agg(F.count(F.lit(1)).alias("__rows"), F.first("lanes").alias("lanes"))
+    made = settle(own.mapInArrow(work, f"`{key}` {kind}, __text long, __set long, lanes array<long>, bands array<long>"), "signatures")
+    rows = made.groupBy(key, "__text").agg(F.count(F.lit(1)).alias("__rows"), F.first("__set").alias("__set"),
+                                           F.first("lanes").alias("lanes"), F.first("bands").alias("bands"))
     rows = settle(rows, "rows")
-    distinct = rows.groupBy("lanes").agg(F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key), F.col("__text"))).alias("low"))
-    distinct = settle(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct-signatures")
-    found = links(distinct.select("id", "lanes"), LANES, NEAR, 3, lambda a, b: likeness(a, b) >= similar - SPREAD)
+    # one row per set of shingles: copies meet map-side and never in the index
+    distinct = rows.groupBy(F.col("__set").alias("id")).agg(F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key), F.col("__text"))).alias("low"),
+                                             F.first("lanes").alias("lanes"), F.first("bands").alias("bands"))
+    distinct = settle(distinct, "distinct-signatures")
+    found = links(distinct.select("id", "lanes", "bands"), LANES, NEAR, agree=lambda a, b: likeness(a, b) >= similar - SPREAD, buckets="bands")
     roots = components(found)
     classed = distinct.join(roots, distinct["id"] == roots["node"], "left").withColumn("class", F.coalesce("root", "id"))
     kept = classed.groupBy("class").agg(F.min("low").alias("low"))

@@ -148,6 +148,27 @@ def test_near_duplicates_keep_one(spark, words):
     assert sorted(r.doc_id for r in kept.collect()) == [*range(12), *range(108, 112), 500]
 
 
+def _edited(rng, words, similarity, kind):
+    """A text and a copy with a passage appended, cut off or put in the middle; of about this similarity."""
+    w = [rng.choice(words) + rng.choice(words) for _ in range(300)]
+    n = round(300 * (1 / similarity - 1))
+    fresh = [rng.choice(words) + rng.choice(words) for _ in range(n)]
+    return " ".join(w), " ".join({"append": w + fresh, "cut": w[:round(300 * similarity)], "middle": w[:150] + fresh + w[150:]}[kind])
+
+
+@pytest.mark.parametrize("kind", ["append", "cut", "middle"])
+def test_near_duplicates_are_retrieved(spark, words, kind):
+    rng = random.Random(kind)
+    pairs = [_edited(rng, words, s, kind) for s in (0.82, 0.85, 0.9) for _ in range(60)]
+    cache = Interner(word_hash)
+    made = [(x, G.document_lanes(s), G.document_bands(s)) for x, t in enumerate(t for p in pairs for t in p)
+            for s in [G.document_shingles(t.encode(), cache)]]
+    longs = lambda a: a.view(np.int64).tolist()
+    prints = spark.createDataFrame([(x, longs(a), longs(b)) for x, a, b in made], "id long, lanes array<long>, bands array<long>")
+    got = {frozenset((r.src, r.dst)) for r in G.links(prints, G.LANES, G.NEAR, buckets="bands").collect()}
+    assert sum(frozenset((2 * i, 2 * i + 1)) in got for i in range(len(pairs))) >= 0.98 * len(pairs)
+
+
 def test_empty(nothing):
     assert G.fingerprint_classes(nothing).collect() == [] and G.keep_one(nothing).collect() == []
     assert FP.edited_fingerprints(nothing).collect() == []
