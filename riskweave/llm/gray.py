@@ -299,7 +299,8 @@ NEAR = 24          # differing bits of a word that a search admits; 9.7 are expe
 BANDS = 16         # of MinHash values of the shingles: two documents meet in one with 1 - (1 - s ** DEEP) ** BANDS,
 DEEP = 4           # which is 0.9998 at similarity s = 0.8
 SIMILAR = 0.8      # Jaccard similarity of five-word shingles
-SPREAD = 0.03      # granted to the estimate of pairs
+LOOSE = 0.3        # taken off it for the estimate: over 5 standard errors of 0.052, over 3 for sets of a few shingles
+HEAVY = 1 << 22    # shingles of one group that one task holds, twice
 
 
 def likeness(a: np.ndarray, b: np.ndarray, lanes: int = LANES) -> np.ndarray:
@@ -330,12 +331,91 @@ def document_bands(sets: np.ndarray, bands: int = BANDS, deep: int = DEEP) -> np
     return keys
 
 
+def set_labels(sets: list[np.ndarray], similar: float) -> np.ndarray:
+    """Per set the smallest position linked to it by Jaccard similarities of at least ``similar``; exact.
+
+    Only sets outside the largest class so far are compared with the others, so
+    a dense group costs a few comparisons instead of all its pairs.
+    """
+    n = len(sets)
+    label, size = np.arange(n), np.array([len(s) for s in sets])
+    if n == 2:
+        both = len(np.intersect1d(*sets, assume_unique=True))
+        return np.array([0, 0]) if both >= similar * (size.sum() - both) else label
+    code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    owner = np.repeat(np.arange(n), size)[np.argsort(code, kind="stable")]
+    count = np.bincount(code)
+    start, end = np.cumsum(count) - count, np.cumsum(size)
+    asked = np.zeros(n, bool)
+    while True:
+        outside = np.flatnonzero(~asked & (label != np.bincount(label, minlength=n).argmax()))
+        if not len(outside):
+            return label
+        for i in outside[:64].tolist():
+            asked[i] = True
+            own = code[end[i] - size[i]:end[i]]
+            many = count[own]
+            at = np.repeat(start[own] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            both = np.bincount(owner[at], minlength=n)
+            found = np.flatnonzero(both >= similar * (size[i] + size - both))
+            label = _merge(label, np.full(len(found), i), found)
+            if (label == 0).all():
+                return label
+
+
+def exact_links(docs: DataFrame, members: DataFrame, key: str, text: str, shingle: int, similar: float, tile: int = TILE) -> DataFrame:
+    """(src, dst) of a forest that connects what is alike inside each group of candidates.
+
+    ``members`` (id, root, key, __text, size) names a row of ``docs`` for each
+    candidate; groups above ``tile`` rows or ``HEAVY`` shingles are dealt over tiles.
+    """
+    hot = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight"))
+    hot = hot.select("root", F.ceil(F.greatest(F.col("n") / tile, F.col("weight") / HEAVY)).cast("int").alias("tiles")).filter("tiles > 1")
+    hot = settle(hot, "hot-groups")
+    if hot.isEmpty():
+        placed = members.withColumn("pair", F.lit(0).cast("long"))
+    else:
+        tiles = F.coalesce("tiles", F.lit(1))
+        placed = (members.join(hot, "root", "left").withColumn("own", F.pmod(F.xxhash64("id"), tiles))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+                  .withColumn("pair", F.least("own", "other") * (1 << 31) + F.greatest("own", "other")))
+    placed = placed.select("root", "pair", "id", F.col(key).alias("__key"), F.col("__text").alias("__kept"))
+    own = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("__whole")).withColumn("__text", F.xxhash64("__whole"))
+    rows = own.join(placed, own[key].eqNullSafe(placed["__key"]) & (own["__text"] == placed["__kept"]))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = Interner(word_hash)
+        group, held = None, {}
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if len(held) > 1:
+                ids = np.array(list(held))
+                label = set_labels(list(held.values()), similar)
+                linked = np.flatnonzero(label != np.arange(len(label)))
+                if len(linked):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[label[linked]])], ["src", "dst"])
+
+        for batch in slices(batches):
+            for root, pair, i, t in zip(*(batch.column(c).to_pylist() for c in range(3)), raw_texts(batch.column(3))):
+                if (root, pair) != group:
+                    yield from done()
+                    group, held = (root, pair), {}
+                if i not in held:       # repeated rows
+                    held[i] = document_shingles(t, cache, shingle)
+            cache.trim()
+        yield from done()
+
+    return (rows.select("root", "pair", "id", "__whole").repartition("root", "pair").sortWithinPartitions("root", "pair")
+            .mapInArrow(work, "src long, dst long"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
                     similar: float = SIMILAR) -> DataFrame:
     """(key, __text, __rows, __keep): which of the distinct (key, text) rows stay, one per group.
 
-    Documents whose estimated similarity of ``shingle``-word shingles is at
-    least ``similar``, less the estimate's standard error, are linked; of each component the row with the smallest
+    Documents whose sets of ``shingle``-word shingles have a Jaccard similarity
+    of at least ``similar`` are linked. Bands and an estimate retrieve groups of
+    candidates, in which the sets themselves are compared; of each component the row with the smallest
     key stays, then the smallest text hash; null keys stay last. Texts without
     words are copies of each other. ``__text`` is the XXH64 of the text and
     ``__rows`` how often the row occurs.
@@ -352,19 +432,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
             longs = lambda rows, size: pa.ListArray.from_arrays(np.arange(0, len(rows) * size + 1, size, dtype=np.int32), np.concatenate(rows).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], pa.uint64()).view(pa.int64()),
+                 pa.array([len(s) for s in sets], pa.int32()),
                  longs([document_lanes(s) for s in sets], LANES), longs([document_bands(s) for s in sets], BANDS)],
-                [key, "__text", "__set", "lanes", "bands"])
+                [key, "__text", "__set", "__size", "lanes", "bands"])
 
-    made = settle(own.mapInArrow(work, f"`{key}` {kind}, __text long, __set long, lanes array<long>, bands array<long>"), "signatures")
-    rows = made.groupBy(key, "__text").agg(F.count(F.lit(1)).alias("__rows"), F.first("__set").alias("__set"),
+    made = settle(own.mapInArrow(work, f"`{key}` {kind}, __text long, __set long, __size int, lanes array<long>, bands array<long>"), "signatures")
+    rows = made.groupBy(key, "__text").agg(F.count(F.lit(1)).alias("__rows"), F.first("__set").alias("__set"), F.first("__size").alias("__size"),
                                            F.first("lanes").alias("lanes"), F.first("bands").alias("bands"))
     rows = settle(rows, "rows")
     # one row per set of shingles: copies meet map-side and never in the index
     distinct = rows.groupBy(F.col("__set").alias("id")).agg(F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key), F.col("__text"))).alias("low"),
-                                             F.first("lanes").alias("lanes"), F.first("bands").alias("bands"))
+                                             F.first("__size").alias("size"), F.first("lanes").alias("lanes"), F.first("bands").alias("bands"))
     distinct = settle(distinct, "distinct-signatures")
-    found = links(distinct.select("id", "lanes", "bands"), LANES, NEAR, agree=lambda a, b: likeness(a, b) >= similar - SPREAD, buckets="bands")
-    roots = components(found)
+    found = links(distinct.select("id", "lanes", "bands"), LANES, NEAR, agree=lambda a, b: likeness(a, b) >= similar - LOOSE, buckets="bands")
+    groups = settle(components(found), "candidates")
+    groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
+    members = distinct.join(groups, distinct["id"] == groups["node"])
+    members = settle(members.select("id", "root", F.col("low")[key].alias(key), F.col("low")["__text"].alias("__text"), "size"), "members")
+    roots = components(exact_links(docs, members, key, text, shingle, similar))
     classed = distinct.join(roots, distinct["id"] == roots["node"], "left").withColumn("class", F.coalesce("root", "id"))
     kept = classed.groupBy("class").agg(F.min("low").alias("low"))
     kept = kept.select(F.col("low")[key].alias(key), F.col("low")["__text"].alias("__text"), F.lit(True).alias("__keep"))

@@ -169,6 +169,42 @@ def test_near_duplicates_are_retrieved(spark, words, kind):
     assert sum(frozenset((2 * i, 2 * i + 1)) in got for i in range(len(pairs))) >= 0.98 * len(pairs)
 
 
+def test_near_duplicates_are_those_of_brute_force(spark, words):
+    rng = random.Random(12)
+    texts = [t for s in (0.72, 0.77, 0.79, 0.8, 0.81, 0.83, 0.9) for k in ("append", "cut", "middle") for _ in range(5) for t in _edited(rng, words, s, k)]
+    for _ in range(4):                              # chains of small steps
+        w = texts[0].split()[::-1] if not _ else [rng.choice(words) for _ in range(120)]
+        for step in range(5):
+            texts.append(" ".join(w))
+            w = w[8:] + [rng.choice(words) for _ in range(8)]
+    n = len(texts)
+    own = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    want = classes(range(n), [(i, j) for i in range(n) for j in range(i) if len(own[i] & own[j]) >= 0.8 * len(own[i] | own[j])])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in G.keep_one(docs).collect()) == sorted(set(want.values()))
+
+
+@pytest.mark.parametrize("n", [2, 3, 40, 400])
+def test_set_labels_are_components(n):
+    rng = np.random.default_rng(n)
+    base = rng.integers(0, 2**63, (max(1, n // 20), 60)).astype(np.uint64)
+    sets = [np.unique(np.r_[rng.choice(base[i % len(base)], 60 - k, replace=False), rng.integers(0, 2**63, k).astype(np.uint64)])
+            for i in range(n) for k in [int(rng.integers(0, 12))]]
+    own = [set(s.tolist()) for s in sets]
+    pairs = [(i, j) for i in range(n) for j in range(i) if len(own[i] & own[j]) >= 0.8 * len(own[i] | own[j])]
+    assert G.set_labels(sets, 0.8).tolist() == list(classes(range(n), pairs).values())
+
+
+@pytest.mark.parametrize("tile", [2, 8192])
+def test_exact_links(spark, words, tile):
+    rng = random.Random(4)
+    texts = [t for s in (0.75, 0.85) for _ in range(6) for t in _edited(rng, words, s, "append")]
+    docs = spark.createDataFrame(list(enumerate(texts)) * 2, "doc_id long, text string")
+    members = docs.distinct().selectExpr("doc_id + 100 as id", "-1L as root", "doc_id", "xxhash64(text) as __text", "300 as size")
+    got = [(r.src - 100, r.dst - 100) for r in G.exact_links(docs, members, "doc_id", "text", 5, 0.8, tile).collect()]
+    assert classes(range(24), got) == {i: i - (i % 2 if i >= 12 else 0) for i in range(24)}
+
+
 def test_empty(nothing):
     assert G.fingerprint_classes(nothing).collect() == [] and G.keep_one(nothing).collect() == []
     assert FP.edited_fingerprints(nothing).collect() == []
