@@ -23,6 +23,8 @@ from riskweave.llm.text import U64, mix, slices
 WIDTH = 512             # dimensions of a vector
 UNKNOWN = "und"
 SPACE = 32
+LEAST = 0.14            # cosine of a document in a known language; chance has a deviation of 0.044 (1 / sqrt(WIDTH)) per language
+JUDGED = 30             # letter trigrams from which the bar holds: the cosine of shorter clean texts goes down to that of junk
 GRAMS_KEPT = 40_000     # n-gram vectors that a worker keeps
 GRAMS_HELD = 400_000    # n-gram counts that a task holds before it adds them up
 
@@ -213,11 +215,12 @@ def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     return identify(docs.select(key, aside.alias("held_out"), text), profiles, text)
 
 
-def language_filter(docs: DataFrame, text: str = "text", lang: str = "lang", least: float = 0.0) -> DataFrame:
+def language_filter(docs: DataFrame, text: str = "text", lang: str = "lang", least: float = LEAST) -> DataFrame:
     """``docs`` without rows of no language; all columns as they came.
 
-    A row goes if its text is null or has no letter, or if its cosine to the
-    nearest prototype is not above ``least``. Prototypes come from all rows with
+    A row goes if its text is null or has no letter, or if it has ``JUDGED``
+    letter trigrams and its cosine to the nearest prototype is not above
+    ``least``; so letter junk and languages nobody has labelled go. Prototypes come from all rows with
     a language; without any, rows with a letter stay.
     """
     shared = docs.sparkSession.sparkContext.broadcast(language_profiles(docs, text, lang))
@@ -229,7 +232,7 @@ def language_filter(docs: DataFrame, text: str = "text", lang: str = "lang", lea
             texts = batch.column(at).to_pylist()
             if detector.langs:
                 langs, scores = detector.detect(texts)
-                keep = [l != UNKNOWN and s > least for l, s in zip(langs, scores)]
+                keep = [l != UNKNOWN and (s > least or len(grams(t)) < JUDGED) for t, l, s in zip(texts, langs, scores)]
             else:
                 keep = [len(grams(t)) > 0 for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
