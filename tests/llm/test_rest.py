@@ -161,18 +161,6 @@ def test_language_filter(tongues, nothing):
     assert L.language_filter(nothing).collect() == [] and L.languages(nothing).collect() == []
 
 
-def test_language_filter_rejects_junk_and_unlearned_languages(spark, tongues):
-    rng = random.Random(9)
-    line = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n))
-    latin = "abcdefghijklmnopqrstuvwxyz"
-    odd = [line(latin, 60) for _ in range(40)] + ["".join(rng.choice(latin + latin.upper() + "0123456789+/") for _ in range(500)) for _ in range(40)]
-    odd += [line("абвгдежзийклмноп", 60) for _ in range(40)]
-    rows = spark.createDataFrame([(1000 + i, t, None) for i, t in enumerate(odd)], "doc_id long, text string, lang string")
-    kept = [r.doc_id for r in L.language_filter(tongues.unionByName(rows)).collect()]
-    assert sum(d is not None and d >= 1000 for d in kept) <= 0.05 * len(odd)
-    assert set(range(240)) <= set(kept)
-
-
 # ---------------------------------------------------------------- templates
 
 ITEM = "At noon Alice bought 12 apples for 30 dollars. How many apples can Alice buy for 90 dollars?"
