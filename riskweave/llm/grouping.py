@@ -122,6 +122,26 @@ def _first_configurations(size: np.ndarray, capacity: int) -> np.ndarray:
     return columns
 
 
+def _inverse(basis: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan inverse by rank-one updates.
+
+    ``np.linalg.inv`` waits forever for its threads in a process that imported
+    numpy before it started the JVM, so no LAPACK routine runs here.
+    """
+    n = len(basis)
+    work = np.concatenate([basis, np.eye(n)], axis=1)
+    for k in range(n):
+        pivot = k + int(np.abs(work[k:, k]).argmax())
+        if pivot != k:
+            work[[k, pivot]] = work[[pivot, k]]
+        row = work[k] / work[k, k]
+        factor = work[:, k].copy()
+        held = np.flatnonzero(factor)       # a basis of few-size configurations is sparse
+        work[held] -= factor[held, None] * row
+        work[k] = row
+    return work[:, n:]
+
+
 def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 60) -> list[tuple[np.ndarray, int]]:
     """Configurations of the sizes and how often each is used, never beyond the demand.
 
@@ -135,7 +155,7 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
     need = np.array(demand, float) * (1 + 1e-6 * np.arange(1, len(size) + 1) / len(size))
     basis = np.diag((capacity // size).astype(float))
     pool = np.ascontiguousarray(_first_configurations(size, capacity).T)
-    inverse = np.linalg.inv(basis)
+    inverse = np.diag(1 / basis.diagonal())
     use = inverse @ need
     pivots = knapsacks = stalled = at = 0
     least = use.sum()
@@ -165,7 +185,7 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
         basis[:, leave] = column
         pivots += 1
         if pivots % 30 == 0:
-            inverse = np.linalg.inv(basis)
+            inverse = _inverse(basis)
         else:
             row = inverse[leave] / move[leave]
             inverse = inverse - np.outer(move, row)
