@@ -84,22 +84,24 @@ def packed_rows(docs: DataFrame, tokenizer: str | None = None, capacity: int = C
                 pad_id: int = 0, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per sequence of ``capacity`` ids.
 
-    sequence_id; ids (binary, little-endian unsigned 16-bit, padded with
+    sequence_id; ids (binary, little-endian unsigned 16-bit, or 32-bit where the
+    vocabulary, ``end_id``, ``pad_id`` or ``capacity`` goes beyond 65,536, padded with
     ``pad_id``); n_tokens; cu_seqlens (0 and the end of each piece);
     position_ids (binary like ids, counting from 0 in each piece, 0 in the
     padding); doc_ids and starts (the document of each piece and how many of its
     ids come before). A document is the ids of its text and ``end_id``; null and
     empty texts are ``end_id`` alone. Only documents longer than ``capacity``
     are cut, and their pieces joined by ``starts`` give them back. Repeated rows
-    and null keys are documents like others; an empty table gives no row. Ids
-    must be below 65,536.
+    and null keys are documents like others; an empty table gives no row.
     """
     kind = docs.schema[key].dataType.simpleString()
     schema = (f"sequence_id long, ids binary, n_tokens int, cu_seqlens array<int>, position_ids binary, "
               f"doc_ids array<{kind}>, starts array<long>")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = chunk_tokenizer(tokenizer or public_path("word_bpe_49k.json")).encode_batch
+        vocabulary = chunk_tokenizer(tokenizer or public_path("word_bpe_49k.json"))
+        encode = vocabulary.encode_batch
+        width = "<u2" if max(vocabulary.size, end_id + 1, pad_id + 1, capacity) <= 1 << 16 else "<u4"
         base = TaskContext.get().partitionId() << 33
         made = 0
         pool: list[tuple] = []      # (ids, document, start)
@@ -117,7 +119,7 @@ def packed_rows(docs: DataFrame, tokenizer: str | None = None, capacity: int = C
                 else:
                     rows.append(([pool[i] for i in s], used))
             for at in range(0, len(rows), 256):
-                yield _rows(rows[at:at + 256], base + made, capacity, pad_id, batch_type)
+                yield _rows(rows[at:at + 256], base + made, capacity, pad_id, batch_type, width)
                 made += len(rows[at:at + 256])
             pool, held = back, spare
 
@@ -128,7 +130,7 @@ def packed_rows(docs: DataFrame, tokenizer: str | None = None, capacity: int = C
             ids, ends = encode(raw_texts(batch.column(1)))
             at = 0
             for k, end in zip(keys, ends.tolist()):
-                doc = np.append(ids[at:end], np.uint32(end_id)).astype("<u2")
+                doc = np.append(ids[at:end], np.uint32(end_id)).astype(width)
                 at = end
                 for start in range(0, len(doc), capacity):
                     pool.append((doc[start:start + capacity], k, start))
@@ -141,9 +143,9 @@ def packed_rows(docs: DataFrame, tokenizer: str | None = None, capacity: int = C
     return docs.select(key, text).mapInArrow(work, schema)
 
 
-def _rows(rows: list[tuple[list, int]], first: int, capacity: int, pad_id: int, kind: pa.DataType) -> pa.RecordBatch:
-    ids = np.full((len(rows), capacity), pad_id, "<u2")
-    positions = np.zeros((len(rows), capacity), "<u2")
+def _rows(rows: list[tuple[list, int]], first: int, capacity: int, pad_id: int, kind: pa.DataType, width: str) -> pa.RecordBatch:
+    ids = np.full((len(rows), capacity), pad_id, width)
+    positions = np.zeros((len(rows), capacity), width)
     ends, keys, starts = [], [], []
     for r, (parts, used) in enumerate(rows):
         sizes = [len(p[0]) for p in parts]

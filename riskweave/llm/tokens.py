@@ -3,8 +3,9 @@
 White space always ends a piece of the word tokenizer, so a text is cut at
 ASCII white space and each distinct chunk is encoded once per cache life by the
 tokenizer's own normaliser, pre-tokenizer and model. The ids equal those of
-encoding the whole text with ``add_special_tokens=False``; strings of special
-tokens count as ordinary text.
+encoding the whole text with ``add_special_tokens=False``. A chunk that holds
+the text of an added token (``<|endoftext|>``) is left to the tokenizer itself,
+which gives it the added token's id.
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ class ChunkTokenizer:
         self._normalize = whole.normalizer.normalize_str
         self._split = whole.pre_tokenizer.pre_tokenize_str
         self._model = whole.model.tokenize
+        self._whole = whole
+        self._added = [t.content.lower().encode() for t in whole.get_added_tokens_decoder().values()]
+        self.size = whole.get_vocab_size()
         self._cache = cache
         self._pieces: dict[str, list[int]] = {}
         self._at: dict[bytes, int] = _Chunks(self)
@@ -46,6 +50,8 @@ class ChunkTokenizer:
 
     def _encode(self, chunk: bytes) -> list[int]:
         text = chunk.decode("utf-8")
+        if any(a in chunk.lower() for a in self._added):
+            return self._whole.encode(text, add_special_tokens=False).ids
         body = text.rstrip(TAIL)
         if not (body.isalpha() and (text.isascii() or is_normalized("NFC", text) and ODD_CASE[0] not in text and ODD_CASE[1] not in text)):
             return [t.id for p, _ in self._split(self._normalize(text)) for t in self._model(p)]

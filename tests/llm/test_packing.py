@@ -18,11 +18,10 @@ PATH = public_path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def whole():
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     return lambda t: tok.encode(t or "", add_special_tokens=False).ids
 
 
-ODD = ["", None, "a  b\t\nc", "don't we've I'M x's 's", "<|endoftext|> hi<|startoftext|>", "naïve Σίσυφος ΣΑΣ. İstanbul",
+ODD = ["", None, "a  b\t\nc", "don't we've I'M x's 's", "<|endoftext|> hi<|startoftext|>", "x<|endoftext|>y <|EndOfText|> <|endoftext|\t>É<|startoftext|><|endoftext|>", "naïve Σίσυφος ΣΑΣ. İstanbul",
        "école café!! ÉTÉ,", "a b c\x1cd\x85e", "日本語 テスト。123 4.5e6", "😀👍🏽 ok", "ǅ ŉ ß ẞ ﬁ Å Å", "x" * 5000, "a.b.c 'q' `t`", "’s it’s", "é!"]
 
 
@@ -63,6 +62,38 @@ def test_plan_places_every_piece_once(kind):
     assert len(fill) <= 1.06 * bound + 1 if kind != "same" else len(fill) == 500
 
 
+ALONE = """
+import collections, random
+import numpy as np
+from riskweave.session import local_session
+from riskweave.llm import grouping
+spark = local_session(1)
+spark.range(3).count()
+counts = collections.Counter(random.Random(3).choices(range(1, 2049), k=60000))
+made = grouping.plan(dict(counts))
+total = sum(n * k for n, k in counts.items())
+assert made["count"].sum() == 60000 and made["sequences"][0] <= 1.02 * total / 2048
+spark.stop()
+"""
+
+
+def test_plan_in_a_process_that_imports_numpy_before_spark():
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+    root = str(Path(__file__).resolve().parents[2])
+    env = {**os.environ, "PYTHONPATH": root + os.pathsep + os.environ.get("PYTHONPATH", "")}
+    assert subprocess.run([sys.executable, "-c", ALONE], timeout=120, env=env, cwd=root).returncode == 0
+
+
+def test_wide_ids_where_the_vocabulary_needs_them(spark, whole):
+    docs = spark.createDataFrame([(1, "a small text"), (2, None)], "doc_id long, text string")
+    row, = P.packed_rows(docs.coalesce(1), end_id=70_000).collect()
+    ids = np.frombuffer(row.ids, "<u4")
+    assert len(ids) == 2048 and ids[:row.n_tokens].tolist() == [*whole("a small text"), 70_000, 70_000]
+
+
 def test_configurations_never_exceed_the_demand():
     sizes, demand = [300, 520, 700, 1100], [40, 33, 21, 17]
     used = np.zeros(4, int)
