@@ -97,3 +97,9 @@ def op3_url_words(spark: SparkSession, sf: str) -> DataFrame:
     rules = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
     pages = table(spark, sf, "pages")
     return url_verdicts(pages, rules, pages)
+
+
+@query("op12_minimizer_runs")
+def op12_minimizer_runs(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.runs import periodic_runs, run_digest, with_repeated_tails
+    return run_digest(periodic_runs(with_repeated_tails(table(spark, sf, "documents"))))
