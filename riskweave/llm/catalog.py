@@ -103,3 +103,12 @@ def op3_url_words(spark: SparkSession, sf: str) -> DataFrame:
 def op12_minimizer_runs(spark: SparkSession, sf: str) -> DataFrame:
     from riskweave.llm.runs import periodic_runs, run_digest, with_repeated_tails
     return run_digest(periodic_runs(with_repeated_tails(table(spark, sf, "documents"))))
+
+
+@query("op11_flow_mix")
+def op11_flow_mix(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.mixing import mix
+    made = mix(table(spark, sf, "documents"), (5, 2, 1))
+    # a document of this table has one source
+    of = made.sources.select(F.to_json(F.array("source")).alias("pattern"), "source_size", "target")
+    return made.rows.join(of, "pattern").select("doc_id", "size", "source_size", "target", "taken")
