@@ -112,3 +112,32 @@ def op11_flow_mix(spark: SparkSession, sf: str) -> DataFrame:
     # a document of this table has one source
     of = made.sources.select(F.to_json(F.array("source")).alias("pattern"), "source_size", "target")
     return made.rows.join(of, "pattern").select("doc_id", "size", "source_size", "target", "taken")
+
+
+PHRASE_SQL = """
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+g AS (SELECT lang, size, unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+      FROM w, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size),
+c AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE size = 1 GROUP BY lang),
+k AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM c WHERE size > 1 AND f >= 10),
+s AS (SELECT k.lang, k.size, k.phrase, k.a, k.k, x.f AS l, y.f AS r, (1000000::HUGEINT * k.a * k.a) // (x.f::HUGEINT * y.f) AS score
+      FROM k JOIN c x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1:k.k], ' ')
+             JOIN c y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1:k.size], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+t AS (SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase
+      FROM c WHERE size = 3 AND f >= 10),
+kept AS (SELECT * FROM b WHERE size = 3 OR NOT EXISTS (
+      SELECT 1 FROM t WHERE t.lang = b.lang AND t.phrase = b.phrase AND 100 * t.f >= 50 * b.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+
+@query("op13_shard_phrases", PHRASE_SQL)
+def op13_shard_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    from riskweave.llm.phrases import collocations, first_phrases
+    found = first_phrases(collocations(table(spark, sf, "documents")), 2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
