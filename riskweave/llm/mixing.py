@@ -23,7 +23,7 @@ from riskweave.llm.flow import route
 from riskweave.session import settle
 
 REPEATS = 3
-EDGE_ROWS = 1 << 16      # documents that one task chooses from
+EDGE_ROWS = 1 << 11      # documents that one task chooses from, about
 EXPANDED = 1 << 16       # equal rows that one row of the plan stands for
 BITS = 31
 
