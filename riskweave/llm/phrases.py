@@ -11,6 +11,7 @@ exact count.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,25 +25,31 @@ from riskweave.operators.rank import top_per_group
 from riskweave.session import settle
 
 SHARDS = 4              # the local support is a fourth of the support, so most phrases of a shard fall
-HELD = 24 << 20         # bytes of text counted at once in a task
+READ = 2 << 20          # bytes of text cut into words at once
+HELD = 1 << 23          # phrases of a task that are counted together
 ENTRIES = 1 << 22       # distinct phrases of all tasks that one reducing task takes, about
 FILTER_BITS = 27        # of the candidate filter: 16 MB
-MOST_WORDS = (1 << 21) - 1      # distinct words counted at once: three numbers fit 63 bits
+WORDS = 300_000         # distinct words after which a task counts what it holds and forgets them
+NUMBER = (1 << 21) - 1  # three word numbers fit 63 bits
+MARK = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
 MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"." * 10)
 
 
 class _Words:
-    """Word numbers of texts held for one language at a time; number 0 parts pieces."""
+    """Numbers of words; number 0 parts pieces."""
 
     def __init__(self) -> None:
-        self.number = Interner(self._add, MOST_WORDS)
-        self._reset()
+        self.number = Interner(self._add)
+        self.forget()
 
-    def _reset(self) -> None:
+    def forget(self) -> None:
         self.number.clear()
         self.word, self.hashed = [b"."], [0]
         self.number[b"."] = 0
 
+    def full(self) -> bool:
+        return len(self.word) > WORDS
+
     def _add(self, word: bytes) -> int:
         self.word.append(word)
         self.hashed.append(word_hash(word))
@@ -50,25 +57,35 @@ class _Words:
 
     def read(self, texts: list[bytes]) -> np.ndarray:
         """Numbers of all words of ``texts``, pieces parted by zeros."""
-        if len(self.word) > MOST_WORDS // 2:
-            self._reset()
         # a full stop is a mark, so it is no word and can stand for the end of a piece
         words = b" . ".join(texts).lower().translate(MARKS).replace(b".", b" . ").split()
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
 
-def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[bytes]]]:
-    """Texts by language, about ``HELD`` bytes of them at a time."""
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A long text in parts that end at marks, where pieces end anyway."""
+    at = 0
+    while len(text) - at > READ:
+        mark = MARK.search(text, at + READ)
+        if mark is None:
+            break
+        yield text[at:mark.start()]
+        at = mark.end()
+    yield text[at:] if at else text
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[bytes]]]:
+    """Texts by language, about ``READ`` bytes of them at a time."""
     texts: dict[str, list[bytes]] = {}
     size = 0
     for batch in slices(batches):
         for lang, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
-            if text:
-                texts.setdefault(lang, []).append(text)
-                size += len(text)
-        if size >= HELD:
-            yield texts
-            texts, size = {}, 0
+            for part in _parts(text or b""):
+                texts.setdefault(lang, []).append(part)
+                size += len(part)
+                if size >= READ:
+                    yield texts
+                    texts, size = {}, 0
     if texts:
         yield texts
 
@@ -106,31 +123,45 @@ def shard_counts(table: DataFrame, shards: int, bits: int, longest: int) -> Data
     number of words. Phrases with equal bits count as one, which can only make
     more candidates.
     """
+    def counted(found: dict[str, list[np.ndarray]]) -> Iterator[tuple]:
+        for lang, parts in found.items():
+            short, counts = np.unique(np.concatenate(parts), return_counts=True)
+            parts.clear()
+            bucket = (short >> U64(32)).astype(np.int32)
+            low, counts = short.astype(np.uint32), np.minimum(counts, 255).astype(np.uint8)
+            edge = np.flatnonzero(np.diff(bucket)) + 1
+            for a, b in zip(np.r_[0, edge].tolist(), np.r_[edge, len(bucket)].tolist()):
+                if b > a:
+                    yield lang, int(bucket[a]), low[a:b].tobytes(), counts[a:b].tobytes(), 0
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % shards
-        reader = _Words()
-        for held in _held(batches):
-            rows: list[tuple] = []
-            for lang, texts in held.items():
-                words = reader.read(texts)
-                hashed = np.array(reader.hashed, U64)
-                rows.append((lang, -1, b"", b"", int(np.count_nonzero(words))))
-                found = []
-                for size in range(2, longest + 1):
-                    found.append(_hashes(hashed[_taken(words, size, _grams(words, size))], size, lang))
-                short = np.concatenate(found) >> U64(32 - bits)
-                short, counts = np.unique(short, return_counts=True)
-                bucket = (short >> U64(32)).astype(np.int64)
-                low, counts = short.astype(np.uint32), np.minimum(counts, 255).astype(np.uint8)
-                edge = np.flatnonzero(np.diff(bucket)) + 1
-                for a, b in zip(np.r_[0, edge], np.r_[edge, len(bucket)]):
-                    if b > a:
-                        rows.append((lang, int(bucket[a]), low[a:b].tobytes(), counts[a:b].tobytes(), 0))
-            if rows:
-                lang, bucket, low, counts, words = zip(*rows)
+        reader, found, size, words = _Words(), {}, 0, {}
+
+        def rows(made: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+            columns = list(zip(*made))
+            if columns:
+                kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard] * len(rows), pa.int32()), pa.array(lang), pa.array(bucket, pa.int32()), pa.array(low, pa.binary()),
-                     pa.array(counts, pa.binary()), pa.array(words, pa.int64())], ["shard", "lang", "bucket", "hashes", "counts", "words"])
+                    [pa.array([shard] * len(columns[0]), pa.int32()), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                    ["shard", "lang", "bucket", "hashes", "counts", "words"])
+
+        for texts in _read(batches):
+            for lang, own in texts.items():
+                numbers = reader.read(own)
+                hashed = np.array(reader.hashed, U64)
+                words[lang] = words.get(lang, 0) + int(np.count_nonzero(numbers))
+                for n in range(2, longest + 1):
+                    made = _hashes(hashed[_taken(numbers, n, _grams(numbers, n))], n, lang) >> U64(32 - bits)
+                    found.setdefault(lang, []).append(made)
+                    size += len(made)
+            if reader.full():
+                reader.forget()
+            if size >= HELD:
+                yield from rows(counted(found))
+                found, size = {}, 0
+        yield from rows(counted(found))
+        yield from rows((lang, -1, b"", b"", n) for lang, n in words.items())
 
     return table.mapInArrow(work, "shard int, lang string, bucket int, hashes binary, counts binary, words long")
 
@@ -177,28 +208,43 @@ def exact_counts(table: DataFrame, marked: np.ndarray, longest: int) -> DataFram
     """(lang, phrase, size, f): exact counts of all words and of all phrases that pass the filter."""
     shared = table.sparkSession.sparkContext.broadcast(marked)
 
+    def spelled(reader: _Words, lang: str, size: int, key: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(key), 50_000):
+            part = key[a:a + 50_000]
+            words = ([reader.word[n] for n in (part >> 21 * (size - 1 - i) & NUMBER).tolist()] for i in range(size))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(part)), pa.array([b" ".join(p) for p in zip(*words)], pa.binary()).cast(pa.string()),
+                 pa.array([size] * len(part), pa.int32()), pa.array(f[a:a + 50_000].astype(np.int64))], ["lang", "phrase", "size", "f"])
+
+    def counted(reader: _Words, found: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, size), parts in found.items():
+            key, f = np.unique(np.concatenate(parts), return_counts=True)
+            parts.clear()
+            yield from spelled(reader, lang, size, key, f)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, passes = _Words(), shared.value
-        for held in _held(batches):
-            for lang, texts in held.items():
-                words = reader.read(texts)
+        found, held = {}, 0
+        for texts in _read(batches):
+            for lang, own in texts.items():
+                numbers = reader.read(own)
                 hashed = np.array(reader.hashed, U64)
                 for size in range(1, longest + 1):
-                    at = _grams(words, size)
+                    at = _grams(numbers, size)
                     if size > 1:
-                        bit = _hashes(hashed[_taken(words, size, at)], size, lang) >> U64(64 - FILTER_BITS)
+                        bit = _hashes(hashed[_taken(numbers, size, at)], size, lang) >> U64(64 - FILTER_BITS)
                         at = at[(passes[(bit >> U64(3)).astype(np.int64)] >> (7 - (bit & U64(7)).astype(np.uint8)) & 1).astype(bool)]
-                    numbers = _taken(words, size, at)
-                    key = numbers[:, 0]
+                    key = numbers[at]
                     for i in range(1, size):
-                        key = key << 21 | numbers[:, i]
-                    key, f = np.unique(key, return_counts=True)
-                    spell = [[reader.word[n] for n in (key >> 21 * (size - 1 - i) & MOST_WORDS).tolist()] for i in range(size)]
-                    for a in range(0, len(key), 50_000):
-                        phrases = [b" ".join(p) for p in zip(*(s[a:a + 50_000] for s in spell))]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(phrases)), pa.array(phrases, pa.binary()).cast(pa.string()),
-                             pa.array([size] * len(phrases), pa.int32()), pa.array(f[a:a + 50_000])], ["lang", "phrase", "size", "f"])
+                        key = key << 21 | numbers[at + i]
+                    found.setdefault((lang, size), []).append(key)
+                    held += len(key)
+            if held >= HELD or reader.full():
+                yield from counted(reader, found)
+                found, held = {}, 0
+                if reader.full():
+                    reader.forget()
+        yield from counted(reader, found)
 
     found = table.mapInArrow(work, "lang string, phrase string, size int, f long")
     return found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))

@@ -45,7 +45,15 @@ def _rows():
     return rows
 
 
-@pytest.mark.parametrize("parts,shards,held", [(1, 4, 1 << 20), (5, 2, 600), (7, 4, 1 << 20), (3, 1, 100)])
+def test_long_texts_are_cut_between_pieces(monkeypatch):
+    monkeypatch.setattr(P, "READ", 40)
+    for text in [*(t for _, t in _rows() if t), "no mark at all " * 20, "a." * 100, "b" * 90 + "!" + "c" * 90]:
+        parts = list(P._parts(text.encode()))
+        cut = lambda t: [p for p in re.split(rb"[.,;:!?\x0A-\x0D]", t) if p]
+        assert [p for part in parts for p in cut(part)] == cut(text.encode())
+
+
+@pytest.mark.parametrize("parts,shards,held", [(1, 4, 1 << 20), (5, 2, 300), (7, 4, 1 << 20), (3, 1, 100)])
 def test_phrases_equal_brute_force(spark, monkeypatch, parts, shards, held):
     monkeypatch.setattr(P, "HELD", held)
     rows = _rows()
