@@ -32,7 +32,7 @@ def query(name: str, covers: str, sql: str | None = None) -> Callable[[QueryFn],
 
 def load_all() -> dict[str, Query]:
     from riskweave.plans import (  # noqa: F401
-        catalog_drift, catalog_evaluation, catalog_features, catalog_metrics,
+        catalog_boosting, catalog_drift, catalog_evaluation, catalog_features, catalog_metrics,
         catalog_model, catalog_quality, catalog_streams,
     )
     return REGISTRY
