@@ -1,9 +1,12 @@
 """Benchmark decontamination by canonical templates.
 
 Numbers, names and units become typed placeholders, so a question with other
-values keeps its template. Windows of canonical tokens are hashed, joined with
-the windows of the benchmark, and lined up; what the placeholders stood for
-must be replaced consistently along an alignment, or the match is by chance.
+values keeps its template. A capitalised word is taken for a name wherever it stands,
+at the start of a sentence as well: whatever begins sentences may then be
+replaced, as long as it is replaced alike. Windows of canonical tokens are
+hashed, joined with the windows of the benchmark, and lined up; what the
+placeholders stood for must be replaced consistently along an alignment, or the
+match is by chance. An item of nothing but placeholders is met word for word.
 """
 
 from __future__ import annotations
@@ -49,19 +52,18 @@ class Canon:
         self.table: tuple | None = None
 
     def _row(self, chunk: bytes) -> tuple:
-        """(hash of the word, is a word, ends a sentence, number, name, unit)"""
+        """(hash of the word, is a word, number, name, unit)"""
         word = chunk if chunk.isalpha() else chunk[:-1] if chunk[-1:] in (b".", b",") and chunk[:-1].isalpha() else None
         if word is not None:        # ASCII letters, perhaps with a mark behind them
             low = word.lower()
             name = len(word) > 1 and word[:1].isupper() and not word.isupper()
-            return word_hash(low), True, chunk[-1:] == b".", False, name, low in UNIT_BYTES
+            return word_hash(low), True, False, name, low in UNIT_BYTES
         raw = chunk.decode("utf-8", "replace")
         word = raw.strip(EDGE)
-        ends = raw.rstrip("\"')]}”’")[-1:] in (".", "!", "?", ":")
         low = word.lower()
         number = any(c.isdigit() for c in word) and not any(c.isalpha() for c in word.rstrip("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ%°"))
         name = not number and len(word) > 1 and word[0].isupper() and any(c.islower() for c in word[1:])
-        return word_hash(low.encode()), bool(word), ends, number, name, low in UNITS
+        return word_hash(low.encode()), bool(word), number, name, low in UNITS
 
     def _add(self, chunk: bytes) -> int:
         self.rows.append(self._row(chunk))
@@ -79,14 +81,13 @@ class Canon:
         found = [np.fromiter(map(self.at.__getitem__, c), np.int64, len(c)) for c in chunks]
         if self.table is None or len(self.table[0]) < len(self.rows):
             fresh = list(zip(*self.rows[0 if self.table is None else len(self.table[0]):]))
-            fresh = (np.array(fresh[0], U64), *(np.array(c, bool) for c in fresh[1:])) if fresh else (np.empty(0, U64), *[np.empty(0, bool)] * 5)
+            fresh = (np.array(fresh[0], U64), *(np.array(c, bool) for c in fresh[1:])) if fresh else (np.empty(0, U64), *[np.empty(0, bool)] * 4)
             self.table = fresh if self.table is None else tuple(np.concatenate(p) for p in zip(self.table, fresh))
         return map(self._canonical, found)
 
     def _canonical(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        value, real, ends, number, name, unit = (c[which] for c in self.table)
-        first = np.r_[True, ends[:-1]] if len(which) else np.empty(0, bool)
-        value, number, name, unit, first = (c[real] for c in (value, number, name & ~first, unit, first))
+        value, real, number, name, unit = (c[which] for c in self.table)
+        value, number, name, unit = (c[real] for c in (value, number, name, unit))
         unit = unit & np.r_[False, number[:-1]] if len(value) else unit
         # a run of names is one slot
         keep = ~(name & np.r_[False, name[:-1]]) if len(value) else np.empty(0, bool)
@@ -107,10 +108,12 @@ def window_hashes(canon: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _windows(table: DataFrame, key: str, text: str, sizes, bits: int, bitmap) -> DataFrame:
-    """(key, __text, size, pos, hash, values[, of]) of the windows that pass the filter.
+def _windows(table: DataFrame, key: str, text: str, sizes, bits: int, bitmap, verbatim: bool = True) -> DataFrame:
+    """(key, __text, size, pos, hash, values, of, verbatim) of the windows that pass the filter.
 
-    ``sizes`` None: an item's own size, the window or the whole shorter item.
+    ``sizes`` None: an item's own size, the window or the whole shorter item; an
+    item whose windows are all made mostly of placeholders gives the hashes of
+    its very words. ``verbatim``: whether a document's windows of this kind do.
     """
     kind = table.schema[key].dataType.simpleString()
     own = table.select(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__text"), F.col(text))
@@ -119,7 +122,7 @@ def _windows(table: DataFrame, key: str, text: str, sizes, bits: int, bitmap) ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canon = Canon()
         for batch in slices(batches):
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(7)]
             for i, (tokens, values, slot) in enumerate(canon.each(raw_texts(batch.column(2)))):
                 for size in sizes if sizes is not None else ([min(WINDOW, len(tokens))] if len(tokens) else []):
                     hashes = window_hashes(tokens, size)
@@ -127,22 +130,27 @@ def _windows(table: DataFrame, key: str, text: str, sizes, bits: int, bitmap) ->
                         continue
                     literal = size - (lambda c: c[size:] - c[:-size])(np.r_[0, np.cumsum(slot)])
                     good = literal >= LITERALS * size
+                    exact = np.zeros(len(good), bool)
+                    if not good.all() and (not good.any() if sizes is None else verbatim):
+                        exact = ~good
+                        hashes = np.where(good, hashes, mix(window_hashes(values, size)))
+                        good = np.ones(len(good), bool)
                     if mark is not None:
                         place = (hashes >> U64(64 - bits)).astype(np.int64)
                         good &= (mark.value[place >> 3] >> (place & 7) & 1).astype(bool)
                     total = int(good.sum())
                     for p in np.flatnonzero(good).tolist():
                         held = np.flatnonzero(slot[p:p + size]) + p
-                        for c, v in zip(cols, (i, size, p, int(hashes[p].astype(np.int64)), values[held].view(np.int64).tolist(), total)):
+                        for c, v in zip(cols, (i, size, p, int(hashes[p].astype(np.int64)), values[held].view(np.int64).tolist(), total, bool(exact[p]))):
                             c.append(v)
             if cols[0]:
                 row = pa.array(cols[0], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(row), batch.column(1).take(row), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
-                     pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.list_(pa.int64())), pa.array(cols[5], pa.int64())],
-                    [key, "__text", "size", "pos", "hash", "values", "of"])
+                     pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.list_(pa.int64())), pa.array(cols[5], pa.int64()), pa.array(cols[6], pa.bool_())],
+                    [key, "__text", "size", "pos", "hash", "values", "of", "verbatim"])
 
-    return own.mapInArrow(work, f"`{key}` {kind}, __text long, size int, pos long, hash long, values array<long>, of long")
+    return own.mapInArrow(work, f"`{key}` {kind}, __text long, size int, pos long, hash long, values array<long>, of long, verbatim boolean")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text",
@@ -151,7 +159,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str
 
     ``share`` is the part of the item's windows found in consistent alignments.
     An item below the window's length is one window; windows made mostly of
-    placeholders are left out, and an item of none but such is never found. Null
+    placeholders are left out, but an item of none but such is met word for word. Null
     and empty texts have no window, empty tables no leak; documents are told
     apart by key and text, so repeated rows count once and null keys are kept.
     """
@@ -164,7 +172,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str
     np.bitwise_or.at(bitmap, marked >> 3, (1 << (marked & 7)).astype(np.uint8))
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())     # WINDOW sizes at most
 
-    found = _windows(docs, key, text, sizes, bits, bitmap).drop("of")
+    exact = not items.filter("verbatim").isEmpty()
+    found = _windows(docs, key, text, sizes, bits, bitmap, exact).drop("of", "verbatim")
     asked = items.select(F.col(item).alias("__item"), "size", "hash", F.col("pos").alias("__at"), F.col("values").alias("__asked"), "of")
     met = found.join(asked, ["size", "hash"]).withColumn("__line", F.col("pos") - F.col("__at"))
     pairs = F.flatten(F.collect_set(F.arrays_zip(F.col("__asked").alias("a"), F.col("values").alias("b"))))
