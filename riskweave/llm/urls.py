@@ -2,9 +2,10 @@
 
 Names such as ``casinowin`` are cut into words by the most probable path over a
 unigram model (Viterbi); words of host and path vote in a multinomial naive
-Bayes model. The model learns from the URLs themselves: those with a listed
-word standing free in the host are its bad class, all others the good one, and
-what goes along with listed words gets its weight from the counts.
+Bayes model. The model learns from the URLs themselves: those with a listed word
+among the words of the host, as the segmentation finds them, are its bad class,
+all others the good one, and what goes along with listed words gets its weight
+from the counts.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 from riskweave.session import settle
 
-LABEL = 63              # characters of a host label (the name system's limit); longer ones are cut
-LONGEST = 24            # characters of a word
+LABEL = 4096            # letters looked at together; longer runs, which no name system admits, are cut here
+LONGEST = 63            # letters of a word; a host label has no more
 BUCKETS = 1 << 16       # hashed words of the model: bounds what executors get
 PRIOR_SHARE = 1e-4      # share of all words that a listed word has at least in the unigram model
 
@@ -66,7 +67,7 @@ def word_counts(texts: DataFrame, text: str) -> DataFrame:
     """(word, n) over the visible words of all texts."""
     visible = F.lower(F.regexp_replace(F.col(text), r"<[^>]*>", " "))
     words = F.explode(F.regexp_extract_all(visible, F.lit(r"(\p{L}+)"), 1))
-    return texts.select(words.alias("word")).filter(F.length("word") <= LONGEST).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return texts.select(words.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def segmented(parts: DataFrame, counts: DataFrame, listed: Sequence[str] = BAD_WORDS) -> DataFrame:
@@ -133,7 +134,9 @@ def url_verdicts(urls: DataFrame, rules: Sequence[Rule], texts: DataFrame, key:
     """(key, host, path, rule, verdict, score, words) for every row of ``urls``.
 
     The verdict is the longest fitting rule's, else ``block`` where the score,
-    the probability of the bad class, is above one half. The unigram model
+    the probability of the bad class, is above one half (one half itself is
+    allowed). Listed words count in the segmentation as if they were at least
+    ``PRIOR_SHARE`` of all words. The unigram model
     counts the words of all ``texts``. Null urls, and those without ``://``, have
     an empty host and path and are allowed unless a rule says otherwise;
     repeated rows are judged alike; an empty table gives an empty result.
@@ -146,11 +149,11 @@ def url_verdicts(urls: DataFrame, rules: Sequence[Rule], texts: DataFrame, key:
         f"p -> transform(sequence(0, cast((length(p) - 1) div {LABEL} as int)), i -> substring(p, i * {LABEL} + 1, {LABEL}))))"))
     labels = settle(hosts.select("host", label.alias("part")), "host-parts")
     words = segmented(labels.select("part").distinct(), word_counts(texts, text), listed)
-    free = F.max(F.col("part").isin(*listed))
     named = (labels.join(words, "part").groupBy("host")
-             .agg(F.sort_array(F.flatten(F.collect_list("words"))).alias("words"), free.alias("bad")))
+             .agg(F.sort_array(F.flatten(F.collect_list("words"))).alias("words")))
+    bad = F.arrays_overlap("words", F.array(*[F.lit(w) for w in listed]))
     named = settle(hosts.join(named, "host", "left").select(
-        "host", "pages", F.coalesce("words", F.array().cast("array<string>")).alias("words"), F.coalesce("bad", F.lit(False)).alias("bad")), "host-words")
+        "host", "pages", F.coalesce("words", F.array().cast("array<string>")).alias("words"), F.coalesce(bad, F.lit(False)).alias("bad")), "host-words")
 
     joined = settle(judged.join(named.select("host", "words", "bad"), "host"), "judged-urls")
 

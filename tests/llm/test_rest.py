@@ -187,12 +187,27 @@ def test_template_leaks(spark, words):
     assert T.leaks(d, b.limit(0)).collect() == [] and T.leaks(d.limit(0), b).collect() == []
 
 
+def test_items_with_names_in_front_and_items_of_placeholders(spark, words):
+    rng = random.Random(2)
+    noise = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    item = "Anna has 5 red pens. Anna gives 2 pens to Ben. Ben buys 3 more pens."
+    bench = [(1, item), (2, "7 8 9 10 11 12 13"), (3, "3 4"), (4, "The mill grinds 40 sacks a day. How many sacks does the mill grind in 3 weeks?")]
+    docs = [(1, noise(20) + ". Carl has 8 red pens. Carl gives 4 pens to Dave. Dave buys 7 more pens. " + noise(9)),
+            (2, "Carl has 8 red pens. Dave gives 4 pens to Carl. Eve buys 7 more pens."),       # names change about
+            (3, noise(5) + " 7 8 9 10 11 12 13 " + noise(5)), (4, "7 8 9 1 2 12 13 " + noise(30)), (5, "it is 3 4 now"), (6, item.upper()), (7, f"He said: {item}"),
+            (8, "Our mill grinds 75 sacks a day. How many sacks does the mill grind in 6 weeks?"), (9, noise(400)), (10, "1 2 3 5 6 7 " * 50)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in T.leaks(d, spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert got >= {(1, 1), (3, 2), (5, 3), (7, 1), (8, 4)}
+    assert not got & {(2, 1), (4, 2), (9, 1), (9, 2), (9, 3), (9, 4), (10, 2)}
+
+
 def test_canonical_tokens():
     canon = T.Canon(limit=3)
     for _ in range(2):
         tokens, values, slot = canon.tokens(b"The train left New York at 10:30, 5 km on. Then 7 stopped !!! km")
-        assert slot.tolist() == [0, 0, 0, 1, 0, 1, 1, 1, 0, 0, 1, 0, 0]
-        assert tokens[3] == T.NAME and tokens[5] == tokens[6] == tokens[10] == T.NUMBER and tokens[7] == T.UNIT
+        assert slot.tolist() == [1, 0, 0, 1, 0, 1, 1, 1, 0, 1, 1, 0, 0]
+        assert tokens[0] == tokens[3] == tokens[9] == T.NAME and tokens[5] == tokens[6] == tokens[10] == T.NUMBER and tokens[7] == T.UNIT
     assert len(canon.tokens(None)[0]) == len(canon.tokens(b" ... ")[0]) == 0
 
 
@@ -255,6 +270,36 @@ def test_urls(spark):
     assert U.url_verdicts(df.limit(0), RULES, df.limit(0)).collect() == []
 
 
+def test_hosts_of_joined_words_teach_the_bad_class(spark):
+    text = "<p>the river in the garden may win a casino </p>"
+    pages = [(i, f"http://casinowin.com/{i}", text) for i in range(300)] + [(300 + i, f"http://gardenriver.com/{i}", text) for i in range(300)]
+    long = "garden" * 40 + "casino"
+    more = [(600, "http://casino-win1.com/", text), (601, "http://casino-win2.com/", text), (602, f"http://{long}.com/1", text)]
+    for rows in (pages, pages + more):
+        df = spark.createDataFrame(rows, "page_id long, url string, html string")
+        got = {r.page_id: r for r in U.url_verdicts(df, [], df).collect()}
+        assert all(got[i].verdict == "block" for i in range(300)) and all(got[i].verdict == "allow" for i in range(300, 600))
+    assert sorted(got[602].words) == ["casino", "com", *["garden"] * 40]
+
+
+def test_bayes_equals_counting_by_hand(spark):
+    text = "<p>garden river casino win free </p>"
+    urls = ["http://casinowin.com/free/1", "http://garden-river.com/en/22", "http://river.com/free", "http://casino.com/", "http://garden.org/x", None]
+    df = spark.createDataFrame([(i, u, text) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in U.url_verdicts(df, [], df).collect()}
+    words = {i: [*r.words, *U.path_words(r.path)] for i, r in got.items()}
+    bad = {i: bool({"casino"} & set(got[i].words)) for i in got}
+    seen = {c: collections.Counter(w for i in got if bad[i] is c for w in words[i]) for c in (True, False)}
+    size = len(set(seen[True]) | set(seen[False]))
+    for i, r in got.items():
+        odds = np.log((sum(bad.values()) + 1) / (len(bad) - sum(bad.values()) + 1))
+        for w in words[i]:
+            one, two = ((seen[c][w] + 1) / (sum(seen[c].values()) + size) for c in (True, False))
+            odds += np.log(one / two)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-5) and r.verdict == ("block" if r.score > 0.5 else "allow")
+    assert sorted(got[0].words) == ["casino", "com", "win"]
+
+
 def test_viterbi_is_the_best_path():
     counts = {"casino": 50, "win": 40, "cas": 5, "in": 90, "ow": 30, "o": 60}
     known = [{"at": i, "size": len(w), "n": n} for w, n in counts.items() for i in range(9) if "casinowin"[i:].startswith(w)]
