@@ -42,6 +42,8 @@ class ChunkTokenizer:
         self._model = whole.model.tokenize
         self._whole = whole
         self._added = [t.content.lower().encode() for t in whole.get_added_tokens_decoder().values()]
+        # whether letters with marks behind them can be or end in an added token
+        self._lettered = any(t.decode()[:1].isalpha() or not t.decode().rstrip(TAIL) for t in self._added)
         self.size = whole.get_vocab_size()
         self._cache = cache
         self._pieces: dict[str, list[int]] = {}
@@ -50,9 +52,9 @@ class ChunkTokenizer:
 
     def _encode(self, chunk: bytes) -> list[int]:
         text = chunk.decode("utf-8")
-        if any(a in chunk.lower() for a in self._added):
-            return self._whole.encode(text, add_special_tokens=False).ids
         body = text.rstrip(TAIL)
+        if (self._lettered or not body.isalpha()) and any(a in chunk.lower() for a in self._added):
+            return self._whole.encode(text, add_special_tokens=False).ids
         if not (body.isalpha() and (text.isascii() or is_normalized("NFC", text) and ODD_CASE[0] not in text and ODD_CASE[1] not in text)):
             return [t.id for p, _ in self._split(self._normalize(text)) for t in self._model(p)]
         # a run of letters and a run of marks are the two pieces that the pre-tokenizer would cut
