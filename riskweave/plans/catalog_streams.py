@@ -17,6 +17,7 @@ from riskweave.plans.registry import query
 from riskweave.session import scratch_path
 from riskweave.sources import adapters as A
 from riskweave.streaming import drift as SD
+from riskweave.streaming import state_drift as SX
 from riskweave.streaming import metrics as SM
 from riskweave.streaming import requests as SR
 from riskweave.streaming import scoring as SS
@@ -90,14 +91,14 @@ def stream_request_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("stream_counts_any_order", "T1 T2 S8", f"""WITH {V.LOG}
 SELECT date_trunc('hour', ts) AS step, path, status, count(*) AS n FROM log GROUP BY ALL""")
 def stream_counts_any_order(spark: SparkSession, sf: str) -> DataFrame:
-    """Four files, the latest events first, one in each micro-batch."""
+    """Four parts, the latest events first, a few files in each micro-batch; events without an id come last."""
     events, folder = A.table(spark, sf, "events"), scratch_path(spark, "feed")
     cuts = [None, *events.agg(F.percentile_approx("event_id", [0.25, 0.5, 0.75])).first()[0], None]
     for k in reversed(range(4)):
         lo, hi = cuts[k], cuts[k + 1]
         own = (F.lit(True) if lo is None else F.col("event_id") > lo) & (F.lit(True) if hi is None else F.col("event_id") <= hi)
-        events.filter(own).coalesce(1).write.parquet(f"{folder}/{k}")
-    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(folder)
+        events.filter(own | F.col("event_id").isNull() if k == 0 else own).write.parquet(f"{folder}/{k}")
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).option("recursiveFileLookup", True).parquet(folder)
     return SM.stream_steps(A.request_log(feed), ["path", "status"], [F.count(F.lit(1)).alias("n")], "1 hour")
 
 
@@ -148,3 +149,27 @@ _FIRST = f"SELECT 0 AS side, slot, amount, score FROM oldest WHERE rn <= {S.DRIF
 def stream_warmup_drift(spark: SparkSession, sf: str) -> DataFrame:
     """Without a reference the first rows of each slot become it."""
     return _run_drift(spark, sf, None, "warmup")
+
+
+def _run_state_drift(spark: SparkSession, sf: str, reference: DataFrame | None, label: str) -> DataFrame:
+    log = A.request_log(SR.table_stream(spark, sf, "events"))
+    shots = SX.SnapshotTable(spark, scratch_path(spark, label))
+    stream = SX.drift_stream(log, _DRIFT_FEATURES, reference=reference)
+    SR.run_available(stream.writeStream.outputMode("update").foreachBatch(shots.on_batch), label)
+    return shots.latest().select(*_SHOWN, "seen")
+
+
+_SEEN = "SELECT d.*, n.seen FROM ({shots}) d JOIN (SELECT slot, count(*) AS seen FROM log GROUP BY slot) n ON n.slot = d.slot"
+
+
+@query("stream_state_drift", "T6 R7 W3 D12", f"WITH {V.LOG}, {_slot_long(_EARLY)} {_SEEN.format(shots=_SHOTS)}")
+def stream_state_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows per slot in the state store, against a reference."""
+    early = A.requests(spark, sf).filter(F.col("ts") < F.lit(CD._LOG_CUT).cast("timestamp"))
+    return _run_state_drift(spark, sf, early.select(*_DRIFT_FEATURES), "state-drift")
+
+
+@query("stream_state_warmup", "T7 R9 S10", f"WITH {V.LOG}, {_slot_long(_FIRST)} {_SEEN.format(shots=_SHOTS)}")
+def stream_state_warmup(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows and baselines per slot in the state store."""
+    return _run_state_drift(spark, sf, None, "state-warmup")

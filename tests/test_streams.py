@@ -14,6 +14,7 @@ from riskweave.streaming import drift as SD
 from riskweave.streaming import metrics as SM
 from riskweave.streaming import requests as SR
 from riskweave.streaming import scoring as SS
+from riskweave.streaming import state_drift as SX
 
 
 @pytest.fixture
@@ -108,6 +109,50 @@ def test_baseline_freezes_once_long_enough(spark, feed, tmp_path):
     assert shots[2, "stable"]["reference_mode"] == "warmup_window"
 
 
+def test_state_store_drift_equals_batch_and_goes_on_after_a_restart(spark, feed, tmp_path):
+    log = _requests(spark)
+    reference = log.filter("part = 0").select("amount")
+    stored = SX.SnapshotTable(spark, str(tmp_path / "shots"))
+    offsets = str(tmp_path / "offsets")
+
+    def run(stream, table, checkpoint, **options):
+        out = SX.drift_stream(stream, ["amount"], **options).writeStream.outputMode("update").foreachBatch(table.on_batch)
+        SR.run_available(out, "state", checkpoint=checkpoint)
+
+    # only the rows of one slot come in the second batch: the other's snapshot stays where it was
+    parts = log.withColumn("part", F.when(F.col("request_id") < 300, 0).when(F.col("slot") == "stable", 1).otherwise(2))
+    stream = feed(parts, 2)
+    run(stream, stored, offsets, reference=reference, window=100)
+    seen = {(r.batch, r.slot): r.seen for r in stored.all().collect()}
+    assert seen == {(0, "candidate"): 100, (0, "stable"): 200, (1, "stable"): 600}
+    parts.filter("part = 2").drop("part").coalesce(1).write.parquet(str(tmp_path / "rows" / "p2"))
+    run(stream, stored, offsets, reference=reference, window=100)       # a new run from the checkpoint
+    got = {r.slot: r for r in stored.latest().collect()}
+    assert {s: r.seen for s, r in got.items()} == {"candidate": 300, "stable": 600}
+    for slot, r in got.items():
+        live = D.last_rows(log.filter(F.col("slot") == slot), ["slot"], "ts", "request_id", 100)
+        want = D.snapshot(reference, live.select("amount")).first()
+        assert r["feature_scores"] == pytest.approx(want["feature_scores"]) and r["current_samples"] == 100
+    warm = SX.SnapshotTable(spark, str(tmp_path / "warm"))
+    run(feed(log, 3, "again"), warm, str(tmp_path / "offsets2"), window=500, warmup_least=150, warmup_most=220)
+    shots = {(r["batch"], r["slot"]): r for r in warm.all().collect()}
+    assert not shots[0, "candidate"]["ready"] and shots[0, "candidate"]["reference_mode"] == "missing"
+    assert [shots[b, s]["reference_samples"] for b, s in ((0, "stable"), (1, "candidate"), (2, "candidate"), (2, "stable"))] == [200] * 4
+    assert shots[2, "stable"]["reference_mode"] == "warmup_window"
+
+
+def test_what_a_batch_writes_to_the_store_does_not_grow(spark, feed, tmp_path):
+    log = _requests(spark).withColumn("part", F.pmod("request_id", F.lit(30)).cast("int"))
+    shots, offsets = SX.SnapshotTable(spark, str(tmp_path / "shots")), tmp_path / "offsets"
+    out = SX.drift_stream(feed(log, 30), ["amount"], window=20, warmup_least=10, warmup_most=15)
+    SR.run_available(out.writeStream.outputMode("update").foreachBatch(shots.on_batch), "flat", checkpoint=str(offsets))
+    assert shots.latest().agg(F.sum("seen")).first()[0] == 900
+    written = {}
+    for f in offsets.glob("state/0/*/*.delta"):
+        written[int(f.stem)] = written.get(int(f.stem), 0) + f.stat().st_size
+    assert max(written) == 30 and max(written[v] for v in range(15, 31)) < 1.3 * max(written[v] for v in range(2, 9))
+
+
 def test_constants_are_consistent():
     assert len(S.MODEL_FEATURES) == 31 and len(set(S.MODEL_FEATURES)) == 31
     assert not set(S.NON_FEATURE_COLUMNS) & set(S.MODEL_FEATURES)
