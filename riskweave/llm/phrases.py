@@ -26,7 +26,7 @@ from riskweave.session import settle
 
 SHARDS = 4              # the local support is a fourth of the support, so most phrases of a shard fall
 READ = 2 << 20          # bytes of text cut into words at once
-HELD = 1 << 23          # phrases of a task that are counted together
+HELD = 1 << 22          # phrases of a task that are counted together
 ENTRIES = 1 << 22       # distinct phrases of all tasks that one reducing task takes, about
 FILTER_BITS = 27        # of the candidate filter: 16 MB
 WORDS = 300_000         # distinct words after which a task counts what it holds and forgets them
@@ -111,6 +111,15 @@ def _taken(words: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
     return np.stack([words[at + i] for i in range(size)], axis=1)
 
 
+def _counted(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of all parts and how often each occurs; empties the list."""
+    values = np.concatenate(parts)
+    parts.clear()
+    values.sort()
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.empty(0, np.int64)
+    return values[first], np.diff(np.r_[first, len(values)])
+
+
 def _spelled(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
 
@@ -125,8 +134,7 @@ def shard_counts(table: DataFrame, shards: int, bits: int, longest: int) -> Data
     """
     def counted(found: dict[str, list[np.ndarray]]) -> Iterator[tuple]:
         for lang, parts in found.items():
-            short, counts = np.unique(np.concatenate(parts), return_counts=True)
-            parts.clear()
+            short, counts = _counted(parts)
             bucket = (short >> U64(32)).astype(np.int32)
             low, counts = short.astype(np.uint32), np.minimum(counts, 255).astype(np.uint8)
             edge = np.flatnonzero(np.diff(bucket)) + 1
@@ -218,8 +226,7 @@ def exact_counts(table: DataFrame, marked: np.ndarray, longest: int) -> DataFram
 
     def counted(reader: _Words, found: dict) -> Iterator[pa.RecordBatch]:
         for (lang, size), parts in found.items():
-            key, f = np.unique(np.concatenate(parts), return_counts=True)
-            parts.clear()
+            key, f = _counted(parts)
             yield from spelled(reader, lang, size, key, f)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
