@@ -20,8 +20,12 @@ STEP = "1 minute"
 
 
 def per_step(df: DataFrame, time: str, labels: Sequence[str], aggs: Sequence[Column], step: str = STEP) -> DataFrame:
-    """Tumbling totals; the same call serves batch and stream frames."""
-    return df.groupBy(F.window(time, step)["start"].alias("step"), *labels).agg(*aggs)
+    """Tumbling totals; the same call serves batch and stream frames.
+
+    The window itself is the key: only so does a stream with a watermark let old steps go.
+    """
+    totals = df.groupBy(F.window(time, step).alias("step"), *labels).agg(*aggs)
+    return totals.withColumn("step", F.col("step.start"))
 
 
 def over_range(steps: DataFrame, labels: Sequence[str], sums: Sequence[str], width: str, step: str = STEP) -> DataFrame:

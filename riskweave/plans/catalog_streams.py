@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave import schema as S
+from riskweave.functions import scalars as X
+from riskweave.operators import alerts as AL
 from riskweave.operators import metrics as M
 from riskweave.operators import split as SP
 from riskweave.operators.features import FeatureState
 from riskweave.operators.quality import split_valid
 from riskweave.plans import catalog_drift as CD
+from riskweave.plans import catalog_metrics as CM
 from riskweave.plans import sql_views as V
 from riskweave.plans.catalog_features import _PREPARED
 from riskweave.plans.registry import query
 from riskweave.session import scratch_path
 from riskweave.sources import adapters as A
 from riskweave.streaming import drift as SD
+from riskweave.streaming import state_alerts as SA
 from riskweave.streaming import state_drift as SX
 from riskweave.streaming import metrics as SM
 from riskweave.streaming import requests as SR
@@ -173,3 +179,61 @@ def stream_state_drift(spark: SparkSession, sf: str) -> DataFrame:
 def stream_state_warmup(spark: SparkSession, sf: str) -> DataFrame:
     """Windows and baselines per slot in the state store."""
     return _run_state_drift(spark, sf, None, "state-warmup")
+
+
+_LATE = "2 hours"
+_REACHED = "(SELECT max(ts) - INTERVAL 2 HOUR FROM log)"
+
+
+def _run_alerts(spark: SparkSession, sf: str, label: str, stream: Callable[[DataFrame], DataFrame]) -> SA.AlertTable:
+    """Three parts an hour out of order at their borders, each read by a run that goes on from the checkpoint of the last."""
+    events, folder = A.table(spark, sf, "events"), scratch_path(spark, f"{label}-feed")
+    told, offsets = SA.AlertTable(spark, scratch_path(spark, label)), scratch_path(spark, f"{label}-offsets")
+    moved = F.unix_seconds(F.col("ts").cast("timestamp")) + F.pmod(F.col("event_id"), F.lit(60)) * 60
+    lo, hi = events.agg(F.min(moved), F.max(moved)).first()
+    part = F.least(F.floor((moved - lo) * 3 / F.greatest(F.lit(hi) - lo, F.lit(1))), F.lit(2)) if lo is not None else F.lit(0)
+    with SA.timer_store(spark):
+        for k in range(3):
+            events.filter(F.coalesce(part, F.lit(0)) == k).write.parquet(f"{folder}/{k}")
+            feed = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(folder)
+            out = stream(A.request_log(feed)).writeStream.outputMode("append").foreachBatch(told.on_batch)
+            SR.run_available(out, label, checkpoint=offsets)
+    return told
+
+
+@query("stream_absence_alerts", "T5 W8 S8", f"""WITH {V.LOG},
+seen AS (SELECT DISTINCT date_trunc('hour', ts) AS step, {CM._TARGET} AS target FROM log),
+hours AS (SELECT unnest(generate_series(date_trunc('hour', min(ts)) + INTERVAL 1 HOUR, max(ts) - INTERVAL 2 HOUR, INTERVAL 1 HOUR)) AS at_time FROM log),
+known AS (SELECT DISTINCT target FROM seen WHERE step + INTERVAL 1 HOUR <= {_REACHED}),
+checked AS (SELECT at_time, k.target, s.step IS NULL AS cond FROM hours, known k
+  LEFT JOIN seen s ON s.target = k.target AND s.step + INTERVAL 1 HOUR = at_time),
+numbered AS (SELECT *, sum(CASE WHEN cond THEN 0 ELSE 1 END) OVER (PARTITION BY target ORDER BY at_time) AS island FROM checked),
+stretches AS (SELECT target, min(at_time) AS pending_from, max(at_time) AS firing_to FROM numbered WHERE cond GROUP BY target, island)
+SELECT '{AL.TARGET_DOWN.name}' AS alert, '{AL.TARGET_DOWN.severity}' AS severity, target, pending_from,
+  pending_from + INTERVAL 2 HOUR AS firing_from, firing_to FROM stretches WHERE pending_from + INTERVAL 2 HOUR <= firing_to""")
+def stream_absence_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Targets without any request, found by timers; combinations of path, status and slot are the targets."""
+    lo = A.requests(spark, sf).agg(F.min(F.unix_millis(F.date_trunc("hour", "ts")))).first()[0]
+    told = _run_alerts(spark, sf, "absence", lambda log: SA.alert_stream(
+        log.withColumn("target", F.concat_ws("-", "path", "status", "slot")), "ts", ["target"],
+        [F.count(F.lit(1)).alias("n")], lambda sums: sums["n"] == 0, CM._hourly(AL.TARGET_DOWN), CM.HOUR, _LATE,
+        absent=True, start=lo))
+    return told.fired(["target"])
+
+
+_PATH_FLAGGED = """flagged AS (SELECT date_trunc('hour', ts) AS step, path, count(*) AS n,
+  count(*) FILTER (WHERE status LIKE '5__') AS bad FROM log GROUP BY ALL)"""
+
+
+@query("stream_error_alerts", "T5 W8 F18 S8", f"""WITH {V.LOG}, {_PATH_FLAGGED}, {CM._islands(
+    f"SELECT * FROM {CM._ranged('flagged', 5, 'path', 'n, bad')} WHERE at_time <= {_REACHED}",
+    "(bad / 18000.0) / greatest(n / 18000.0, 0.0001) > 0.05", CM._hourly(AL.ERROR_RATIO), "path")}""")
+def stream_error_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Error ratio per path over five hours, pending for five before it fires."""
+    def met(sums):
+        return (sums["bad"] / 18000.0) / max(sums["n"] / 18000.0, 0.0001) > AL.ERROR_LIMIT
+
+    told = _run_alerts(spark, sf, "errors", lambda log: SA.alert_stream(
+        log, "ts", ["path"], [F.count(F.lit(1)).alias("n"), F.count_if(X.label_matches("status", "5..")).alias("bad")],
+        met, CM._hourly(AL.ERROR_RATIO), CM.HOUR, _LATE))
+    return told.fired(["path"])
