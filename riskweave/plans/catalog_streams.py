@@ -11,11 +11,13 @@ from riskweave import schema as S
 from riskweave.functions import scalars as X
 from riskweave.operators import alerts as AL
 from riskweave.operators import metrics as M
+from riskweave.operators import model as MD
 from riskweave.operators import split as SP
-from riskweave.operators.features import FeatureState
+from riskweave.operators.features import FeatureState, feature_columns
 from riskweave.operators.quality import split_valid
 from riskweave.plans import catalog_drift as CD
 from riskweave.plans import catalog_metrics as CM
+from riskweave.plans import catalog_model as CO
 from riskweave.plans import sql_views as V
 from riskweave.plans.catalog_features import _PREPARED
 from riskweave.plans.registry import query
@@ -25,6 +27,7 @@ from riskweave.streaming import drift as SD
 from riskweave.streaming import state_alerts as SA
 from riskweave.streaming import state_drift as SX
 from riskweave.streaming import metrics as SM
+from riskweave.streaming import model_scoring as SMS
 from riskweave.streaming import requests as SR
 from riskweave.streaming import scoring as SS
 
@@ -50,6 +53,34 @@ def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     return SS.write_scores(scored)
 
 
+@query("stream_model_scores", "T8 S7 S8 M9", f"""WITH {V.TX}
+SELECT transaction_id, CAST(1 + CAST(transaction_id AS BIGINT) % 2 AS INT) AS model_version, true AS same_as_batch FROM tx WHERE amount > 0""")
+def stream_model_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored model scores half the requests, a newly published one the rest; each row against batch scoring."""
+    events, folder = A.table(spark, sf, "events"), scratch_path(spark, "model-feed")
+    raw = A.transactions(spark, sf)
+    train = SP.chrono_split(raw)[0]
+    first, whole = FeatureState.fit(train), FeatureState.fit(raw)
+    rows = first.transform(train)
+    fitted = MD.train_model(rows, CO._numeric(rows, feature_columns(rows)), **CO.SHORT)
+    store = SMS.ModelStore(spark, scratch_path(spark, "models"))
+    scorer = SMS.ModelScorer(store, scratch_path(spark, "model-scores"))
+    offsets, batch = scratch_path(spark, "model-offsets"), None
+    for k, (state, threshold) in enumerate(((first, THRESHOLD), (whole, 0.6))):
+        version = store.publish(fitted, state, threshold)
+        events.filter(F.pmod("event_id", F.lit(2)) == k).write.parquet(f"{folder}/{k}")
+        feed = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(folder)
+        SR.run_available(A.transactions_of(feed).writeStream.foreachBatch(scorer.on_batch), "model", checkpoint=offsets)
+        own = raw.filter(F.pmod(F.col("transaction_id").cast("long"), F.lit(2)) == k)
+        part = MD.predict(fitted, state, own, threshold).withColumn("model_version", F.lit(version))
+        batch = part if batch is None else batch.unionByName(part)
+    values = F.struct("fraud_score", "is_fraud_pred", "risk_level", "threshold")
+    told = scorer.scores().select("transaction_id", "model_version", values.alias("streamed"))
+    want = batch.select("transaction_id", "model_version", values.alias("scored"))
+    return told.join(want, ["transaction_id", "model_version"], "left").select(
+        "transaction_id", "model_version", F.col("streamed").eqNullSafe(F.col("scored")).alias("same_as_batch"))
+
+
 _FAULT_COUNT = """(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END + CASE WHEN ts_ok IS NULL THEN 1 ELSE 0 END
   + CASE WHEN amount <= 0 THEN 1 ELSE 0 END + CASE WHEN tier_upper = 'GOLD' THEN 1 ELSE 0 END
   + CASE WHEN account_age_days < 0 THEN 1 ELSE 0 END + CASE WHEN is_new_device NOT IN (0, 1) THEN 1 ELSE 0 END

@@ -3,10 +3,13 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import model as M
 from riskweave.operators.features import FeatureState
+from riskweave.operators.quality import split_valid
 from riskweave.plans import training as TR
 from riskweave.plans.prepare import prepare
 from riskweave.sources import adapters as A
 from riskweave.sources import tables as TB
+from riskweave.streaming import model_scoring as MS
+from riskweave.streaming import requests as SR
 
 SF = "/root/testdata/sf0.001"
 SHORT = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3}
@@ -76,3 +79,35 @@ def test_drift_reference_files(spark, tmp_path):
     again = TB.ensure_drift_reference(spark, folder, F.xxhash64("i"), "i", 10)
     assert again.count() == 50
     assert TB.preferred_reference(spark, folder)[0] == "train_parquet"
+
+
+def test_stream_takes_up_a_published_model_between_batches(spark, fitted, tmp_path):
+    _, model = fitted
+    raw = A.transactions(spark, SF).withColumn("part", F.pmod(F.col("transaction_id").cast("long"), F.lit(3)).cast("int"))
+    states = [FeatureState.fit(raw.filter("part = 0")), FeatureState.fit(raw)]
+    store, folder = MS.ModelStore(spark, str(tmp_path / "models")), tmp_path / "rows"
+
+    def run(part, scorer):
+        raw.filter(F.col("part") == part).drop("part").coalesce(1).write.parquet(str(folder / f"p{part}"))
+        feed = spark.readStream.schema(raw.drop("part").schema).option("recursiveFileLookup", True).parquet(str(folder))
+        SR.run_available(feed.writeStream.foreachBatch(scorer.on_batch), "scores", checkpoint=str(tmp_path / "offsets"))
+
+    scorer = MS.ModelScorer(store, str(tmp_path / "out"))
+    run(0, scorer)
+    assert scorer.scores() is None and scorer.unscored().count() == raw.filter("part = 0").count()
+    assert store.publish(model, states[0], 0.4) == 1
+    run(1, scorer)
+    assert store.publish(model, states[1], 0.7) == 2
+    again = MS.ModelScorer(store, str(tmp_path / "out"))        # a new driver
+    run(2, again)
+    again.on_batch(raw.filter("part = 2").drop("part"), 2)      # and a repeated batch
+    got = again.scores()
+    for part, (state, threshold) in ((1, (states[0], 0.4)), (2, (states[1], 0.7))):
+        valid = split_valid(raw.filter(F.col("part") == part).drop("part"))[0]
+        want = M.predict(model, state, valid, threshold)
+        mine = got.filter(F.col("model_version") == part).select(want.columns)
+        assert sorted(map(str, mine.collect())) == sorted(map(str, want.collect()))
+    faulty = again.unscored().filter("batch > 0")
+    assert got.count() + faulty.count() == raw.filter("part > 0").count()
+    with pytest.raises(ValueError, match="version 9"):
+        store.load(9)
