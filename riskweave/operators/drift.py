@@ -6,12 +6,13 @@ each one pass whose shuffle carries a few rows per feature, not the values.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -428,6 +429,33 @@ def _not_ready(spark, mode, n_ref, n_cur, reason, features) -> DataFrame:
     return spark.createDataFrame([row], SNAPSHOT_SCHEMA)
 
 
+def first_snapshot(spark: SparkSession, reference: DataFrame | None, file_name: str = "") -> DataFrame:
+    """The state before any request: which file the reference came from, or that rows must gather first."""
+    if reference is None:
+        return _not_ready(spark, S.MODE_MISSING, 0, 0, S.REASON_WARMUP, [])
+    described = describe_reference(reference)
+    return _not_ready(spark, S.MODE_TRAIN, described.rows, 0, S.REASON_LOADED + file_name, list(described.medians))
+
+
+def snapshot_of_requests(
+    reference: DataFrame | None, requests: DataFrame, transform: Callable[[DataFrame], DataFrame],
+    threshold: float = S.DRIFT_ALERT,
+) -> DataFrame:
+    """``snapshot`` of raw requests; where they cannot be transformed it says so and scores nothing.
+
+    That is where ``transform`` fails as it builds its plan: missing columns, wrong types, no fitted state.
+    """
+    try:
+        current = transform(requests)
+    except (AnalysisException, ValueError, KeyError, AttributeError):
+        spark = requests.sparkSession
+        if reference is None:
+            return _not_ready(spark, S.MODE_MISSING, 0, 0, S.REASON_TRANSFORM, [])
+        described = describe_reference(reference)
+        return _not_ready(spark, S.MODE_TRAIN, described.rows, 0, S.REASON_TRANSFORM, list(described.medians))
+    return snapshot(reference, current, threshold)
+
+
 def top_drifted(samples: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` features with the highest score over all reporting series."""
     return samples.groupBy("feature").agg(F.max("score").alias("score")).orderBy(

@@ -23,7 +23,6 @@ BOOSTING = {
     "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5, "seed": 42,
 }
 # --- end of fixed values ---------------------------------------------------------
-PERMUTATION_BLOCK = 10_000
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -90,17 +89,23 @@ def permutation_importance(
 ) -> DataFrame:
     """Loss of average precision when one feature's values move to other rows.
 
-    Rows fall into hashed blocks of about ``PERMUTATION_BLOCK``; inside a block
-    every value moves to the next row, all features in one shuffle.
+    All rows stand in one ring, in the order of a hash of their id; every value
+    moves to the next row of the ring, all features in one shuffle. The ring is
+    cut at the hash's first 16 bits: a piece's last row takes the first one of
+    the next piece, so the cuts have no influence on the result.
     """
     feats = fitted.features
-    blocks = max(1, df.count() // PERMUTATION_BLOCK)
     base = align_features(df.withColumn("_y", F.col(label)).withColumn("_id", F.col(row_id)), feats, ["_y", "_id"])
-    ring = Window.partitionBy("_block").orderBy(F.xxhash64("_id", F.lit(7)), "_id")
-    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     values = F.struct(*feats)
-    moved = base.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(blocks))).withColumn(
-        "_next", F.coalesce(F.lead(values).over(ring), F.first(values).over(whole)))
+    ring = settle(base.withColumn("_hash", F.xxhash64("_id", F.lit(7))).withColumn("_block", F.shiftright("_hash", 48)), "ring")
+    blocks = Window.partitionBy(F.lit(0)).orderBy("_block")
+    # at most 65,536 rows
+    entries = ring.groupBy("_block").agg(F.min_by(values, F.struct("_hash", "_id")).alias("_first"))
+    entries = entries.select("_block", F.coalesce(F.lead("_first").over(blocks), F.first("_first").over(
+        blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_entry"))
+    inside = Window.partitionBy("_block").orderBy("_hash", "_id")
+    moved = ring.withColumn("_next", F.lead(values).over(inside)).join(entries, "_block").withColumn(
+        "_next", F.coalesce("_next", "_entry")).drop("_entry", "_hash", "_block")
     variants = settle(moved, "permuted").withColumn("variant", F.explode(F.lit(["", *feats])))
     swapped = variants.select("variant", "_y", *[
         F.when(F.col("variant") == f, F.col("_next")[f]).otherwise(F.col(f)).alias(f) for f in feats])

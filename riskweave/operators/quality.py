@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from riskweave import schema as S
 from riskweave.functions import scalars as X
 from riskweave.operators.rank import exact_quantiles
+from riskweave.session import scratch_path
 
 
 def missing_columns(df: DataFrame, required: Sequence[str] = S.REQUIRED_COLUMNS) -> list[str]:
@@ -140,6 +141,9 @@ def duplicate_rows(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+SHOWN_LABELS = 1000
+
+
 def unexpected_labels(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     return df.select(label).filter(F.col(label).isNotNull() & ~F.col(label).isin(0, 1)).distinct()
 
@@ -169,15 +173,24 @@ def validation_report(df: DataFrame) -> DataFrame:
 
 
 def validate(df: DataFrame) -> DataFrame:
-    """Raises one error naming every fault, else returns ``df``."""
+    """Raises one error naming every fault, else returns ``df``.
+
+    Up to ``SHOWN_LABELS`` unexpected labels are named; of more the error names
+    the number, the lowest ones and a table that holds all.
+    """
     faults = [f"missing column {c}" for c in missing_columns(df)] + type_faults(df)
     if not type_faults(df):
         faults += [
             f"{r['violations']} rows break {r['rule']}({r['column']})"
             for r in validation_report(df).filter("violations > 0").collect()]
     if "is_fraud" in df.columns and any("binary" in f for f in faults):
-        seen = [r[0] for r in unexpected_labels(df).collect()]
-        faults.append(f"unexpected labels {sorted(seen)}")
+        path = scratch_path(df.sparkSession, "unexpected-labels")
+        unexpected_labels(df).write.parquet(path)
+        seen = df.sparkSession.read.parquet(path)
+        n = seen.count()
+        shown = [r[0] for r in seen.orderBy("is_fraud").limit(SHOWN_LABELS).collect()]
+        faults.append(f"unexpected labels {shown}" if n <= SHOWN_LABELS else
+                      f"{n} unexpected labels, all of them in {path}, the lowest {shown}")
     if faults:
         raise ValueError("validation failed: " + "; ".join(faults))
     return df

@@ -198,14 +198,14 @@ def latest_per_group(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _HISTORY = """history AS (SELECT user_id, ts, event_id,
-  CASE WHEN event_id % 3 <> 0 THEN value / 100.0 END AS metric FROM events WHERE event_type <> 'view'),
+  CASE WHEN event_id % 3 <> 0 THEN value / 100.0 END AS metric FROM events),
 recent AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM history),
 latest AS (SELECT user_id, max_by(metric, (ts, event_id)) AS metric FROM recent
   WHERE rn <= {k} AND metric IS NOT NULL GROUP BY user_id)"""
 
 
 def _history(spark: SparkSession, sf: str) -> DataFrame:
-    return A.table(spark, sf, "events").filter(F.col("event_type") != "view").select(
+    return A.table(spark, sf, "events").select(
         "user_id", "ts", "event_id", F.when(F.col("event_id") % 3 != 0, F.col("value") / 100.0).alias("metric"))
 
 

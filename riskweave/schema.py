@@ -52,6 +52,7 @@ NA_TOKENS = (
 MODE_TRAIN, MODE_WARMUP, MODE_MISSING = "train_parquet", "warmup_window", "missing"
 REASON_UPDATED, REASON_WARMUP = "updated_from_live_traffic", "waiting_for_warmup_window"
 REASON_CURRENT, REASON_OVERLAP = "waiting_for_current_window", "feature_overlap_missing"
+REASON_TRANSFORM, REASON_LOADED = "transform_unavailable", "reference_loaded_from_"
 # --- end of fixed values ----------------------------------------------------
 
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()

@@ -199,3 +199,18 @@ def test_rows_without_a_key_are_dealt_out(spark):
         got = {r.id: r.v for r in joined.collect()}
         assert joined.columns == ["k", "id", "v"] and len(got) == 900
         assert got == {i: None if i % 3 else {0: "a", 1: "b"}.get(i % 5) for i in range(900)}
+
+
+def test_labels_too_many_to_name_are_written(spark):
+    bad = spark.range(3000).select(F.col("id").cast("string").alias("transaction_id"), F.col("id").cast("int").alias("is_fraud"))
+    text = "; ".join(str(e) for e in _validation_errors(bad))
+    path = text.split("all of them in ")[1].split(",")[0]
+    assert "2998 unexpected labels" in text and spark.read.parquet(path).count() == 2998
+
+
+def _validation_errors(df):
+    try:
+        Q.validate(df)
+    except ValueError as e:
+        return [e]
+    return []

@@ -119,3 +119,16 @@ def test_windowed_drift_equals_the_plain_score(spark):
 def test_text_columns_are_no_numbers(spark):
     df = spark.createDataFrame([("a",)], T.StructType([T.StructField("s", T.StringType())]))
     assert D.feature_frame(df).columns == []
+
+
+def test_reasons_of_a_loaded_reference_and_of_rows_that_cannot_be_transformed(spark):
+    reference = spark.range(50).select(F.col("id").cast("double").alias("v"))
+    first = D.first_snapshot(spark, reference, "drift_reference.parquet").first()
+    assert (first["ready"], first["reason"], first["reference_samples"]) == (False, "reference_loaded_from_drift_reference.parquet", 50)
+    assert D.first_snapshot(spark, None).first()["reason"] == "waiting_for_warmup_window"
+    rows = spark.range(20).select(F.col("id").alias("raw"))
+    fine = D.snapshot_of_requests(reference, rows, lambda df: df.select(F.col("raw").cast("double").alias("v"))).first()
+    assert fine["ready"] and fine["reason"] == "updated_from_live_traffic" and fine["current_samples"] == 20
+    for known, n in ((reference, 50), (None, 0)):
+        bad = D.snapshot_of_requests(known, rows, lambda df: df.select("absent")).first()
+        assert (bad["ready"], bad["reason"], bad["reference_samples"], bad["features_alerting"]) == (False, "transform_unavailable", n, 0)

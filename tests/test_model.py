@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from riskweave.operators import evaluate as E
 from riskweave.operators import model as M
 from riskweave.operators.features import FeatureState
 from riskweave.operators.quality import split_valid
@@ -111,3 +112,21 @@ def test_stream_takes_up_a_published_model_between_batches(spark, fitted, tmp_pa
     assert got.count() + faulty.count() == raw.filter("part > 0").count()
     with pytest.raises(ValueError, match="version 9"):
         store.load(9)
+
+
+def test_permutation_equals_one_ring_over_all_rows(spark, fitted):
+    done, model = fitted
+    rows = done.test.select("transaction_id", "is_fraud", *model.features)
+    ring = rows.withColumn("h", F.xxhash64("transaction_id", F.lit(7))).toPandas().sort_values(["h", "transaction_id"]).reset_index(drop=True)
+
+    def precision(pdf):
+        df = spark.createDataFrame(pdf.drop(columns="h"))
+        return E.curve_metrics(model.score(df, ["is_fraud"]), [], "score", "is_fraud").first()["average_precision"]
+
+    full = precision(ring)
+    for parts in (1, 7):
+        got = {r["feature"]: r["importance"] for r in M.permutation_importance(model, done.test.repartition(parts)).collect()}
+        for feature in model.features:
+            moved = ring.copy()
+            moved[feature] = list(ring[feature][1:]) + [ring[feature][0]]
+            assert got[feature] == pytest.approx(full - precision(moved), abs=1e-9), (parts, feature)
