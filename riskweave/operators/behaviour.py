@@ -9,7 +9,7 @@ a difference of floating prefix sums would lose digits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions import scalars as X
@@ -22,9 +22,10 @@ HORIZONS = {"1h": HOUR, "24h": 24 * HOUR, "30d": 720 * HOUR}
 MONEY = "decimal(28,6)"
 
 
-def customer_points(df: DataFrame) -> DataFrame:
-    """One row per customer and instant."""
-    return df.groupBy("customer_id", F.unix_micros("timestamp").alias("at")).agg(
+def customer_points(df: DataFrame, instant: str | Column | None = None) -> DataFrame:
+    """One row per customer and instant; a stream groups by its own time column, which carries the watermark."""
+    at = F.unix_micros("timestamp").alias("at") if instant is None else instant
+    return df.groupBy("customer_id", at).agg(
         F.count(F.lit(1)).alias("n"), F.count(X.finite_or_null("amount")).alias("n_amount"),
         F.sum(X.finite_or_null("amount").try_cast(MONEY)).alias("amount_sum"),
         F.min("transaction_id").alias("first_id"))
@@ -93,7 +94,12 @@ def behaviour(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, hot_rows: i
         (F.col("now_n") - F.col("1h_n") + F.col("n")).alias("tx_count_last_1h"),
         (F.col("now_n") - F.col("24h_n") + F.col("n")).alias("tx_count_last_24h"),
         F.try_divide(spent, amounts_before).alias("avg_amount_last_30d"))
-    hot = hot_hashes(points, ["customer_id", "at"], "n", min_rows=hot_rows)
+    return attach(df, per_point, points, hot_rows)
+
+
+def attach(df: DataFrame, per_point: DataFrame, counts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows with their point's history; ``counts`` names the rows ``n`` of each point, to find hot ones."""
+    hot = hot_hashes(counts, ["customer_id", "at"], "n", min_rows=hot_rows)
     rows = df.withColumn("at", F.unix_micros("timestamp"))
     joined = salted_left_join(rows, per_point, ["customer_id", "at"], hot, hot_rows)
     # the first id of an instant follows the previous instant, the others follow it

@@ -19,12 +19,13 @@ from riskweave.plans import catalog_drift as CD
 from riskweave.plans import catalog_metrics as CM
 from riskweave.plans import catalog_model as CO
 from riskweave.plans import sql_views as V
-from riskweave.plans.catalog_features import _PREPARED
+from riskweave.plans.catalog_features import _BEHAVIOUR, _PREPARED, _behaviour_sql
 from riskweave.plans.registry import query
 from riskweave.session import scratch_path
 from riskweave.sources import adapters as A
 from riskweave.streaming import drift as SD
 from riskweave.streaming import state_alerts as SA
+from riskweave.streaming import state_behaviour as SB
 from riskweave.streaming import state_drift as SX
 from riskweave.streaming import metrics as SM
 from riskweave.streaming import model_scoring as SMS
@@ -216,10 +217,10 @@ _LATE = "2 hours"
 _REACHED = "(SELECT max(ts) - INTERVAL 2 HOUR FROM log)"
 
 
-def _run_alerts(spark: SparkSession, sf: str, label: str, stream: Callable[[DataFrame], DataFrame]) -> SA.AlertTable:
+def _run_parts(spark: SparkSession, sf: str, label: str, stream: Callable[[DataFrame], DataFrame], sink: type):
     """Three parts an hour out of order at their borders, each read by a run that goes on from the checkpoint of the last."""
     events, folder = A.table(spark, sf, "events"), scratch_path(spark, f"{label}-feed")
-    told, offsets = SA.AlertTable(spark, scratch_path(spark, label)), scratch_path(spark, f"{label}-offsets")
+    told, offsets = sink(spark, scratch_path(spark, label)), scratch_path(spark, f"{label}-offsets")
     moved = F.unix_seconds(F.col("ts").cast("timestamp")) + F.pmod(F.col("event_id"), F.lit(60)) * 60
     lo, hi = events.agg(F.min(moved), F.max(moved)).first()
     part = F.least(F.floor((moved - lo) * 3 / F.greatest(F.lit(hi) - lo, F.lit(1))), F.lit(2)) if lo is not None else F.lit(0)
@@ -227,11 +228,15 @@ def _run_alerts(spark: SparkSession, sf: str, label: str, stream: Callable[[Data
         for k in range(3):
             events.filter(F.coalesce(part, F.lit(0)) == k).write.parquet(f"{folder}/{k}")
             feed = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(folder)
-            out = stream(A.request_log(feed)).writeStream.outputMode("append").foreachBatch(told.on_batch)
+            out = stream(feed).writeStream.outputMode("append").foreachBatch(told.on_batch)
             SR.run_available(out, label, checkpoint=offsets)
     return told
 
 
+def _run_alerts(spark: SparkSession, sf: str, label: str, stream: Callable[[DataFrame], DataFrame]) -> SA.AlertTable:
+    return _run_parts(spark, sf, label, lambda feed: stream(A.request_log(feed)), SA.AlertTable)
+
+
 @query("stream_absence_alerts", "T5 W8 S8", f"""WITH {V.LOG},
 seen AS (SELECT DISTINCT date_trunc('hour', ts) AS step, {CM._TARGET} AS target FROM log),
 hours AS (SELECT unnest(generate_series(date_trunc('hour', min(ts)) + INTERVAL 1 HOUR, max(ts) - INTERVAL 2 HOUR, INTERVAL 1 HOUR)) AS at_time FROM log),
@@ -268,3 +273,33 @@ def stream_error_alerts(spark: SparkSession, sf: str) -> DataFrame:
         log, "ts", ["path"], [F.count(F.lit(1)).alias("n"), F.count_if(X.label_matches("status", "5..")).alias("bad")],
         met, CM._hourly(AL.ERROR_RATIO), CM.HOUR, _LATE))
     return told.fired(["path"])
+
+
+_TX_REACHED = """(SELECT date_trunc('millisecond', max("timestamp")) - INTERVAL 2 HOUR FROM tx)"""
+
+
+@query("stream_behaviour", "W4 W5 W6 S7 S8", f"""WITH {V.TX} {_behaviour_sql('tx')} WHERE "timestamp" <= {_TX_REACHED}""")
+def stream_behaviour(spark: SparkSession, sf: str) -> DataFrame:
+    """History per customer from the state store, for all rows the watermark has passed."""
+    told = _run_parts(spark, sf, "behaviour", lambda feed: SB.history_stream(A.transactions_of(feed), _LATE), SB.HistoryTable)
+    tx = A.transactions(spark, sf).select("transaction_id", "customer_id", "timestamp", "amount")
+    return told.attach(tx).filter(F.col("tx_count_last_1h").isNotNull()).select(*_BEHAVIOUR)
+
+
+@query("stream_first_seen", "W7 S7 S8", f"""WITH {V.TX}
+SELECT transaction_id, is_new_device, is_new_merchant FROM (SELECT transaction_id, "timestamp",
+  CASE WHEN row_number() OVER (PARTITION BY customer_id, device_type ORDER BY "timestamp", transaction_id) = 1
+    THEN 1 ELSE 0 END AS is_new_device,
+  CASE WHEN row_number() OVER (PARTITION BY customer_id, merchant_category ORDER BY "timestamp", transaction_id) = 1
+    THEN 1 ELSE 0 END AS is_new_merchant FROM tx)
+WHERE date_trunc('hour', "timestamp") + INTERVAL 1 HOUR <= {_TX_REACHED}""")
+def stream_first_seen(spark: SparkSession, sf: str) -> DataFrame:
+    """First device and first merchant per customer from the state store, for all hours the watermark has passed."""
+    rows = A.transactions(spark, sf).select("transaction_id", "customer_id", "timestamp", "device_type", "merchant_category")
+    reached = rows.agg(F.max(F.unix_millis("timestamp"))).first()[0]
+    out = rows if reached is None else rows.filter(
+        F.unix_millis(F.date_trunc("hour", "timestamp")) + SA.millis("1 hour") <= reached - SA.millis(_LATE))
+    for what, flag in (("device_type", "is_new_device"), ("merchant_category", "is_new_merchant")):
+        told = _run_parts(spark, sf, flag, lambda feed: SB.sighting_stream(A.transactions_of(feed), what, _LATE), SB.HistoryTable)
+        out = told.attach_first(out, what, flag)
+    return out.select("transaction_id", "is_new_device", "is_new_merchant")
