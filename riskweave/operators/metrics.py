@@ -107,6 +107,12 @@ def counter_increase(samples: DataFrame, series: Sequence[str], time: str, value
     first sample follows the last one of the tile before: so neither a long
     series nor a crowded step falls to one task.
     """
+    return _counter_deltas(samples, series, time, value, step, rows_per_bucket).groupBy(*series, "step").agg(
+        F.coalesce(F.sum("delta"), F.lit(0.0)).alias("increase"))
+
+
+def _counter_deltas(samples: DataFrame, series: Sequence[str], time: str, value: str, step: str, rows_per_bucket: int) -> DataFrame:
+    """Each distinct sample with its ``step``, ``_micros`` and growth ``delta`` since the sample before."""
     s = settle(
         samples.filter(F.col(value).isNotNull()).select(*series, time, value).distinct()
         .withColumns({"step": F.window(time, step)["start"], "_micros": F.unix_micros(time)}), "samples")
@@ -117,12 +123,48 @@ def counter_increase(samples: DataFrame, series: Sequence[str], time: str, value
     entering = lasts.withColumn("entering", F.lag("last").over(
         Window.partitionBy(*series).orderBy("step", "_range"))).drop("last")
     inside = Window.partitionBy(*series, "step", "_range").orderBy(time, value)
-    deltas = (
+    return (
         join_null_safe(s.withColumn("before", F.lag(value).over(inside)), entering, [*series, "step", "_range"])
         .withColumn("before", F.coalesce("before", "entering"))
         .withColumn("delta", F.when(F.col(value) < F.col("before"), F.col(value)).otherwise(
             F.col(value) - F.col("before"))))
-    return deltas.groupBy(*series, "step").agg(F.coalesce(F.sum("delta"), F.lit(0.0)).alias("increase"))
+
+
+def counter_rates(samples: DataFrame, series: Sequence[str], time: str, value: str, width: str, step: str = STEP,
+                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """(series, at_time, n, growth, increase, rate_per_s) over the last ``width`` at every step's end, as rules take ``increase`` and ``rate``.
+
+    ``growth`` is what the samples inside the range show; ``increase`` reaches
+    out to the range's edges: by the whole gap where it is below 1.1 times the
+    mean distance of samples, else by half that distance, and at the start no
+    further than to where the counter would have been zero. A range includes
+    its start and not its end; ranges with fewer than two instants tell
+    nothing. Samples fold to one row per series and step, only those are
+    repeated per range.
+    """
+    at = F.struct("_micros", value)
+    deltas = _counter_deltas(samples, series, time, value, step, rows_per_bucket)
+    steps = deltas.groupBy(*series, "step").agg(
+        F.count(F.lit(1)).alias("n"), F.min(at).alias("first"), F.max("_micros").alias("last"),
+        F.coalesce(F.sum("delta"), F.lit(0.0)).alias("total"), F.coalesce(F.min_by("delta", at), F.lit(0.0)).alias("entry"))
+    ranges = steps.groupBy(F.window("step", width, step).alias("w"), *series).agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"),
+        # growth up to the range's first sample began outside
+        (F.sum("total") - F.min_by("entry", "first")).alias("growth"))
+    start, end = (F.unix_micros(F.col("w")[c]) for c in ("start", "end"))
+    first, value_there = F.col("first")["_micros"], F.col("first")[value]
+    growth, sampled = F.col("growth"), F.col("sampled")
+    mean = sampled / (F.col("n") - 1)
+
+    def reach(gap: Column) -> Column:
+        return F.when(gap >= mean * 1.1, mean / 2).otherwise(gap)
+
+    to_zero = F.when((growth > 0) & (value_there >= 0), sampled * value_there / growth)
+    told = ranges.withColumn("sampled", (F.col("last") - first) / 1e6).filter(sampled > 0)
+    grown = told.withColumn("increase", growth * (
+        sampled + F.least(reach((first - start) / 1e6), to_zero) + reach((end - F.col("last")) / 1e6)) / sampled)
+    return grown.select(*series, F.col("w.end").alias("at_time"), "n", "growth", "increase",
+                        (F.col("increase") / ((end - start) / 1e6)).alias("rate_per_s"))
 
 
 def last_over(samples: DataFrame, series: Sequence[str], time: str, value: str, row_id: str,

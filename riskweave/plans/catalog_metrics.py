@@ -295,6 +295,25 @@ def counter_rate(spark: SparkSession, sf: str) -> DataFrame:
     return M.counter_increase(_samples(spark, sf).select("path", "ts", "counter"), ["path"], "ts", "counter", HOUR)
 
 
+@query("counter_rate_extrapolated", "W9 T3", """WITH samples AS (
+  SELECT DISTINCT event_type AS path, ts, CAST(event_id % 500 AS DOUBLE) AS v FROM events),
+lagged AS (SELECT *, lag(v) OVER (PARTITION BY path ORDER BY ts, v) AS before FROM samples),
+spread AS (SELECT l.*, date_trunc('hour', ts) + to_hours(CAST(k AS INT)) AS at_time FROM lagged l, range(1, 6) r(k)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY path, at_time ORDER BY ts, v) AS rn FROM spread),
+ranges AS (SELECT path, at_time, count(*) AS n, sum(CASE WHEN rn = 1 THEN 0.0 WHEN v < before THEN v ELSE v - before END) AS growth,
+  (min(epoch_us(ts)) - epoch_us(at_time - INTERVAL 5 HOUR)) / 1e6 AS gap_start, (epoch_us(at_time) - max(epoch_us(ts))) / 1e6 AS gap_end,
+  (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6 AS sampled, max(CASE WHEN rn = 1 THEN v END) AS first_v FROM numbered GROUP BY 1, 2),
+reached AS (SELECT *, sampled / (n - 1) AS mean FROM ranges WHERE sampled > 0),
+edges AS (SELECT *, CASE WHEN gap_start >= mean * 1.1 THEN mean / 2 ELSE gap_start END AS to_start,
+  CASE WHEN gap_end >= mean * 1.1 THEN mean / 2 ELSE gap_end END AS to_end,
+  CASE WHEN growth > 0 AND first_v >= 0 THEN sampled * first_v / growth END AS to_zero FROM reached),
+grown AS (SELECT *, growth * (sampled + least(to_start, to_zero) + to_end) / sampled AS increase FROM edges)
+SELECT path, at_time, n, growth, increase, increase / 18000.0 AS rate_per_s FROM grown""")
+def counter_rate_extrapolated(spark: SparkSession, sf: str) -> DataFrame:
+    """Growth over five hours at every hour, carried out to the edges of the range."""
+    return M.counter_rates(_samples(spark, sf).select("path", "ts", "counter"), ["path"], "ts", "counter", "5 hours", HOUR)
+
+
 @query("last_value", "W10", """SELECT date_trunc('hour', ts) AS step, event_type AS path,
   max_by(value, (ts, event_id)) AS gauge FROM events GROUP BY 1, 2""")
 def last_value(spark: SparkSession, sf: str) -> DataFrame:

@@ -52,6 +52,27 @@ def test_counter_growth_over_resets_and_steps(spark, parts):
             assert {(r["s"], r["step"]): r["increase"] for r in grown.collect()} == want
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_rates_reach_out_to_the_edges_of_their_range(spark, parts):
+    def sec(m, s):
+        return _at(m) + dt.timedelta(seconds=s)
+
+    rows = [("even", sec(0, s), v) for s, v in ((15, 105.0), (25, 115.0), (35, 125.0), (45, 135.0))]
+    rows += [("young", sec(0, s), v) for s, v in ((15, 1.0), (25, 11.0), (35, 21.0), (45, 31.0))]
+    rows += [("restart", sec(0, s), v) for s, v in ((10, 10.0), (20, 20.0), (30, 4.0), (40, 14.0))]
+    rows += [("gap", sec(0, 30), 50.0), ("gap", sec(3, 30), 80.0), ("gap", sec(3, 50), 90.0), (None, sec(0, 0), 3.0), ("lone", sec(0, 1), 3.0)]
+    df = spark.createDataFrame(rows, "s string, ts timestamp, v double").repartition(parts)
+    for rows_per_bucket in (1, 10**6):
+        got = {(r.s, r.at_time): r for r in M.counter_rates(df, ["s"], "ts", "v", "1 minute", rows_per_bucket=rows_per_bucket).collect()}
+        increase = {k: round(r.increase, 9) for k, r in got.items()}
+        # half a distance at both edges; to zero one second before the first; whole gap at the start; whole gap at the end
+        assert increase == {("even", _at(1)): 40.0, ("young", _at(1)): 36.0, ("restart", _at(1)): 36.0, ("gap", _at(4)): 20.0}
+        assert got["even", _at(1)].rate_per_s == pytest.approx(40 / 60) and got["restart", _at(1)].growth == 24.0
+        wide = {(r.s, r.at_time): r for r in M.counter_rates(df, ["s"], "ts", "v", "4 minutes", rows_per_bucket=rows_per_bucket).collect()}
+        r = wide["gap", _at(4)]
+        assert (r.n, r.growth) == (3, 40.0) and r.increase == pytest.approx(40.0 * (200 + 30 + 10) / 200)
+
+
 def test_last_value(spark):
     df = spark.createDataFrame([("a", T0, 1, 5.0), ("a", T0, 2, 6.0), ("a", _at(0, 9), 0, 7.0), ("a", _at(1), 1, 8.0)],
                                "s string, ts timestamp, id int, v double")
