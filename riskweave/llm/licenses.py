@@ -80,10 +80,15 @@ class Scanner:
         cache = Interner(_key)
         self.contained, self.rows = contained, rows
         self.classes: dict[int, list[tuple[str, np.ndarray]]] = {}
+        self.places: dict[str, dict[int, list[int]]] = {}       # of each shingle in its template
         for name, text in sorted(templates.items()):
             words, _ = _words(text.encode(), cache)
-            shingles = np.unique(shingle_hashes(words, SHINGLE))
+            ordered = shingle_hashes(words, SHINGLE)
+            shingles = np.unique(ordered)
             if len(shingles):
+                places = self.places.setdefault(name, {})
+                for place, s in enumerate(ordered.tolist()):
+                    places.setdefault(s, []).append(place)
                 stride = BLOCK
                 while stride < len(words):
                     stride *= 2
@@ -112,30 +117,58 @@ class Scanner:
             windows = np.minimum(strides, np.concatenate([strides[:, 1:], strides[:, -1:]], axis=1))
             for (name, own), sign in zip(held, self.signs[stride]):
                 equal = (windows == sign[:, None]).reshape(-1, self.rows, windows.shape[1]).all(1).any(0)
-                last = None
-                for w in np.flatnonzero(equal).tolist():
-                    at = w * stride
-                    part = shingles[at:at + 2 * stride]
-                    hits = np.flatnonzero(np.isin(part, own))
-                    share = len(np.unique(part[hits])) / len(own)
-                    if share < self.contained:
-                        continue
-                    first, end = at + int(hits[0]), at + int(hits[-1]) + SHINGLE
-                    if last is not None and first < last[2]:      # the neighbouring window saw it, too
-                        last = (name, min(first, last[1]), max(end, last[2]), max(share, last[3]))
-                        out[-1] = last
-                    else:
-                        last = (name, first, end, share)
-                        out.append(last)
+                found = {}
+                for at in (np.flatnonzero(equal) * stride).tolist():
+                    hits = at + np.flatnonzero(np.isin(shingles[at:at + 2 * stride], own))
+                    if len(np.unique(shingles[hits])) / len(own) >= self.contained:
+                        found[at] = hits
+                if found:
+                    out += self._occurrences(name, len(own), shingles, found, 2 * stride)
         return out
 
+    def _occurrences(self, name: str, size: int, shingles: np.ndarray, found: Mapping[int, np.ndarray],
+                     width: int) -> list[tuple[str, int, int, float]]:
+        """The windows' hits one occurrence at a time: one ends where the template's order starts anew.
+
+        Hits outside such occurrences, for instance where sentences changed
+        places, still count as one where they alone hold enough of the template.
+        """
+        hits = np.unique(np.concatenate(list(found.values())))
+        places, runs, last = self.places[name], [], 0
+        for at, s in zip(hits.tolist(), shingles[hits].tolist()):
+            later = next((p for p in places[s] if p > last), None) if runs and at - runs[-1][0] < width else None
+            if later is None:
+                runs.append([at])
+            else:
+                runs[-1].append(at)
+            last = places[s][0] if later is None else later
+
+        def share(at: np.ndarray) -> float:
+            return len(np.unique(shingles[at])) / size
+
+        whole = [r for r in map(np.array, runs) if share(r) >= self.contained]
+        out = [(name, int(r[0]), int(r[-1]) + SHINGLE, share(r)) for r in whole]
+        taken = np.concatenate(whole) if whole else hits[:0]
+        rest = None
+        for _, inside in sorted(found.items()):
+            left = inside[~np.isin(inside, taken)]
+            if len(left) and share(left) >= self.contained:
+                now = (name, int(left[0]), int(left[-1]) + SHINGLE, share(left))
+                if rest is not None and now[1] < rest[2]:     # the neighbouring window saw it, too
+                    now = (name, rest[1], max(now[2], rest[2]), max(now[3], rest[3]))
+                    out.pop()
+                rest = now
+                out.append(now)
+        return sorted(out, key=lambda o: o[1:3])
+
 
 def license_spans(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, key: str = "doc_id", text: str = "text",
                   contained: float = CONTAINED, rows: int = ROWS, probability: float = PROBABILITY) -> DataFrame:
     """(key, license, start_word, end_word, containment) of every occurrence in every row.
 
-    Words are runs without ASCII white space, without punctuation at their
-    edges and of any case; places count runs from 0, the end is exclusive.
+    Notices that follow one another, even without a word between them, are
+    occurrences of their own. Words are runs without ASCII white space, without
+    punctuation at their edges and of any case; places count runs from 0, the end is exclusive.
     Null and empty texts have none; repeated rows are scanned alike; texts are
     scanned whole. ``templates`` is part of the program's setting, not of the data.
     """

@@ -213,6 +213,34 @@ def test_canonical_tokens():
 
 # ---------------------------------------------------------------- licenses
 
+def test_license_notices_that_follow_one_another_are_told_apart(spark, words):
+    mit, apache = LI.TEMPLATES["MIT"], LI.TEMPLATES["Apache-2.0-notice"]
+    n, m = len(mit.split()), len(apache.split())
+    filler = " ".join(words[k % len(words)] for k in range(7))
+    half = apache.split()
+    swapped = " ".join(half[m // 2:] + half[:m // 2])
+    texts = {
+        1: "\n".join([mit] * 6),
+        2: "\n".join([apache] * 5),
+        3: f"{filler} {mit}\n{mit} {filler} {mit}",
+        # the middle holds words of the template's start; the next one follows whole
+        4: " ".join(half[:m // 2] + half[:4] + half[m // 2:]) + " " + apache,
+        5: swapped,
+        6: " ".join([mit] * 400),
+    }
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {}
+    for r in LI.license_spans(rows, {"MIT": mit, "A": apache}).collect():
+        got.setdefault((r.doc_id, r.license), []).append((r.start_word, r.end_word))
+    got = {k: sorted(v) for k, v in got.items()}
+    assert got[1, "MIT"] == [(i * n, i * n + n) for i in range(6)]
+    assert got[2, "A"] == [(i * m, i * m + m) for i in range(5)]
+    assert got[3, "MIT"] == [(7, 7 + n), (7 + n, 7 + 2 * n), (14 + 2 * n, 14 + 3 * n)]
+    assert got[4, "A"] == [(0, m + 4), (m + 4, 2 * m + 4)]
+    assert got[5, "A"] == [(0, m)]
+    assert got[6, "MIT"] == [(i * n, i * n + n) for i in range(400)]
+
+
 def test_licenses_at_every_place(spark, words):
     rng = random.Random(7)
     rows, want = [], set()
