@@ -1,12 +1,14 @@
 """Second-order boosting with regularised histogram trees, as Spark jobs.
 
-Features are cut at quantiles once and rows are stored as one byte per feature.
-A level of a tree is one job: tasks sum gradients and hessians per (node,
-feature, bin), the sums meet per feature, and only the best split of each node
-and feature comes to the driver. Rows are never collected; what the driver
-holds depends on depth, features and rounds alone. Margins are stored every
-``BLOCK`` rounds, so a task applies few trees to a row, and the average
-precision of all rounds of a block is found in one job.
+Features are cut at quantiles once and rows are stored as one byte per feature,
+``CHUNK`` rows to a record of column arrays, which executors keep. A level of a
+tree is one job: tasks sum gradients and hessians per (node, feature, bin), the
+sums meet per feature, and the best split of each node and feature comes to the
+driver, as do sums of ``SUMS`` bytes at most, which are added there. Rows are
+never collected. The first level of a tree brings the margins
+up to the tree before it, so no tree is applied to a row twice. Margins are
+stored every ``BLOCK`` rounds, and the average precision of all rounds of a
+block is found in one job.
 """
 
 from __future__ import annotations
@@ -17,18 +19,21 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import evaluate as E
 from riskweave.operators.features import align_features, project_features, with_class_weight
 from riskweave.operators.split import find_cut
-from riskweave.session import settle
+from riskweave.session import scratch_path, settle
 
 BINS = 256              # of a feature; the last one holds missing values
 MISSING = BINS - 1
 BLOCK = 10              # rounds between stored margins
+CHUNK = 32_768          # rows of a record
+SUMS = 64 << 20          # bytes of a level's sums that may meet on the driver, which saves a stage
+HELD = StorageLevel.MEMORY_AND_DISK
 
 NODE_SCHEMA = ("tree int, node int, feature string, position int, cut int, threshold double, missing_left boolean, "
                "left int, right int, value double, gain double, cover double")
@@ -81,18 +86,26 @@ class Tree:
                     self.feature[c] < 0 for c in (self.left[node], self.right[node])):
                 self.feature[node], self.left[node], self.right[node], self.gain[node] = -1, -1, -1, 0.0
 
+    def leaves(self, bins: np.ndarray, rows: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """(leaf, its rows in ascending order) for all ``rows`` of ``bins``, column by column."""
+        stack = [(0, np.arange(len(bins)) if rows is None else rows)]
+        while stack:
+            node, own = stack.pop()
+            f = self.feature[node]
+            if f < 0:
+                yield node, own
+            elif len(own):
+                b = bins[:, f][own]
+                goes = b <= self.cut[node]
+                if self.missing_left[node]:
+                    goes |= b == MISSING
+                stack += [(self.left[node], own[goes]), (self.right[node], own[~goes])]
+
     def nodes(self, bins: np.ndarray) -> np.ndarray:
         """The leaf of each row of ``bins``."""
-        feature, cut, side = np.array(self.feature), np.array(self.cut), np.array(self.missing_left)
-        left, right = np.array(self.left), np.array(self.right)
         at = np.zeros(len(bins), np.int64)
-        rows = np.flatnonzero(feature[at] >= 0)
-        while len(rows):
-            n = at[rows]
-            b = bins[rows, feature[n]]
-            goes = np.where(b == MISSING, side[n], b <= cut[n])
-            at[rows] = np.where(goes, left[n], right[n])
-            rows = rows[feature[at[rows]] >= 0]
+        for node, rows in self.leaves(bins):
+            at[rows] = node
         return at
 
 
@@ -207,7 +220,7 @@ def quantile_edges(df: DataFrame, features: Sequence[str], bins: int = MISSING -
 
 def binned(columns: Sequence[np.ndarray], edges: Sequence[Sequence[float]]) -> np.ndarray:
     """Row by feature: how many edges lie below a value; missing values have the last bin."""
-    out = np.empty((len(columns[0]) if columns else 0, len(columns)), np.uint8)
+    out = np.empty((len(columns[0]) if columns else 0, len(columns)), np.uint8, order="F")
     for i, (c, e) in enumerate(zip(columns, edges)):
         out[:, i] = np.where(np.isnan(c), MISSING, np.searchsorted(np.asarray(e, float), c, "left"))
     return out
@@ -216,28 +229,48 @@ def binned(columns: Sequence[np.ndarray], edges: Sequence[Sequence[float]]) -> n
 def margins(bins: np.ndarray, trees: Sequence[Tree], start: np.ndarray) -> np.ndarray:
     out = start.copy()
     for t in trees:
-        out += np.array(t.value)[t.nodes(bins)]
+        for node, rows in t.leaves(bins):
+            out[rows] += t.value[node]
     return out
 
 
-def _binned_rows(df: DataFrame, features: Sequence[str], edges: list[list[float]], label: str, row_id: str) -> DataFrame:
-    """(bins binary, y, w, late, u, margin): a byte per feature, and a hash that draws the rows of a tree."""
-    source = df.select(F.col(label).cast("double").alias("y"), F.col("weight").cast("double").alias("w"), F.col("_late").alias("late"),
-                       F.xxhash64(F.col(row_id)).alias("u"), *[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])
+RECORD = "late boolean, bins binary, y binary, w binary, u binary, margin binary"
+
+
+def _records(df: DataFrame, features: Sequence[str], edges: list[list[float]]) -> DataFrame:
+    """``CHUNK`` rows to a record of arrays: bins by column, label, weight, a hash that draws the rows of a tree, margin."""
+    source = df.select(F.col("_late").alias("late"), F.xxhash64("_row").alias("u"), F.col("_label").cast("double").alias("y"),
+                       F.col("weight").cast("double").alias("w"), *[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bool, list[tuple]] = {False: [], True: []}
+
+        def record(late: bool) -> pa.RecordBatch:
+            bins, y, w, u = (np.concatenate(x) for x in zip(*held[late]))
+            held[late] = []
+            whole = (bins.tobytes("F"), y.tobytes(), w.tobytes(), u.tobytes(), bytes(8 * len(y)))
+            return pa.RecordBatch.from_arrays([pa.array([late]), *(pa.array([x], pa.binary()) for x in whole)],
+                                              ["late", "bins", "y", "w", "u", "margin"])
+
         for b in batches:
-            columns = [c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns[4:]]
-            packed = binned(columns, edges)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r.tobytes() for r in packed], pa.binary()), *b.columns[:4], pa.array(np.zeros(len(packed)))],
-                ["bins", "y", "w", "late", "u", "margin"])
+            late = b.column(0).to_numpy(zero_copy_only=False).astype(bool)
+            u, y, w, *values = (c.to_numpy(zero_copy_only=False) for c in b.columns[1:])
+            bins = binned([c.astype(float) for c in values], edges)
+            for side in (False, True):
+                own = np.flatnonzero(late == side)
+                if len(own):
+                    held[side].append((bins[own], y[own], w[own], u[own]))
+                    if sum(len(x[1]) for x in held[side]) >= CHUNK:
+                        yield record(side)
+        for side in (False, True):
+            if held[side]:
+                yield record(side)
 
-    return source.mapInArrow(work, "bins binary, y double, w double, late boolean, u long, margin double")
+    return source.mapInArrow(work, RECORD)
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
+def _bins(data: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(width, -1).T
 
 
 def _drawn(u: np.ndarray, tree: int, s: Settings) -> np.ndarray:
@@ -249,63 +282,52 @@ def _drawn(u: np.ndarray, tree: int, s: Settings) -> np.ndarray:
 
 # ---------------------------------------------------------------- growing
 
-def _level(rows: DataFrame, trees: list[Tree], tree: Tree, active: list[int], columns: list[int], number: int, width: int,
-           s: Settings) -> dict[int, tuple]:
+def _level(rows: RDD, tree: Tree, active: list[int], columns: list[int], number: int, width: int, s: Settings) -> dict[int, tuple]:
     """The best split of each active node: (gain, feature, cut, missing_left, g_left, h_left, g, h)."""
-    place = {n: i for i, n in enumerate(active)}
+    seat = {n: i for i, n in enumerate(active)}
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(part: int, chunks: Iterator[tuple]) -> Iterator[tuple]:
         sums = np.zeros((len(columns), len(active), BINS, 2))
-        seat = np.full(len(tree.feature), -1)
-        seat[list(place)] = list(place.values())
-        for b in batches:
-            u = b.column(2).to_numpy()
-            pick = np.flatnonzero(_drawn(u, number, s))
-            if not len(pick):
-                continue
-            bins = _matrix(b.column(0), width)[pick]
-            y, w, start = (b.column(i).to_numpy()[pick] for i in (1, 3, 4))
-            p = 1 / (1 + np.exp(-margins(bins, trees, start)))
-            node = seat[tree.nodes(bins)]
-            here = np.flatnonzero(node >= 0)
-            g, h = (w * (p - y))[here], (w * p * (1 - p))[here]
-            for i, f in enumerate(columns):
-                cell = node[here] * BINS + bins[here, f]
-                for k, value in enumerate((g, h)):
-                    sums[i, :, :, k] += np.bincount(cell, value, len(active) * BINS).reshape(-1, BINS)
-        part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns, pa.int32()), pa.array([part] * len(columns), pa.int32()), pa.array([x.tobytes() for x in sums], pa.binary())],
-            ["feature", "part", "sums"])
-
-    def pick(group: pa.Table) -> pa.Table:
+        for bins, y, w, u, margin in chunks:
+            for node, own in tree.leaves(bins, np.flatnonzero(_drawn(u, number, s))):
+                if node not in seat or not len(own):
+                    continue
+                p, weight = 1 / (1 + np.exp(-margin[own])), w[own]
+                g, h = weight * (p - y[own]), weight * p * (1 - p)
+                for i, f in enumerate(columns):
+                    b = bins[:, f][own].astype(np.intp)
+                    for k, value in enumerate((g, h)):
+                        sums[i, seat[node], :, k] += np.bincount(b, value, BINS)
+        yield from ((f, (part, sums[i])) for i, f in enumerate(columns))
+
+    def pick(group: tuple) -> list[tuple]:
         # in the order of the parts, so that a repeated run adds alike
-        blobs = group.sort_by("part")["sums"].to_pylist()
         total = np.zeros((len(active), BINS, 2))
-        for x in blobs:
-            total += np.frombuffer(x).reshape(total.shape)
-        found = list(zip(*best_splits(total, s)))
-        kinds = (pa.float64(), pa.int32(), pa.bool_(), pa.float64(), pa.float64(), pa.float64(), pa.float64())
-        return pa.table([pa.array([group["feature"][0].as_py()] * len(active), pa.int32()), pa.array(active, pa.int32()),
-                         *(pa.array(c, k) for c, k in zip(found, kinds))],
-                        names=["feature", "node", "gain", "cut", "side", "gl", "hl", "g", "h"])
-
-    summed = rows.select("bins", "y", "u", "w", "margin").mapInArrow(count, "feature int, part int, sums binary")
-    found = summed.groupBy("feature").applyInArrow(
-        pick, "feature int, node int, gain double, cut int, side boolean, gl double, hl double, g double, h double").collect()
+        for _, x in sorted(group[1], key=lambda x: x[0]):
+            total += x
+        return [(node, group[0], *found) for node, found in zip(active, best_splits(total, s))]
+
+    sums = rows.mapPartitionsWithIndex(count)
+    if rows.getNumPartitions() * len(columns) * len(active) * BINS * 16 > SUMS:
+        found = sums.groupByKey(width).flatMap(pick).collect()
+    else:
+        groups: dict[int, list[tuple]] = {f: [] for f in columns}
+        for f, x in sums.collect():
+            groups[f].append(x)
+        found = [r for group in groups.items() for r in pick(group)]
     best: dict[int, tuple] = {}
-    for r in sorted(found, key=lambda r: (-r["gain"], r["feature"])):       # nodes x features rows
-        best.setdefault(r["node"], (r["gain"], r["feature"], r["cut"], r["side"], r["gl"], r["hl"], r["g"], r["h"]))
+    for node, feature, gain, *rest in sorted(found, key=lambda r: (-r[2], r[1])):       # nodes x features rows
+        best.setdefault(node, (gain, feature, *rest))
     return best
 
 
-def grow(rows: DataFrame, trees: list[Tree], number: int, width: int, s: Settings) -> Tree:
-    """The next tree after ``trees``, which came after the stored margins."""
+def grow(rows: RDD, number: int, width: int, s: Settings) -> Tree:
+    """The next tree after the margins of ``rows``."""
     rng = np.random.default_rng([s.seed, number])
     columns = sorted(rng.choice(width, max(1, round(s.columns * width)), replace=False).tolist())
     tree, active = Tree(), [0]
     for level in range(s.depth):
-        best = _level(rows, trees, tree, active, columns, number, width, s)
+        best = _level(rows, tree, active, columns, number, width, s)
         following = []
         for node in active:
             gain, feature, cut, side, gl, hl, g, h = best[node]
@@ -314,7 +336,9 @@ def grow(rows: DataFrame, trees: list[Tree], number: int, width: int, s: Setting
                 continue
             for child, (cg, ch) in zip(tree.split(node, feature, cut, side, gain), ((gl, hl), (g - gl, h - hl))):
                 tree.value[child], tree.cover[child] = leaf_value(cg, ch, s), ch
-                following.append(child)
+                # no split of a lighter node leaves both children their weight
+                if ch >= 2 * s.least_weight * (1 - 1e-9):
+                    following.append(child)
         active = following
         if not active:
             break
@@ -322,31 +346,57 @@ def grow(rows: DataFrame, trees: list[Tree], number: int, width: int, s: Setting
     return tree
 
 
-def _stored(rows: DataFrame, trees: list[Tree], width: int) -> DataFrame:
-    """``rows`` with the margins after ``trees``, written."""
+def _held(records: DataFrame, width: int) -> RDD:
+    """The rows that grow trees as arrays, kept by the executors."""
+    def arrays(r) -> tuple:
+        return (_bins(r["bins"], width), np.frombuffer(r["y"]), np.frombuffer(r["w"]), np.frombuffer(r["u"], np.int64), np.frombuffer(r["margin"]))
+
+    return records.filter("NOT late").rdd.map(arrays).persist(HELD)
+
+
+def _moved(rows: RDD, tree: Tree) -> RDD:
+    """``rows`` with the margins after ``tree``."""
+    return rows.map(lambda r: (*r[:4], margins(r[0], [tree], r[4])))
+
+
+def _stored(rows: RDD) -> RDD:
+    """``rows`` written once and read back: a lost executor costs a re-read and the trees since."""
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "margins")
+    rows.saveAsPickleFile(path, 1)
+    return spark.sparkContext.pickleFile(path).persist(HELD)
+
+
+def _late_moved(late: DataFrame, trees: list[Tree], width: int) -> DataFrame:
+    """Records with the margins after ``trees``, written."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            new = margins(_matrix(b.column(0), width), trees, b.column(5).to_numpy())
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(new)], b.schema.names)
+            new = [margins(_bins(bins, width), trees, np.frombuffer(margin)).tobytes() for bins, margin in zip(*(c.to_pylist() for c in b.columns[1::4]))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(new, pa.binary())], b.schema.names)
 
-    return settle(rows.mapInArrow(work, rows.schema), "margins")
+    return settle(late.mapInArrow(work, late.schema), "late-margins")
 
 
 def staged_precision(late: DataFrame, trees: list[Tree], width: int) -> list[float]:
-    """Average precision of the held-back rows after each of ``trees``; margins are prefix sums over the trees."""
+    """Average precision of the held-back rows after each of ``trees``; margins are prefix sums over the trees.
+
+    Tasks count the labels of equal scores per record, Spark adds them up.
+    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bins, now = _matrix(b.column(0), width), b.column(2).to_numpy()
-            stages = np.empty((len(bins), len(trees)))
-            for i, t in enumerate(trees):
-                now = now + np.array(t.value)[t.nodes(bins)]
-                stages[:, i] = now
-            offsets = np.arange(0, stages.size + 1, len(trees), dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.ListArray.from_arrays(offsets, stages.reshape(-1))], ["label", "stages"])
-
-    staged = late.select("bins", "y", "margin").mapInArrow(work, "label double, stages array<double>")
-    per_round = staged.select("label", F.posexplode("stages").alias("stage", "score"))
-    found = {r["stage"]: r["average_precision"] for r in E.curve_metrics(per_round, ["stage"]).collect()}
+            for data, y, margin in zip(*(c.to_pylist() for c in b.columns)):
+                bins, positive, now = _bins(data, width), np.frombuffer(y) == 1, np.frombuffer(margin)
+                for i, t in enumerate(trees):
+                    now = margins(bins, [t], now)
+                    scores, at = np.unique(now, return_inverse=True)
+                    pos = np.bincount(at, positive, len(scores)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(scores), i, np.int32)), pa.array(scores), pa.array(pos), pa.array(np.bincount(at) - pos)],
+                        ["stage", "score", "pos", "neg"])
+
+    counted = late.select("bins", "y", "margin").mapInArrow(work, "stage int, score double, pos long, neg long")
+    counts = settle(counted.groupBy("stage", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "score-counts")
+    found = {r["stage"]: r["average_precision"] for r in E.counts_metrics(counts, ["stage"]).collect()}
     return [found.get(i) or 0.0 for i in range(len(trees))]
 
 
@@ -371,25 +421,33 @@ def fit_boosting(train: DataFrame, features: Sequence[str], label: str = "is_fra
     """
     s = replace(Settings(), **settings)
     features = list(features)
-    cut = find_cut(train, 1 - validation, time, row_id)
-    weighted = with_class_weight(train.withColumn("_late", cut.later(time, row_id)), label)
-    project_features(weighted, features)    # names the features that are missing
-    weighted = weighted.withColumn("_row", F.col(row_id))       # the id may be a feature's name as well
-    narrow = align_features(weighted, features, [label, "weight", "_late", "_row"]).filter(F.col(label).isin(0, 1))
+    project_features(train, features)       # names the features that are missing
+    # every pass below reads this once; the id may be a feature's name as well
+    own = {"_label": F.col(label), "_time": F.col(time), "_row": F.col(row_id)}
+    ready = settle(align_features(train.withColumns(own), features, list(own)), "training")
+    cut = find_cut(ready, 1 - validation, "_time", "_row")
+    narrow = with_class_weight(ready.withColumn("_late", cut.later("_time", "_row")), "_label").filter(F.col("_label").isin(0, 1))
     edges = quantile_edges(narrow.filter("NOT _late"), features)
-    every = settle(_binned_rows(narrow, features, edges, label, "_row"), "binned")
+    records = settle(_records(narrow, features, edges), "binned")
     model = BoostedModel(features, edges, [])
     width = len(features)
+    rows, late = _held(records, width), records.filter("late")
     while len(model.trees) < s.rounds:
         block: list[Tree] = []
-        early = every.filter("NOT late")
         for _ in range(min(BLOCK, s.rounds - len(model.trees))):
-            block.append(grow(early, block, len(model.trees) + len(block), width, s))
-        model.precision += staged_precision(every.filter("late"), block, width)
+            moved = _moved(rows, block[-1]).persist(HELD) if block else rows
+            block.append(grow(moved, len(model.trees) + len(block), width, s))
+            if moved is not rows:
+                rows.unpersist()
+            rows = moved
+        model.precision += staged_precision(late, block, width)
         model.trees += block
         best, over = stop_at(model.precision, s.patience)
         if over or len(model.trees) >= s.rounds:
             model.trees = model.trees[:best + 1]
             break
-        every = _stored(every, block, width)
+        late = _late_moved(late, block, width)
+        before, rows = rows, _stored(_moved(rows, block[-1]))
+        before.unpersist()
+    rows.unpersist()
     return model

@@ -180,3 +180,27 @@ def test_mean_gain_over_a_tree_by_hand(spark):
     pruned.split(left, 0, 0, True, 0.9)
     pruned.prune(1.0)
     assert pruned.feature[0] == -1
+
+
+def test_records_of_any_size_and_sums_that_meet_in_tasks_grow_the_same_trees(spark, table, monkeypatch):
+    settings = dict(rounds=4, patience=50, depth=3, rate=0.3, rows=0.8, columns=0.7, least_weight=1.0)
+    whole = B.fit_boosting(table, ["a", "b", "c"], **settings)
+    monkeypatch.setattr(B, "SUMS", 0)
+    monkeypatch.setattr(B, "CHUNK", 7)
+    monkeypatch.setattr(B, "BLOCK", 2)
+    parted = B.fit_boosting(table.repartition(3), ["a", "b", "c"], **settings)
+    assert [t.feature for t in parted.trees] == [t.feature for t in whole.trees] and parted.precision == pytest.approx(whole.precision)
+    assert [t.value for t in parted.trees] == [pytest.approx(t.value) for t in whole.trees]
+
+
+def test_a_tree_reads_rows_once_brought_up_to_date(spark, table, monkeypatch):
+    """Growing gets rows with the margins of all trees before; no level applies them again."""
+    seen = []
+
+    def level(rows, tree, active, *rest, level=B._level):
+        seen.append(sum(float(np.abs(m).sum()) for *_, m in rows.collect()))
+        return level(rows, tree, active, *rest)
+
+    monkeypatch.setattr(B, "_level", level)
+    model = B.fit_boosting(table, ["a", "b", "c"], rounds=3, patience=50, depth=1, rate=0.3, rows=1.0, columns=1.0, gamma=0.0)
+    assert seen[0] == 0.0 and len(set(seen)) == 3 and len(model.precision) == 3
