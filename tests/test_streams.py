@@ -153,6 +153,27 @@ def test_what_a_batch_writes_to_the_store_does_not_grow(spark, feed, tmp_path):
     assert max(written) == 30 and max(written[v] for v in range(15, 31)) < 1.3 * max(written[v] for v in range(2, 9))
 
 
+def test_tasks_hand_on_what_a_slot_can_take(spark, monkeypatch):
+    """A slot's Python gets the first and last rows of each task, and the count of all; none without a slot is lost."""
+    log = spark.range(6000, numPartitions=2).select(
+        F.when(F.col("id") % 3 < 2, F.concat(F.lit("s"), F.col("id") % 3)).alias("slot"), F.xxhash64("id").alias("request_id"),
+        F.when(F.col("id") % 50 > 0, F.pmod(F.xxhash64("id"), F.lit(900))).alias("ts"), F.col("id").cast("double").alias("amount"))
+    for most, batch in ((500_000, 10_000), (40, 100)):
+        monkeypatch.setattr(SX, "HELD_ROWS", most)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            got = SX.slot_ends(log, "slot", ["ts", "request_id"], 7, 5).toPandas()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert len(got) == 3 * 2 * 12 or most == 40
+        whole = log.toPandas().sort_values(["ts", "request_id"])
+        for slot, own in whole.groupby("slot", dropna=False):
+            mine = got[got["slot"].isna() if slot != slot or slot is None else got["slot"] == slot].sort_values(["ts", "request_id"])
+            assert mine["_rows"].sum() == len(own) == 2000
+            assert mine["amount"].head(7).tolist() == own["amount"].head(7).tolist()
+            assert mine["amount"].tail(5).tolist() == own["amount"].tail(5).tolist()
+
+
 def test_constants_are_consistent():
     assert len(S.MODEL_FEATURES) == 31 and len(set(S.MODEL_FEATURES)) == 31
     assert not set(S.NON_FEATURE_COLUMNS) & set(S.MODEL_FEATURES)
