@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -138,12 +138,12 @@ class SightingState(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "at long")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if self.seen.exists():
             return
-        fresh = pd.concat(list(rows), ignore_index=True).sort_values(["at", "first_id"], ignore_index=True).head(1)
-        self.seen.update((int(fresh["at"][0]),))
-        yield pd.DataFrame({"customer_id": key[0], "_value": key[1], "_missing": key[2], "at": fresh["at"], "first_id": fresh["first_id"]})
+        first = min(rows, key=lambda r: (r["at"], r["first_id"] is None, r["first_id"]))
+        self.seen.update((first["at"],))
+        yield Row(customer_id=key[0], _value=key[1], _missing=key[2], at=first["at"], first_id=first["first_id"])
 
     def close(self) -> None:
         pass
@@ -189,7 +189,7 @@ def sighting_stream(rows: DataFrame, what: str, late: str = "1 hour", step: str
     firsts = known.groupBy("customer_id", value, F.col(what).isNull().alias("_missing"), F.window("timestamp", step)).agg(
         F.min(F.struct("timestamp", "transaction_id")).alias("first")).select(
         "customer_id", "_value", "_missing", F.unix_micros("first.timestamp").alias("at"), F.col("first.transaction_id").alias("first_id"))
-    return firsts.groupBy("customer_id", "_value", "_missing").transformWithStateInPandas(
+    return firsts.groupBy("customer_id", "_value", "_missing").transformWithState(
         SightingState(), firsts.schema, "Append", "EventTime")
 
 

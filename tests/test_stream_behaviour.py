@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from data import lopsided
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from riskweave.operators import behaviour as B
@@ -140,6 +141,16 @@ def test_state_stays_within_thirty_days_and_sums_stay_exact():
     assert not handle.maps["points"] and not handle.maps["totals"] and handle.value.exists()
 
 
+def test_a_sighting_is_told_once_and_takes_rows():
+    handle, state = _Handle(), SB.SightingState()
+    state.init(handle)
+    rows = [Row(at=at, first_id=i) for at, i in ((7, "b"), (5, None), (5, "c"), (5, "a"))]
+    assert list(state.handleInputRows(("c", "", True), iter(rows), None)) == [
+        Row(customer_id="c", _value="", _missing=True, at=5, first_id="a")]
+    assert list(state.handleInputRows(("c", "", True), iter([Row(at=1, first_id="z")]), None)) == []
+    assert handle.value.get() == (5,)
+
+
 def test_the_store_is_named(spark, rows, tmp_path):
     rows.limit(0).write.parquet(str(tmp_path / "in"))
     feed = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
