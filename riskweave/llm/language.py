@@ -5,7 +5,9 @@ An n-gram binds the permuted vectors of its characters (a product of the first
 shifted twice, the second shifted once and the third as it is); a text bundles,
 that is adds, its n-grams, and so does a language over its texts. Documents go
 to the language whose prototype has the largest cosine, after the mean of the
-prototypes, what all languages share, is taken off both.
+prototypes, what all languages share, is taken off both. Whether a document is
+in any language at all is read from how much of its bundle lies in the space of
+the prototypes, against the labelled documents with as many n-grams.
 """
 
 from __future__ import annotations
@@ -25,6 +27,10 @@ UNKNOWN = "und"
 SPACE = 32
 GRAMS_KEPT = 40_000     # n-gram vectors that a worker keeps
 GRAMS_HELD = 400_000    # n-gram counts that a task holds before it adds them up
+LEAST = 1 / 9           # of the share that labelled documents show, a third of their cosine
+JUDGED = 5              # grade, that is 32 n-grams, from which documents in a language stand out from chance
+NOISE = 2.0             # deviations of the share of chance that a bar has to reach
+ENOUGH = 30             # labelled documents of a language and grade that set a bar
 
 
 @lru_cache(maxsize=1)
@@ -140,6 +146,13 @@ class Detector:
         if len(self.langs) > 1:
             own = own - self.shared
         self.own = own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
+        self.space = np.empty((0, WIDTH))
+        if profiles:
+            _, size, axes = np.linalg.svd(np.array(list(profiles.values())), full_matrices=False)
+            self.space = axes[size > 1e-6 * size[0]]
+        self.chance = len(self.space) / WIDTH   # share of a bundle of unrelated n-grams
+        rest = WIDTH - len(self.space)
+        self.noise = float(np.sqrt(2 * len(self.space) / (rest * (WIDTH + 2)))) if rest else np.inf
         self._at: dict[int, int] = {}
         self._vectors = np.empty((0, WIDTH), np.float32)
 
@@ -158,29 +171,45 @@ class Detector:
         return np.fromiter(map(known.__getitem__, codes.tolist()), np.int64, len(codes))
 
     def detect(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        return self.examine(texts)[:2]
+
+    def examine(self, texts: list[str | None]) -> tuple[list[str], list[float], list[int], list[float]]:
+        """For each text the nearest language and its cosine, the grade and the share.
+
+        The grade is the base-2 logarithm of how many n-grams a text has, where
+        repeated ones count less: the square of their sum by the sum of their
+        squares, which is what the cosine grows with. The share is that part of
+        the squared bundle that all prototypes together explain, less what they
+        explain of unrelated n-grams: 1 at most, 0 by chance.
+        """
         found = [np.unique(grams(t), return_counts=True) for t in texts]
         every = np.unique(np.concatenate([c for c, _ in found])) if found else np.empty(0, np.int64)
         if len(every) <= GRAMS_KEPT:
             row = self._lookup(every)
             vectors = self._vectors
-        langs, scores = [], []
+        langs, scores, grades, shares = [], [], [], []
         for codes, times in found:
             if not len(codes) or not self.langs:
                 langs.append(UNKNOWN)
                 scores.append(0.0)
+                grades.append(0)
+                shares.append(0.0)
                 continue
             if len(every) <= GRAMS_KEPT:
                 whole = times.astype(np.float32) @ vectors[row[np.searchsorted(every, codes)]]
             else:   # a text or batch with very many n-grams
                 whole = sum(bundle(codes[i:i + 4096], times[i:i + 4096]) for i in range(0, len(codes), 4096))
             whole = whole / max(np.linalg.norm(whole), 1e-9)
+            weight = times.astype(float)
+            grades.append(int(np.log2(weight.sum() ** 2 / (weight @ weight))))
+            shares.append(float(((self.space @ whole) ** 2).sum() - self.chance) / max(1 - self.chance, 1e-9))
             if len(self.langs) > 1:
                 whole = whole - self.shared
             near = self.own @ whole / max(np.linalg.norm(whole), 1e-9)
             best = int(near.argmax())
             langs.append(self.langs[best])
             scores.append(float(min(1.0, max(0.0, near[best]))))
-        return langs, scores
+        return langs, scores, grades, shares
 
 
 def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text") -> DataFrame:
@@ -213,23 +242,64 @@ def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     return identify(docs.select(key, aside.alias("held_out"), text), profiles, text)
 
 
-def language_filter(docs: DataFrame, text: str = "text", lang: str = "lang", least: float = 0.0) -> DataFrame:
+def language_bars(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text", lang: str = "lang", least: float = LEAST) -> dict[str, dict[int, float]]:
+    """For each language and grade, ``least`` of the lower quartile of the shares of all its labelled rows.
+
+    The quartile holds while less than a quarter of them are junk. Grades below
+    ``JUDGED`` or with under ``ENOUGH`` rows have no bar, nor has one that chance
+    reaches: a language of many rare n-grams leaves little in its prototype.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(profiles)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        detector = Detector(shared.value)
+        for batch in slices(batches):
+            _, _, grades, shares = detector.examine(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(grades, pa.int32()), pa.array(shares, pa.float64())], ["lang", "grade", "share"])
+
+    known = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(text, F.col(lang).cast("string"))
+    measured = known.mapInArrow(measure, "lang string, grade int, share double").filter(F.col("grade") >= JUDGED)
+    quartiles = measured.groupBy("lang", "grade").agg(   # of thousandths, so that a group holds few values
+        F.percentile(F.round("share", 3), F.lit(0.25)).alias("share"), F.count("*").alias("n"))
+    reached = NOISE * Detector(profiles).noise
+    out: dict[str, dict[int, float]] = {}
+    for r in quartiles.collect():   # languages x grades
+        if r["n"] >= ENOUGH and least * r["share"] > reached:
+            out.setdefault(r["lang"], {})[r["grade"]] = least * r["share"]
+    return out
+
+
+def language_filter(docs: DataFrame, text: str = "text", lang: str = "lang", least: float = LEAST) -> DataFrame:
     """``docs`` without rows of no language; all columns as they came.
 
-    A row goes if its text is null or has no letter, or if its cosine to the
-    nearest prototype is not above ``least``. Prototypes come from all rows with
-    a language; without any, rows with a letter stay.
+    A row goes if its text is null or has no letter, if no prototype is on its
+    side (no cosine above 0), or if its share is not above the bar of its
+    language (its label, without one the nearest) in its grade or any below, as
+    more n-grams show a language better. So letter junk, encoded runs and texts
+    in languages nobody has labelled go. Texts under 32 n-grams and those of
+    languages without a bar are not judged by it, so unlabelled junk stays if it
+    is nearest to such a language. Prototypes and bars come from all rows with a
+    language; without any, rows with a letter stay.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(language_profiles(docs, text, lang))
+    profiles = language_profiles(docs, text, lang)
+    bars = language_bars(docs, profiles, text, lang, least) if profiles else {}
+    shared = docs.sparkSession.sparkContext.broadcast((profiles, bars))
     at = docs.columns.index(text)
+    label = docs.columns.index(lang)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        detector = Detector(shared.value)
+        profiles, bars = shared.value
+        detector = Detector(profiles)
+
+        def stays(own: str | None, nearest: str, score: float, grade: int, share: float) -> bool:
+            bar = max((b for g, b in bars.get(nearest if own is None else own, {}).items() if g <= grade), default=-np.inf)
+            return nearest != UNKNOWN and score > 0 and share > bar
+
         for batch in slices(batches):
             texts = batch.column(at).to_pylist()
             if detector.langs:
-                langs, scores = detector.detect(texts)
-                keep = [l != UNKNOWN and s > least for l, s in zip(langs, scores)]
+                own = batch.column(label).cast(pa.string()).to_pylist()
+                keep = [stays(*x) for x in zip(own, *detector.examine(texts))]
             else:
                 keep = [len(grams(t)) > 0 for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))

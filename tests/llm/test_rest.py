@@ -161,6 +161,64 @@ def test_language_filter(tongues, nothing):
     assert L.language_filter(nothing).collect() == [] and L.languages(nothing).collect() == []
 
 
+@pytest.fixture(scope="module")
+def spoken():
+    """(doc_id, text, lang): three languages, and mixed, short and repeated texts."""
+    rng = random.Random(11)
+    parts = {"aa": ["ka", "lo", "mi", "nu", "ren", "tas"], "bb": ["schr", "eit", "ung", "ver", "lich", "o"], "cc": ["été", "eau", "oui", "çon", "le", "i"]}
+    said = lambda l, n: " ".join("".join(rng.choice(parts[l]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+    rows = [(i, said(l, rng.randint(12, 90)), l) for i in range(450) for l in [list(parts)[i % 3]]]
+    rows += [(600 + i, " ".join(said(l, 15) for l in parts), rng.choice([*parts, None])) for i in range(30)]
+    rows += [(700 + i, said(l, rng.randint(1, 3)), None) for i in range(30) for l in [list(parts)[i % 3]]]
+    rows += [(800, " ".join(["kalo"] * 300), "aa"), (801, "x" * 500, "aa"), (802, "q", "bb"), (None, rows[0][1], "aa"), (1, rows[1][1], "bb")]
+    return rows
+
+
+def junk(rng, n):
+    """Texts of about 40 to 600 n-grams in no language: random letters, encoded runs, an unlearned script."""
+    latin = "abcdefghijklmnopqrstuvwxyz"
+    line = lambda letters, k: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(k))
+    run = lambda k: "".join(rng.choice(latin + latin.upper() + "0123456789+/") for _ in range(k))
+    return [make(rng.randint(8, 90)) for _ in range(n) for make in (lambda k: line(latin, k), lambda k: run(7 * k), lambda k: line("абвгдежзийклмноп", k))]
+
+
+def test_language_filter_rejects_junk_and_unlearned_languages(spark, spoken):
+    odd = [(1000 + i, t, [None, "aa", "bb", None][i % 4]) for i, t in enumerate(junk(random.Random(9), 20))]
+    rows = spark.createDataFrame(spoken + odd, "doc_id long, text string, lang string").repartition(5)
+    kept = [r.doc_id for r in L.language_filter(rows).collect()]
+    assert sum(d is not None and d >= 1000 for d in kept) <= 0.05 * len(odd)
+    assert sorted(d or -1 for d in kept if d is None or d < 1000) == sorted(d or -1 for d, _, _ in spoken)   # 0 or none: -1
+
+
+def test_language_filter_keeps_a_language_of_rare_ngrams(spark, spoken):
+    rng = random.Random(10)
+    rare = [(2000 + i, "".join(chr(rng.randint(0x4E00, 0x5E00)) for _ in range(rng.randint(40, 200))), "dd") for i in range(90)]
+    odd = [(1000 + i, t, "ab"[i % 2] * 2) for i, t in enumerate(junk(rng, 10))]
+    kept = {r.doc_id for r in L.language_filter(spark.createDataFrame(spoken + rare + odd, "doc_id long, text string, lang string")).collect()}
+    assert {d for d, _, _ in rare} <= kept and {d for d, _, _ in spoken} <= kept
+    assert sum(d is not None and 1000 <= d < 2000 for d in kept) <= 0.05 * len(odd)
+
+
+def test_language_bars(spark, spoken):
+    rows = spark.createDataFrame(spoken, "doc_id long, text string, lang string")
+    profiles = L.language_profiles(rows)
+    bars = L.language_bars(rows, profiles)
+    assert set(bars) == {"aa", "bb", "cc"} and all(L.JUDGED <= g and 0 < b < L.LEAST for x in bars.values() for g, b in x.items())
+    detector, by = L.Detector(profiles), collections.defaultdict(list)
+    for _, t, l in spoken:
+        _, _, (grade,), (share,) = detector.examine([t])
+        if l is not None:
+            by[l, grade].append(share)
+    for l, x in bars.items():
+        for g, b in x.items():
+            assert len(by[l, g]) >= L.ENOUGH and b == pytest.approx(L.LEAST * np.quantile(by[l, g], 0.25), abs=1e-3)
+    # unrelated n-grams leave a share of 0 on average, with the deviation that bars have to pass
+    shares = detector.examine(["".join(chr(0x20000 + 60 * i + j) for j in range(50)) for i in range(400)])[3]
+    assert abs(np.mean(shares)) < 4 * detector.noise / 20 and np.std(shares) == pytest.approx(detector.noise, rel=0.3)
+    few = L.language_bars(rows.filter("lang = 'aa'").limit(L.ENOUGH - 1), profiles)
+    assert few == {}
+
+
 # ---------------------------------------------------------------- templates
 
 ITEM = "At noon Alice bought 12 apples for 30 dollars. How many apples can Alice buy for 90 dollars?"
