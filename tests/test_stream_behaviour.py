@@ -156,3 +156,103 @@ def test_the_store_is_named(spark, rows, tmp_path):
     feed = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
     with pytest.raises(RuntimeError, match="providerClass"):
         SB.history_stream(feed)
+
+
+class _Store(_Map):
+    """Counts what is read and written one by one."""
+
+    calls = 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+
+class _SlotHandle(_Handle):
+    def getMapState(self, name, *_):
+        return self.maps.setdefault(name, _Store())
+
+
+def _slot_points(rows):
+    """Points of (customer, time, amount in cents)."""
+    return pd.DataFrame({"slot": 0, "customer_id": [c for c, _, _ in rows], "at": [at for _, at, _ in rows], "n": 2, "n_amount": 1,
+                         "amount_sum": [None if a is None else SB._decimal(a * 10_000) for _, _, a in rows], "first_id": "x"})
+
+
+def _told(seen, rows):
+    """What is to be said of ``rows`` after ``seen``, all points of the slot up to them."""
+    out = {}
+    for c, at, _ in rows:
+        past = [(t, a) for who, t, a in seen if who == c and t < at]
+        span = [a for t, a in past if t >= at - SB.LONGEST]
+        recent = [2 * sum(t >= at - back for t, _ in past) + 2 for back in (B.HORIZONS["1h"], B.HORIZONS["24h"])]
+        out[c, at] = (max((t for t, _ in past), default=None), *recent, len(span), SB._decimal(sum(a or 0 for a in span) * 10_000))
+    return out
+
+
+@pytest.mark.parametrize("chunk", [4, 512])
+def test_a_slot_tells_its_customers_apart_and_reads_chunks(chunk, monkeypatch):
+    monkeypatch.setattr(SB, "CHUNK", chunk)
+    handle, state = _SlotHandle(), SB.CustomerState()
+    state.init(handle)
+    seen = []
+    for batch in range(12):
+        # a busy customer, sparse ones, one that stays away for over thirty days and one that comes late
+        lo = batch * 5 * 24
+        rows = [("busy", lo + k / 2, k - 20) for k in range(0, 240, 3)]
+        rows += [(f"c{i}", lo + 7 * i + 20 * k, None if i == 2 else 10 ** 11 * i) for i in range(4) for k in range(3)]
+        rows += [("away", lo + 3, 5)] if batch in (0, 10) else []
+        rows += [("late", lo + 4, -7)] if batch > 6 else []
+        rows = [(c, int(h * B.HOUR), a) for c, h, a in rows]
+        seen += rows
+        (out,) = state.handleInputRows((0,), iter([_slot_points(rows[5:]), _slot_points(rows[:5])]), None)
+        got = {(r.customer_id, r.at): (None if pd.isna(r.previous) else r.previous, r.tx_count_last_1h, r.tx_count_last_24h, r.amounts_30d, r.spent_30d)
+               for r in out.itertuples()}
+        assert got == _told(seen, rows)
+        list(state.handleExpiredTimer((0,), _Clock(max(at for _, at, _ in rows) // 1000), None))
+        assert (("away",) in handle.maps["points"]) == (batch < 6 or batch >= 10)
+        assert len(handle.maps["chunks"]) <= (6 * 80 + 80) // chunk
+    assert bool(handle.maps["chunks"]) == (chunk == 4)
+    list(state.handleExpiredTimer((0,), _Clock((handle.value.get()[0] + SB.LONGEST) // 1000), None))
+    assert not any(handle.maps[m] for m in ("points", "totals", "chunks")) and len(handle.maps["last"]) == 7
+
+
+def test_a_customer_costs_few_calls_of_the_store_however_many_hours():
+    handle, state = _SlotHandle(), SB.CustomerState()
+    state.init(handle)
+    for day in range(0, 20, 5):
+        rows = [(f"c{i}", (day * 24 + 3 * k) * B.HOUR + i, 1) for i in range(10) for k in range(40)]
+        list(state.handleInputRows((0,), iter([_slot_points(rows)]), None))
+    assert sum(m.calls for m in handle.maps.values()) <= 10 * 4 * 2
+
+
+def test_amounts_of_any_size_and_sign_add_up_exactly():
+    amounts = [10 ** 37, -1, 0, -(10 ** 28) + 1, 2 ** 96, -(2 ** 64), 2 ** 32 - 1]
+    words = SB._words(pd.Series([SB._decimal(a) for a in amounts] + [None]))
+    assert SB._texts(words).tolist() == [SB._decimal(a) for a in [*amounts, 0]]
+    sums = SB._joined(SB._before(SB._limbs(words)))
+    assert SB._texts(sums).tolist() == [SB._decimal(sum(amounts[:k])) for k in range(len(amounts) + 1)] + [SB._decimal(sum(amounts))]
+
+
+def test_customers_that_come_late_or_again_equal_batch(spark, tmp_path):
+    """Parts of a month each, so that the store has let go of a customer's points when new ones come."""
+    i = F.col("id")
+    at = 1_700_000_000 + i * 8_000
+    rows = spark.range(1200).select(
+        i.cast("string").alias("transaction_id"), F.timestamp_seconds(at).alias("timestamp"), (i % 7 - 2.5).alias("amount"),
+        F.when((i % 50 == 0) & ((i < 200) | (i > 900)), 1000).when((i % 50 == 1) & (i > 700), 2000).otherwise(i % 9).alias("customer_id"))
+    number = F.col("transaction_id").cast("int")
+    told = SB.HistoryTable(spark, str(tmp_path / "told"))
+    with timer_store(spark):
+        for k in range(3):
+            rows.filter(F.floor(number / 400) == k).coalesce(1).write.parquet(str(tmp_path / "in" / f"p{k}"))
+            feed = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+            out = SB.history_stream(feed, slots=2).writeStream.outputMode("append").foreachBatch(told.on_batch)
+            SR.run_available(out, "behaviour", checkpoint=str(tmp_path / "offsets"))
+    past = number < 1199
+    got = {r.transaction_id: str(r) for r in told.attach(rows).filter(past).collect()}
+    assert got == {r.transaction_id: str(r) for r in B.behaviour(rows).filter(past).collect()} and len(got) == 1199
